@@ -30,41 +30,86 @@ def _span(c: str) -> Column:
     return F.datediff(F.max(c), F.min(c)).cast("bigint")
 
 
+def distinct_counts(df: DataFrame, keys: list[str], what: str, out: str) -> DataFrame:
+    """Distinct values per group in two steps: unique (group, value) pairs, then their number.
+
+    The first shuffle spreads a large group by value and carries nothing but the
+    pair. Several distinct counts in one aggregate would instead copy every row
+    once per count and shuffle the buffers of all other aggregates along.
+    """
+    pairs = df.filter(F.col(what).isNotNull()).select(*keys, what).distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+
+
+def _joined(base: DataFrame, sides: list[DataFrame], keys: list[str], counts=()) -> DataFrame:
+    """Left-join aggregates on their common keys; each is already partitioned by them."""
+    whole = reduce(lambda a, b: a.join(b, keys, "left"), sides, base)
+    return whole.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+
+
+def _activity(measurement: DataFrame) -> DataFrame:
+    """Distinct dates, years and months of each person, narrowed date by year by person."""
+    dates = measurement.select("person_id", "measurement_date").dropna().distinct()
+    month_bit = F.call_function("shiftleft", F.lit(1), F.month("measurement_date") - 1)
+    years = dates.groupBy("person_id", F.year("measurement_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("dates"), F.bit_or(month_bit).alias("months")
+    )
+    return years.groupBy("person_id").agg(
+        F.sum("dates").alias("unique_measurement_dates"),
+        F.count(F.lit(1)).alias("active_years"),
+        F.bit_count(F.bit_or("months")).cast("bigint").alias("active_months"),
+    )
+
+
 def patient_summary(measurement: DataFrame) -> DataFrame:
     """One row per person: volumes, time span, diversity, values, quality.
 
-    Months fit a 12-bit mask, so only dates, tests and years need the distinct
-    plan. That plan shuffles on (person, distinct value): a person with a large
-    share of all rows still spreads over many tasks.
+    Plain aggregates, dates and tests are three narrow aggregates over the
+    stored table, joined per person. Each combines before it shuffles, and the
+    distinct ones shuffle on (person, value): a person with a large share of
+    all rows still spreads over many tasks.
     """
-    month_bit = F.call_function("shiftleft", F.lit(1), F.month("measurement_date") - 1)
-    return (
-        measurement.filter(F.col("person_id").isNotNull())
-        .withColumns({"__month": month_bit.cast("int"), "__year": F.year("measurement_date")})
-        .groupBy("person_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_measurements"),
-            F.count_distinct("measurement_date").alias("unique_measurement_dates"),
-            F.count(VALUE).alias("numeric_measurements"),
-            F.count_if(F.col("unit_concept_id") > 0).alias("measurements_with_units"),
-            F.min("measurement_date").alias("first_measurement_date"),
-            F.max("measurement_date").alias("last_measurement_date"),
-            _span("measurement_date").alias("measurement_span_days"),
-            F.count_distinct("measurement_source_value").alias("unique_lab_tests"),
-            _event(ABNORMAL_CONCEPT).alias("abnormal_results"),
-            _event(HIGH_CONCEPT).alias("high_results"),
-            _event(NORMAL_CONCEPT).alias("normal_low_results"),
-            F.avg(VALUE).alias("avg_numeric_value"),
-            F.min(VALUE).alias("min_numeric_value"),
-            F.max(VALUE).alias("max_numeric_value"),
-            F.stddev_samp(VALUE).alias("stddev_numeric_value"),
-            _missing().alias("missing_value_count"),
-            F.count_distinct("__year").alias("active_years"),
-            F.coalesce(F.bit_count(F.bit_or("__month")), F.lit(0))
-            .cast("bigint")
-            .alias("active_months"),
-            F.year(F.min("measurement_date")).alias("patient_year_of_first_measurement"),
-        )
+    rows = measurement.filter(F.col("person_id").isNotNull())
+    plain = rows.groupBy("person_id").agg(
+        F.count(F.lit(1)).alias("total_measurements"),
+        F.count(VALUE).alias("numeric_measurements"),
+        F.count_if(F.col("unit_concept_id") > 0).alias("measurements_with_units"),
+        F.min("measurement_date").alias("first_measurement_date"),
+        F.max("measurement_date").alias("last_measurement_date"),
+        _span("measurement_date").alias("measurement_span_days"),
+        _event(ABNORMAL_CONCEPT).alias("abnormal_results"),
+        _event(HIGH_CONCEPT).alias("high_results"),
+        _event(NORMAL_CONCEPT).alias("normal_low_results"),
+        F.avg(VALUE).alias("avg_numeric_value"),
+        F.min(VALUE).alias("min_numeric_value"),
+        F.max(VALUE).alias("max_numeric_value"),
+        F.stddev_samp(VALUE).alias("stddev_numeric_value"),
+        _missing().alias("missing_value_count"),
+        F.year(F.min("measurement_date")).alias("patient_year_of_first_measurement"),
+    )
+    tests = distinct_counts(rows, ["person_id"], "measurement_source_value", "unique_lab_tests")
+    counts = ["unique_measurement_dates", "active_years", "active_months", "unique_lab_tests"]
+    return _joined(plain, [_activity(rows), tests], ["person_id"], counts).select(
+        "person_id",
+        "total_measurements",
+        "unique_measurement_dates",
+        "numeric_measurements",
+        "measurements_with_units",
+        "first_measurement_date",
+        "last_measurement_date",
+        "measurement_span_days",
+        "unique_lab_tests",
+        "abnormal_results",
+        "high_results",
+        "normal_low_results",
+        "avg_numeric_value",
+        "min_numeric_value",
+        "max_numeric_value",
+        "stddev_numeric_value",
+        "missing_value_count",
+        "active_years",
+        "active_months",
+        "patient_year_of_first_measurement",
     )
 
 
@@ -99,31 +144,33 @@ def grouped_percentiles(
     )
 
 
-def _with_percentiles(
-    base: DataFrame, df: DataFrame, keys: list[str], names: dict[str, float], digits: int | None
-) -> DataFrame:
-    side = grouped_percentiles(df, keys, names, digits).withColumnsRenamed(
-        {k: f"__{k}" for k in keys}
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    return base.join(side, same, "left").drop(*[f"__{k}" for k in keys])
+def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Replace the unit by two columns without NULL, so that plain equality joins the groups."""
+    unit = F.col("unit_source_value")
+    keyed = df.withColumns({"__unit": F.coalesce(unit, F.lit("")), "__no_unit": unit.isNull()})
+    return keyed, ["__unit", "__no_unit"]
+
+
+def _unit() -> Column:
+    return F.when(~F.col("__no_unit"), F.col("__unit"))
 
 
 def measurement_trends(measurement: DataFrame, exact: bool = False) -> DataFrame:
     """One row per day, test and unit: volumes, value distribution, abnormal shares."""
-    keys = [
-        "measurement_year",
-        "measurement_month",
-        "measurement_date",
-        "measurement_source_value",
-        "unit_source_value",
-    ]
-    rows = measurement.filter(
-        F.col("measurement_date").isNotNull() & F.col("measurement_source_value").isNotNull()
+    days = ["measurement_year", "measurement_month", "measurement_date"]
+    dated = measurement.dropna(subset=["measurement_date", "measurement_source_value"])
+    date = F.col("measurement_date")
+    rows, unit_keys = _keyed(
+        dated.withColumns(
+            {
+                "measurement_year": F.coalesce("measurement_year", F.year(date)),
+                "measurement_month": F.coalesce("measurement_month", F.month(date)),
+            }
+        )
     )
+    keys = [*days, "measurement_source_value", *unit_keys]
     daily = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("daily_test_count"),
-        F.count_distinct("person_id").alias("daily_unique_patients"),
         F.avg(VALUE).alias("daily_avg_value"),
         F.min(VALUE).alias("daily_min_value"),
         F.max(VALUE).alias("daily_max_value"),
@@ -136,8 +183,14 @@ def measurement_trends(measurement: DataFrame, exact: bool = False) -> DataFrame
         _missing().alias("daily_missing_values"),
     )
     percentiles = {"daily_median_value": 0.5, "daily_p25_value": 0.25, "daily_p75_value": 0.75}
-    return _with_percentiles(daily, rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS).select(
-        *keys,
+    sides = [
+        distinct_counts(rows, keys, "person_id", "daily_unique_patients"),
+        grouped_percentiles(rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS),
+    ]
+    return _joined(daily, sides, keys, ["daily_unique_patients"]).select(
+        *days,
+        "measurement_source_value",
+        _unit().alias("unit_source_value"),
         "daily_test_count",
         "daily_unique_patients",
         "daily_avg_value",
@@ -165,15 +218,13 @@ def laboratory_analytics(
     ``integer_division`` truncates the two per-patient and per-day averages to
     whole numbers instead of keeping them as doubles.
     """
-    keys = ["measurement_source_value", "unit_source_value"]
-    rows = measurement.filter(F.col("measurement_source_value") != "")
+    rows, unit_keys = _keyed(measurement.filter(F.col("measurement_source_value") != ""))
+    keys = ["measurement_source_value", *unit_keys]
     total = F.count(F.lit(1))
     stats = (
         rows.groupBy(*keys)
         .agg(
             total.alias("total_test_count"),
-            F.count_distinct("person_id").alias("unique_patients_tested"),
-            F.count_distinct("measurement_date").alias("unique_test_dates"),
             F.min("measurement_date").alias("earliest_test_date"),
             F.max("measurement_date").alias("latest_test_date"),
             _span("measurement_date").alias("test_span_days"),
@@ -198,10 +249,16 @@ def laboratory_analytics(
         divided = part / whole
         return divided.cast("bigint") if integer_division else divided
 
-    return _with_percentiles(stats, rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS).select(
+    sides = [
+        distinct_counts(rows, keys, "person_id", "unique_patients_tested"),
+        distinct_counts(rows, keys, "measurement_date", "unique_test_dates"),
+        grouped_percentiles(rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS),
+    ]
+    counts = ["unique_patients_tested", "unique_test_dates"]
+    return _joined(stats, sides, keys, counts).select(
         F.col("measurement_source_value").alias("lab_test_code"),
-        F.col("unit_source_value").alias("lab_unit"),
-        lab_category("unit_source_value").alias("test_category"),
+        _unit().alias("lab_unit"),
+        lab_category(_unit()).alias("test_category"),
         "total_test_count",
         "unique_patients_tested",
         "unique_test_dates",
