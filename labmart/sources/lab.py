@@ -26,14 +26,13 @@ def _with_lineage(df: DataFrame, source_file: bool) -> DataFrame:
 
 
 def _blanks(df: DataFrame, columns, blank: str) -> DataFrame:
-    if blank == "keep":
+    """The reader gives NULL for an empty field, quoted or not."""
+    if blank == "null":
         return df
-    if blank not in ("null", "empty"):
-        raise ValueError(f"blank must be 'null', 'empty' or 'keep', not {blank!r}")
-    empty = F.lit("")
-    fix = F.nullif if blank == "null" else F.coalesce
+    if blank != "empty":
+        raise ValueError(f"blank must be 'null' or 'empty', not {blank!r}")
     kept = [c for c in df.columns if c not in columns]
-    return df.select(*[fix(F.col(c), empty).alias(c) for c in columns], *kept)
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns], *kept)
 
 
 def scan_lab(
@@ -47,8 +46,7 @@ def scan_lab(
 
     The header of each file is compared with the layout while it is read
     (``enforceSchema`` off), so a file with other columns fails the job instead
-    of shifting values. ``blank`` turns empty fields into NULL, into ``''`` or
-    leaves them as the reader gives them.
+    of shifting values. ``blank`` says whether empty fields become NULL or ``''``.
     """
     columns = LAB_LAYOUTS[layout]
     df = (

@@ -121,9 +121,7 @@ def scan_vocab_query(spark, sf):
     f"SELECT {_list(LAB_27)} FROM scanned WHERE source = '1997'",
 )
 def filter_by_path_query(spark, sf):
-    return filter_by_path(at.scanned(spark, sf, blank="keep"), "%/source=1997/%").select(
-        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in LAB_27]
-    )
+    return filter_by_path(at.scanned(spark, sf), "%/source=1997/%")
 
 
 @register(
@@ -132,7 +130,7 @@ def filter_by_path_query(spark, sf):
     "SELECT visit_id, patient_id, measurement_source_value, source AS source_file FROM lab",
 )
 def source_file_lineage(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf, blank="keep"), pattern=at.SOURCE_PATTERN, group=1)
+    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     return raw.select("visit_id", "patient_id", "measurement_source_value", "source_file")
 
 
@@ -263,10 +261,7 @@ def _streamed(spark, sf) -> DataFrame:
     "WHERE patient_id NOT IN ('', 'nan')",
 )
 def batch_ingest(spark, sf):
-    rows = _streamed(spark, sf).drop("processing_batch")
-    return rows.withColumn(
-        "unit_source_value", F.nullif(F.col("unit_source_value"), F.lit(""))
-    )
+    return _streamed(spark, sf).drop("processing_batch")
 
 
 @register(
@@ -296,9 +291,9 @@ def batch_ingest_progress(spark, sf):
 )
 def union_batches_query(spark, sf):
     current = with_source_file(
-        at.scanned(spark, sf, blank="keep"), "source", at.SOURCE_PATTERN, 1
+        at.scanned(spark, sf), "source", at.SOURCE_PATTERN, 1
     )
-    older = scan_lab(spark, at.lab_csv_15(spark, sf), layout="15", blank="keep")
+    older = scan_lab(spark, at.lab_csv_15(spark, sf), layout="15")
     older = with_source_file(older, "source", at.SOURCE_PATTERN, 1)
     return union_batches([current, older]).select(
         "source",
@@ -306,7 +301,7 @@ def union_batches_query(spark, sf):
         "patient_id",
         "debug_external_test_id",
         "report_id",
-        F.nullif(F.col("abnormal_flag"), F.lit("")).alias("abnormal_flag"),
+        "abnormal_flag",
     )
 
 
@@ -448,9 +443,8 @@ _TEXT_COLUMNS = [c for c in LAB_15 if c not in ("visit_id", "abnormal_flag", "pr
     "FROM scanned WHERE patient_id <> ''",
 )
 def bronze_strings(spark, sf):
-    raw = scan_glob(spark, at.lab_csv(spark, sf) + "/source=*", LAB_27, blank="keep")
+    raw = scan_glob(spark, at.lab_csv(spark, sf) + "/source=*", LAB_27)
     raw = with_source_file(raw, pattern=at.SOURCE_PATTERN, group=1)
-    raw = raw.withColumn("unit_source_value", F.nullif(F.col("unit_source_value"), F.lit("")))
     return bronze.bronze_typed(
         raw, at.BATCH, at.RUN_TS, keep_patients="nonblank", strings=True
     )
@@ -876,7 +870,7 @@ ON measurement_source_value = concept_code
 
 
 def _backfilled(spark, sf) -> DataFrame:
-    return concepts.concept_backfill(at.measurement(spark, sf), _concept(spark, sf))
+    return concepts.concept_backfill(at.stored_measurement(spark, sf), _concept(spark, sf))
 
 
 @register("concept_backfill", "measurement concept", _BACKFILLED)
@@ -898,12 +892,12 @@ def concept_backfill_query(spark, sf):
 
 @register("patient_summary", "measurement", sql.PATIENT_SUMMARY)
 def patient_summary_query(spark, sf):
-    return _rounded(gold.patient_summary(at.measurement(spark, sf)), "stddev_numeric_value")
+    return _rounded(gold.patient_summary(at.stored_measurement(spark, sf)), "stddev_numeric_value")
 
 
 def _trends(spark, sf, exact: bool) -> DataFrame:
     return _rounded(
-        gold.measurement_trends(at.measurement(spark, sf), exact=exact),
+        gold.measurement_trends(at.stored_measurement(spark, sf), exact=exact),
         "daily_stddev_value",
         "daily_median_value",
         "daily_p25_value",
@@ -923,7 +917,7 @@ def measurement_trends_exact(spark, sf):
 
 def _analytics(spark, sf, **options) -> DataFrame:
     return _rounded(
-        gold.laboratory_analytics(at.measurement(spark, sf), **options),
+        gold.laboratory_analytics(at.stored_measurement(spark, sf), **options),
         "stddev_numeric_result",
         "median_numeric_result",
         "p2_5_value",
@@ -953,7 +947,7 @@ def laboratory_analytics_all_tests(spark, sf):
     "FROM patient_summary",
 )
 def datamart_patient_stats_query(spark, sf):
-    stats = gold.datamart_patient_stats(gold.patient_summary(at.measurement(spark, sf)))
+    stats = gold.datamart_patient_stats(gold.patient_summary(at.stored_measurement(spark, sf)))
     return _rounded(
         stats,
         "avg_measurements_per_patient",
@@ -972,7 +966,7 @@ def datamart_patient_stats_query(spark, sf):
     f"FROM ({sql.laboratory_analytics(100)})",
 )
 def datamart_lab_stats_query(spark, sf):
-    analytics = gold.laboratory_analytics(at.measurement(spark, sf), min_count=100)
+    analytics = gold.laboratory_analytics(at.stored_measurement(spark, sf), min_count=100)
     return _rounded(gold.datamart_lab_stats(analytics), "avg_abnormal_percentage")
 
 
@@ -1012,7 +1006,7 @@ def omop_validation_query(spark, sf):
     """,
 )
 def bronze_stats_query(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf, blank="keep"), pattern=at.SOURCE_PATTERN, group=1)
+    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     return audits.bronze_stats(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS))
 
 
@@ -1073,7 +1067,7 @@ def partition_audit_query(spark, sf):
     """,
 )
 def patient_id_profile_query(spark, sf):
-    return audits.patient_id_profile(at.scanned(spark, sf, blank="keep"))
+    return audits.patient_id_profile(at.scanned(spark, sf))
 
 
 @register(
@@ -1084,7 +1078,7 @@ def patient_id_profile_query(spark, sf):
     "true AS accessible FROM lab WHERE patient_id IS NOT NULL",
 )
 def scan_access_check_query(spark, sf):
-    checked = audits.scan_access_check(at.scanned(spark, sf, blank="keep"))
+    checked = audits.scan_access_check(at.scanned(spark, sf))
     return checked.select(
         "total_rows",
         "unique_patients",
@@ -1101,7 +1095,7 @@ def scan_access_check_query(spark, sf):
     "FROM loaded GROUP BY source ORDER BY source LIMIT 10",
 )
 def file_distribution_query(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf, blank="keep"), pattern=at.SOURCE_PATTERN, group=1)
+    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     return audits.file_distribution(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS))
 
 
@@ -1185,7 +1179,7 @@ def enhanced_summary_query(spark, sf):
     """,
 )
 def reconcile_query(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf, blank="keep"), pattern=at.SOURCE_PATTERN, group=1)
+    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     loaded = bronze.bronze_typed(raw, at.BATCH, at.RUN_TS, keep_patients="nonblank")
     return audits.reconcile(raw, loaded)
 
@@ -1198,7 +1192,7 @@ def reconcile_query(spark, sf):
     "COUNT(*) / COUNT(DISTINCT source) AS rows_per_file, MAX(patient_id) AS sample_id FROM lab",
 )
 def glob_profile_query(spark, sf):
-    raw = scan_glob(spark, at.lab_csv(spark, sf) + "/source=[12][09]*/*.csv", blank="keep")
+    raw = scan_glob(spark, at.lab_csv(spark, sf) + "/source=[12][09]*/*.csv")
     return audits.glob_profile(raw, at.source_label())
 
 
@@ -1232,12 +1226,12 @@ def coverage_query(spark, sf):
 )
 def quality_grades_query(spark, sf):
     mapped = audits.quality_grades(audits.omop_validation(_backfilled(spark, sf)))
-    raw = with_source_file(at.scanned(spark, sf, blank="keep"), pattern=at.SOURCE_PATTERN, group=1)
+    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     loaded = audits.quality_grades(
         audits.bronze_stats(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS)), {"expected_rows": 1000}
     )
     types = audits.quality_grades(
-        gold.datamart_lab_stats(gold.laboratory_analytics(at.measurement(spark, sf), min_count=1)),
+        gold.datamart_lab_stats(gold.laboratory_analytics(at.stored_measurement(spark, sf), min_count=1)),
         {"expected_test_types": 30, "minimum_test_types": 20},
     )
     rows = [
@@ -1276,7 +1270,7 @@ def sample_rows_query(spark, sf):
 
 @register("limited_count", "", "SELECT 1000 AS rows")
 def limited_count_query(spark, sf):
-    return audits.limited_count(at.scanned(spark, sf, blank="keep"), 1000)
+    return audits.limited_count(at.scanned(spark, sf), 1000)
 
 
 @register("first_complete_rows", "", "SELECT 10 AS rows, true AS numeric_visits")
