@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from labmart.operators.bronze import bronze_typed
 from labmart.operators.gold import laboratory_analytics, measurement_trends, patient_summary
@@ -16,8 +17,9 @@ from labmart.operators.vocabulary import (
     load_vocabulary,
     vocab_validation,
 )
+from labmart.session import GIB, new_scratch_path
 from labmart.sinks import run_name, staged_publish, write_table
-from labmart.sources import detect_separator, scan_lab, scan_vocab
+from labmart.sources import detect_separator, discover_files, scan_lab, scan_vocab
 
 BRONZE_CLUSTERING = ["patient_id", "measurement_source_value"]
 
@@ -32,10 +34,24 @@ def csv_to_bronze(
     run_ts=None,
     keep_patients: str = "all",
     partitions: int | None = None,
+    parse_once: bool | None = None,
 ) -> str:
-    """CSV files to a bronze table by year and month, clustered by patient and test."""
+    """CSV files to a bronze table by year and month, clustered by patient and test.
+
+    Range clustering reads its input twice: once to find the ranges, once to
+    move the rows. With ``parse_once`` typed rows are first stored as they come,
+    without a shuffle, so that both passes read compressed columns and the text
+    is parsed once. By default that happens from 1 GiB of text on.
+    """
+    if parse_once is None:
+        size = discover_files(spark, path).agg(F.sum("size")).first()[0] or 0
+        parse_once = size >= GIB
     raw = scan_lab(spark, path, layout, source_file=True)
     bronze = bronze_typed(raw, batch, run_ts, keep_patients, partition_columns=True)
+    if parse_once:
+        stored = new_scratch_path(spark, "typed")
+        bronze.write.parquet(stored)
+        bronze = spark.read.schema(bronze.schema).parquet(stored)
     return write_table(
         bronze,
         run_name(table, run_id),
