@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from labmart.functions import not_blank, tolerant
 from labmart.functions.time import SENTINEL_YEAR, as_of_date
 from labmart.schemas import LAB_LAYOUTS, text_schema
-from labmart.sources.lab import CSV_OPTIONS
+from labmart.sources.lab import CSV_OPTIONS, union_batches
 
 
 def _rows() -> Column:
@@ -23,8 +23,22 @@ def _share(part, whole) -> Column:
     return F.lit(100.0) * part / F.nullif(whole, F.lit(0))
 
 
+def _one_row(df: DataFrame, columns: Mapping[str, Column], distinct: Mapping[str, Column]) -> DataFrame:
+    """Totals over a stored table, ``distinct`` ones counted apart.
+
+    Each distinct count reads its own column and shuffles nothing but distinct
+    values; counting several in one aggregate would copy every row per count.
+    The single rows meet in a union.
+    """
+    parts = [df.agg(*[c.alias(name) for name, c in columns.items()])]
+    for name, c in distinct.items():
+        values = df.select(c.alias("v")).filter(F.col("v").isNotNull()).distinct()
+        parts.append(values.agg(_rows().alias(name)))
+    return union_batches(parts).agg(*[F.max(n).alias(n) for n in (*columns, *distinct)])
+
+
 def bronze_stats(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Volume and coverage of bronze.
+    """Volume and coverage of a stored bronze table.
 
     Files and batches are counted where the columns exist. ``strict`` ignores
     blank ids and texts, visit 0, and values that are zero or NaN, and adds the
@@ -35,39 +49,52 @@ def bronze_stats(df: DataFrame, strict: bool = False) -> DataFrame:
     number = F.col("value_as_number")
     if strict:
         real_number = F.when((number != 0) & ~F.isnan(number), number)
-        return df.agg(
-            _rows().alias("total_records"),
-            F.count_distinct(F.when(not_blank("patient_id"), F.col("patient_id"))).alias(
-                "unique_patients"
-            ),
-            F.count_distinct(F.when(F.col("visit_id") != 0, F.col("visit_id"))).alias(
-                "unique_visits"
-            ),
-            F.min(sampling).alias("earliest_sample"),
-            F.max(sampling).alias("latest_sample"),
-            F.count(real_number).alias("numeric_values"),
-            F.count_if(not_blank("value_as_string")).alias("string_values"),
-            F.count_if(not_blank("measurement_source_value")).alias("valid_measurements"),
-            F.avg(real_number).alias("avg_numeric_value"),
-            F.count_if(sampling.isNull()).alias("null_dates"),
+        return _one_row(
+            df,
+            {
+                "total_records": _rows(),
+                "earliest_sample": F.min(sampling),
+                "latest_sample": F.max(sampling),
+                "numeric_values": F.count(real_number),
+                "string_values": F.count_if(not_blank("value_as_string")),
+                "valid_measurements": F.count_if(not_blank("measurement_source_value")),
+                "avg_numeric_value": F.avg(real_number),
+                "null_dates": F.count_if(sampling.isNull()),
+            },
+            {
+                "unique_patients": F.when(not_blank("patient_id"), F.col("patient_id")),
+                "unique_visits": F.when(F.col("visit_id") != 0, F.col("visit_id")),
+            },
+        ).select(
+            "total_records",
+            "unique_patients",
+            "unique_visits",
+            "earliest_sample",
+            "latest_sample",
+            "numeric_values",
+            "string_values",
+            "valid_measurements",
+            "avg_numeric_value",
+            "null_dates",
         )
-    columns = [
-        _rows().alias("total_records"),
-        F.count_distinct("patient_id").alias("unique_patients"),
-        F.count_distinct("visit_id").alias("unique_visits"),
-    ]
-    if "source_file" in df.columns:
-        columns.append(F.count_distinct("source_file").alias("files_processed"))
-    columns += [
-        F.min(sampling).alias("earliest_sample"),
-        F.max(sampling).alias("latest_sample"),
-        F.count(number).alias("numeric_values"),
-        F.count("value_as_string").alias("string_values"),
-    ]
-    if "processing_batch" in df.columns:
-        columns.append(F.count_distinct("processing_batch").alias("batches_processed"))
-    columns.append(F.count_if(code.like("LC:%")).alias("lab_code_measurements"))
-    return df.agg(*columns)
+    labels = {"files_processed": "source_file", "batches_processed": "processing_batch"}
+    distinct = {
+        "unique_patients": F.col("patient_id"),
+        "unique_visits": F.col("visit_id"),
+        **{name: F.col(c) for name, c in labels.items() if c in df.columns},
+    }
+    return _one_row(
+        df,
+        {
+            "total_records": _rows(),
+            "earliest_sample": F.min(sampling),
+            "latest_sample": F.max(sampling),
+            "numeric_values": F.count(number),
+            "string_values": F.count("value_as_string"),
+            "lab_code_measurements": F.count_if(code.like("LC:%")),
+        },
+        distinct,
+    )
 
 
 def partition_audit(df: DataFrame, as_of=None) -> DataFrame:
@@ -165,34 +192,33 @@ def row_counts(tables: Mapping[str, DataFrame], minimum: Mapping[str, int] | Non
 
 def enhanced_summary(enhanced: DataFrame) -> DataFrame:
     """Totals over enhanced bronze."""
-    return enhanced.agg(
-        F.lit("BRONZE INGESTION SUMMARY").alias("summary_type"),
-        _rows().alias("total_records"),
-        F.count_distinct("person_id_hash").alias("unique_patients"),
-        F.count_distinct("visit_id").alias("unique_visits"),
-        F.min("measurement_date").alias("earliest_date"),
-        F.max("measurement_date").alias("latest_date"),
-        F.round(F.avg("data_quality_score"), 3).alias("avg_data_quality"),
-    )
+    return _one_row(
+        enhanced,
+        {
+            "total_records": _rows(),
+            "earliest_date": F.min("measurement_date"),
+            "latest_date": F.max("measurement_date"),
+            "avg_data_quality": F.round(F.avg("data_quality_score"), 3),
+        },
+        {"unique_patients": F.col("person_id_hash"), "unique_visits": F.col("visit_id")},
+    ).select(F.lit("BRONZE INGESTION SUMMARY").alias("summary_type"), "*")
 
 
 def omop_validation(measurement: DataFrame) -> DataFrame:
-    """Mapping and value coverage of MEASUREMENT.
-
-    ``person_id`` is the one distinct count that shuffles per person; concept
-    ids are few.
-    """
+    """Mapping and value coverage of a stored MEASUREMENT table."""
     concept = F.col("measurement_concept_id")
-    counts = measurement.agg(
-        _rows().alias("total_measurements"),
-        F.count_distinct("person_id").alias("unique_patients"),
-        F.count_if(concept > 0).alias("mapped_measurements"),
-        F.count_if(concept == 0).alias("unmapped_measurements"),
-        F.count_if(F.col("unit_concept_id") > 0).alias("mapped_units"),
-        F.count("value_as_number").alias("numeric_values"),
-        F.count_distinct("measurement_concept_id").alias("unique_concepts"),
-        F.min("measurement_date").alias("earliest_measurement"),
-        F.max("measurement_date").alias("latest_measurement"),
+    counts = _one_row(
+        measurement,
+        {
+            "total_measurements": _rows(),
+            "mapped_measurements": F.count_if(concept > 0),
+            "unmapped_measurements": F.count_if(concept == 0),
+            "mapped_units": F.count_if(F.col("unit_concept_id") > 0),
+            "numeric_values": F.count("value_as_number"),
+            "earliest_measurement": F.min("measurement_date"),
+            "latest_measurement": F.max("measurement_date"),
+        },
+        {"unique_patients": F.col("person_id"), "unique_concepts": concept},
     )
     rate = _share(F.col("mapped_measurements"), F.col("total_measurements"))
     return counts.withColumn("mapping_rate_pct", F.coalesce(rate, F.lit(0.0)))

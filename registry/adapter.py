@@ -13,7 +13,7 @@ from labmart.operators.silver import omop_measurement
 from labmart.schemas import LAB_27, VOCAB_FILES
 from labmart.session import new_scratch_path
 from labmart.sinks import write_table
-from labmart.sources import scan_lab, scan_vocab
+from labmart.sources import scan_lab, scan_vocab, with_source_file
 
 AS_OF = dt.date(2002, 1, 1)
 RUN_TS = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -148,6 +148,16 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_stage_once(spark, sf_dir, "bronze", write))
 
 
+def stored_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows of the CSV files, with the source of each, as a plain table."""
+
+    def write(path: str) -> None:
+        raw = with_source_file(scanned(spark, sf_dir), pattern=SOURCE_PATTERN, group=1)
+        bronze_typed(raw, BATCH, RUN_TS).write.parquet(path)
+
+    return spark.read.parquet(_stage_once(spark, sf_dir, "loaded", write))
+
+
 def stored_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MEASUREMENT written by year and month."""
 

@@ -621,7 +621,7 @@ _V5 = (
 
 
 def _enhanced(spark, sf) -> DataFrame:
-    rows = at.bronze(spark, sf, keep_patients="with_visit")
+    rows = bronze.patient_filter(at.stored_bronze(spark, sf).drop("year", "month"), "with_visit")
     return bronze.bronze_enhanced(rows, 5, row_id=None)
 
 
@@ -1006,8 +1006,7 @@ def omop_validation_query(spark, sf):
     """,
 )
 def bronze_stats_query(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
-    return audits.bronze_stats(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS))
+    return audits.bronze_stats(at.stored_loaded(spark, sf))
 
 
 _STRICT = """
@@ -1095,8 +1094,7 @@ def scan_access_check_query(spark, sf):
     "FROM loaded GROUP BY source ORDER BY source LIMIT 10",
 )
 def file_distribution_query(spark, sf):
-    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
-    return audits.file_distribution(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS))
+    return audits.file_distribution(at.stored_loaded(spark, sf))
 
 
 _TOP = (
@@ -1180,7 +1178,7 @@ def enhanced_summary_query(spark, sf):
 )
 def reconcile_query(spark, sf):
     raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
-    loaded = bronze.bronze_typed(raw, at.BATCH, at.RUN_TS, keep_patients="nonblank")
+    loaded = bronze.patient_filter(at.stored_loaded(spark, sf), "nonblank")
     return audits.reconcile(raw, loaded)
 
 
@@ -1206,7 +1204,7 @@ def glob_profile_query(spark, sf):
     f"FROM ({_STRICT})",
 )
 def coverage_query(spark, sf):
-    report = audits.coverage(audits.bronze_stats(at.bronze(spark, sf), strict=True))
+    report = audits.coverage(audits.bronze_stats(at.stored_bronze(spark, sf), strict=True))
     return _rounded(report, *report.columns)
 
 
@@ -1226,9 +1224,8 @@ def coverage_query(spark, sf):
 )
 def quality_grades_query(spark, sf):
     mapped = audits.quality_grades(audits.omop_validation(_backfilled(spark, sf)))
-    raw = with_source_file(at.scanned(spark, sf), pattern=at.SOURCE_PATTERN, group=1)
     loaded = audits.quality_grades(
-        audits.bronze_stats(bronze.bronze_typed(raw, at.BATCH, at.RUN_TS)), {"expected_rows": 1000}
+        audits.bronze_stats(at.stored_loaded(spark, sf)), {"expected_rows": 1000}
     )
     types = audits.quality_grades(
         gold.datamart_lab_stats(gold.laboratory_analytics(at.stored_measurement(spark, sf), min_count=1)),
