@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmart import functions as lf
-from labmart.operators import access, audits, bronze, concepts, gold, silver, vocabulary
+from labmart.operators import access, audits, bronze, concepts, gold, vocabulary
 from labmart.operators.rowid import global_row_id
 from labmart.plans import load_vocabularies
 from labmart.schemas import LAB_15, LAB_27, VOCAB_FILES
@@ -1303,3 +1303,20 @@ def sort_before_write(spark, sf):
         cluster_by=vocabulary.CONCEPT_CLUSTERING,
     )
     return spark.read.parquet(path)
+
+
+@register(
+    "union_all",
+    "bronze loaded",
+    "SELECT patient_id, visit_id, measurement_source_value, source AS source_file, "
+    "CAST(NULL AS INTEGER) AS year FROM loaded UNION ALL "
+    "SELECT patient_id, visit_id, measurement_source_value, NULL, year FROM bronze",
+)
+def union_all(spark, sf):
+    columns = ["patient_id", "visit_id", "measurement_source_value"]
+    return union_batches(
+        [
+            at.stored_loaded(spark, sf).select(*columns, "source_file"),
+            at.stored_bronze(spark, sf).select(*columns, "year"),
+        ]
+    )
