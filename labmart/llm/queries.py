@@ -8,11 +8,15 @@ rows instead.
 
 from __future__ import annotations
 
+from labmart.llm.langid import op4_langid
+from labmart.llm.quality import op10_quality
 from labmart.llm.shards import op7_shards
 from labmart.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_langid": op4_langid,
     "op7_shards": op7_shards,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
