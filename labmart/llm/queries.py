@@ -9,13 +9,17 @@ rows instead.
 from __future__ import annotations
 
 from labmart.llm.langid import op4_langid
+from labmart.llm.packing import op5_packing
 from labmart.llm.quality import op10_quality
 from labmart.llm.shards import op7_shards
 from labmart.llm.simhash import op1_simhash
+from labmart.llm.token_blocks import op2_token_ids
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_token_ids": op2_token_ids,
     "op4_langid": op4_langid,
+    "op5_packing": op5_packing,
     "op7_shards": op7_shards,
     "op10_quality": op10_quality,
 }
