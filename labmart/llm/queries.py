@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from labmart.llm.langid import op4_langid
 from labmart.llm.packing import op5_packing
+from labmart.llm.pitman_yor import op8_pitman_yor
 from labmart.llm.quality import op10_quality
 from labmart.llm.shards import op7_shards
 from labmart.llm.simhash import op1_simhash
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_packing": op5_packing,
     "op7_shards": op7_shards,
+    "op8_pitman_yor": op8_pitman_yor,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
