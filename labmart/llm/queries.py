@@ -8,6 +8,7 @@ rows instead.
 
 from __future__ import annotations
 
+from labmart.llm.decontaminate import op3_decontaminate
 from labmart.llm.langid import op4_langid
 from labmart.llm.packing import op5_packing
 from labmart.llm.pitman_yor import op8_pitman_yor
@@ -19,6 +20,7 @@ from labmart.llm.token_blocks import op2_token_ids
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_ids": op2_token_ids,
+    "op3_decontaminate": op3_decontaminate,
     "op4_langid": op4_langid,
     "op5_packing": op5_packing,
     "op7_shards": op7_shards,
