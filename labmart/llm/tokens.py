@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
-#: Pieces that a worker remembers: the first it meets, which are the frequent ones.
-MEMORY = 300_000
+#: Pieces, and parts of pieces, that a worker remembers: the first it meets, the frequent ones.
+MEMORY = 500_000
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
+# A word of Latin letters, then marks, line feeds and words that every pattern here keeps apart.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIMPLE = re.compile(rf" ?[{_LATIN}]+(?:[.,;:!?]+|\n(?!\n)|(?<=[.,;:!?\n])[{_LATIN}]+)*")
+_PARTS = re.compile(rf" ?[{_LATIN}]+|[.,;:!?]+|\n")
 
 
 def _byte_letters() -> list[str]:
@@ -41,52 +46,57 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model, self.style = self.tokenizer.model, style
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, piece: str) -> bytes | None:
-        word = piece[1:] if piece[0] == " " else piece
-        if self.style is None or not word.isalpha() or max(word) > "ÿ":
-            return None
-        if self.style == "word":
-            word = word.lower()
-        if not word.isascii():
-            word = "".join(map(LETTERS.__getitem__, word.encode()))
-        if self.style == "byte" and piece[0] == " ":
-            word = LETTERS[32] + word
-        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        found, rest = {}, []
-        for p in pieces:
-            ids = self._plain(p) if p else b""
-            if ids is None:
-                rest.append(p)
-            else:
-                found[p] = ids
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        found |= {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, encoded)}
-        for p, ids in found.items():
-            if len(self.known) >= MEMORY:
-                break
-            self.known[p] = ids
-        return found
+        # Pieces after a space, by what follows the space; parts as they are.
+        self.after_space: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        """A word with or without a space before it, or marks, or a line feed."""
+        known = self.parts.get(part)
+        if known is not None:
+            return known
+        word = part[1:] if part[0] == " " else part
+        if word.isalpha():
+            if self.style == "word":
+                word = word.lower()
+            if not word.isascii():
+                word = "".join(map(LETTERS.__getitem__, word.encode()))
+            if self.style == "byte" and part[0] == " ":
+                word = LETTERS[32] + word
+            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        else:
+            ids = self._whole(part)
+        if len(self.parts) < MEMORY:
+            self.parts[part] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return array("I", encoded.ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if self.style is not None and _SIMPLE.fullmatch(piece):
+            return b"".join(map(self._part, _PARTS.findall(piece)))
+        return self._whole(piece) if piece else b""
+
+    def _encode(self, text: str) -> bytes:
+        rest = text.split(" ")
+        # All white space stands alone and inside, and is a space or a line feed.
+        if text.count(" ") + text.count("\n") + 1 != len(text.split()):
+            rest = _SPLIT.split(text)
+        first, rest = rest[0], rest[1:]
+        ids = list(map(self.after_space.get, rest))
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    ids[i] = self._piece(" " + rest[i])
+                    if len(self.after_space) < MEMORY:
+                        self.after_space[rest[i]] = ids[i]
+        return self._piece(first) + b"".join(ids)
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text as uint32; null counts as empty."""
-        split = []
-        for text in texts:
-            parts = (text or "").split(" ")
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-                parts = _SPLIT.split(text or "")
-            split.append([parts[0], *map(" ".__add__, parts[1:])])
-        known = self.known
-        new = {p for pieces in split for p in pieces if p not in known}
-        fresh = self._learn(new) if new else {}
-        out = []
-        for pieces in split:
-            ids = [known[p] if p in known else fresh[p] for p in pieces]
-            out.append(np.frombuffer(b"".join(ids), "<u4"))
-        return out
+        return [np.frombuffer(self._encode(text or ""), np.uint32) for text in texts]
 
 
 def encoder(path: str, style: str | None = None) -> Encoder:
