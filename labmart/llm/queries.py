@@ -1,15 +1,15 @@
 """One query per corpus operator, over its whole table.
 
-None has an SQL counterpart: fingerprint linking needs transitive closure over
-bit distances, and heaps, tokenizers, samplers and learned models are outside
-SQL; ``tests/llm`` holds them against brute force, round trips and held-out
-rows instead.
+Only the licence scan has an SQL counterpart: transitive closure over bit
+distances, heaps, tokenizers, samplers and learned models are outside SQL, and
+``tests/llm`` holds them against brute force, round trips and held-out rows.
 """
 
 from __future__ import annotations
 
 from labmart.llm.decontaminate import op3_decontaminate
 from labmart.llm.langid import op4_langid
+from labmart.llm.licenses import OP9_SQL, op9_licenses
 from labmart.llm.packing import op5_packing
 from labmart.llm.pitman_yor import op8_pitman_yor
 from labmart.llm.quality import op10_quality
@@ -25,6 +25,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op7_shards": op7_shards,
     "op8_pitman_yor": op8_pitman_yor,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op9_licenses": OP9_SQL}
