@@ -7,6 +7,7 @@ distances, heaps, tokenizers, samplers and learned models are outside SQL, and
 
 from __future__ import annotations
 
+from labmart.llm.collisions import op6_nearest
 from labmart.llm.decontaminate import op3_decontaminate
 from labmart.llm.langid import op4_langid
 from labmart.llm.licenses import OP9_SQL, op9_licenses
@@ -23,6 +24,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_langid": op4_langid,
     "op5_packing": op5_packing,
+    "op6_nearest": op6_nearest,
     "op7_shards": op7_shards,
     "op8_pitman_yor": op8_pitman_yor,
     "op9_licenses": op9_licenses,
