@@ -7,29 +7,35 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmart.session import MIB, broadcast_if_small
+
+#: Partition columns of a table, and the columns whose year and month they hold.
+PARTITIONS = {
+    ("year", "month"): ("sampling_datetime_utc",),
+    ("measurement_year", "measurement_month"): ("measurement_date", "measurement_datetime"),
+}
 
 
 def time_range(
     df: DataFrame, start: dt.date, end: dt.date | None = None, c: str = "sampling_datetime_utc"
 ) -> DataFrame:
-    """Rows sampled on or after ``start`` and, if given, up to the instant ``end`` (midnight).
+    """Rows timed on or after ``start`` and, if given, up to the instant ``end`` (midnight).
 
-    Tables partitioned by year and month get the matching partition filter too:
-    Spark cannot derive it from the timestamp.
+    If the table is partitioned by year and month of ``c``, the matching
+    partition filter is added, which Spark cannot derive from the timestamp.
+    Any other time column is filtered by itself.
     """
     low = F.lit(start.isoformat()).cast("timestamp_ntz")
     rows = df.filter(F.col(c) >= low)
-    partitioned = {"year", "month"} <= set(df.columns)
-    month_no = F.col("year") * 12 + F.col("month") if partitioned else None
-    if partitioned:
-        rows = rows.filter(F.col("year") >= start.year)
-        rows = rows.filter(month_no >= start.year * 12 + start.month)
     if end is not None:
         rows = rows.filter(F.col(c) <= F.lit(end.isoformat()).cast("timestamp_ntz"))
-        if partitioned:
-            rows = rows.filter(F.col("year") <= end.year)
-            rows = rows.filter(month_no <= end.year * 12 + end.month)
+    for (year, month), timed in PARTITIONS.items():
+        if c in timed and {year, month} <= set(df.columns):
+            month_no = F.col(year) * 12 + F.col(month)
+            rows = rows.filter(F.col(year) >= start.year)
+            rows = rows.filter(month_no >= start.year * 12 + start.month)
+            if end is not None:
+                rows = rows.filter(F.col(year) <= end.year)
+                rows = rows.filter(month_no <= end.year * 12 + end.month)
     return rows
 
 
@@ -37,11 +43,13 @@ def time_range_count(df: DataFrame, start: dt.date, end: dt.date | None = None)
     return time_range(df, start, end).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def cohort_filter(df: DataFrame, patients, max_broadcast_bytes: int = 128 * MIB) -> DataFrame:
-    """Rows of the given patients: a list of ids, or a frame with a ``patient_id`` column."""
+def cohort_filter(df: DataFrame, patients) -> DataFrame:
+    """Rows of the given patients: a list of ids, or a frame with a ``patient_id`` column.
+
+    A frame is left to Spark to broadcast or shuffle, by its size at run time.
+    """
     if isinstance(patients, DataFrame):
-        ids = broadcast_if_small(patients.select("patient_id").distinct(), max_broadcast_bytes)
-        return df.join(ids, "patient_id", "left_semi")
+        return df.join(patients.select("patient_id").distinct(), "patient_id", "left_semi")
     return df.filter(F.col("patient_id").isin(*patients))
 
 

@@ -27,22 +27,26 @@ _STAND_INS = {"abnormal_flag": F.lit, "provider_id": F.col}
 _STAND_IN_ARGUMENT = {"abnormal_flag": "", "provider_id": "report_id"}
 
 
-def patient_filter(df: DataFrame, mode: str = "all") -> DataFrame:
-    """Keep rows with a usable patient id.
+def patient_rule(mode: str) -> Column:
+    """True for a usable patient id, false otherwise, also for NULL.
 
     all: everything; nonblank: not NULL or empty; trimmed: not only spaces;
     with_visit: nonblank and a visit id; not_nan: nonblank and not the text nan.
     """
     patient = F.col("patient_id")
     rules = {
+        "all": F.lit(True),
         "nonblank": patient != "",
         "trimmed": not_blank("patient_id"),
         "with_visit": (patient != "") & F.col("visit_id").isNotNull(),
         "not_nan": ~patient.isin("", "nan"),
     }
-    if mode == "all":
-        return df
-    return df.filter(rules[mode])
+    return F.coalesce(rules[mode], F.lit(False))
+
+
+def patient_filter(df: DataFrame, mode: str = "all") -> DataFrame:
+    """Keep rows with a usable patient id; see ``patient_rule`` for the modes."""
+    return df if mode == "all" else df.filter(patient_rule(mode))
 
 
 def _raw_column(df: DataFrame, name: str) -> Column:

@@ -5,34 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmart.session import MIB, broadcast_if_small
 
-
-def concept_lookup(
-    bronze: DataFrame, concept: DataFrame, columns=None, max_broadcast_bytes: int = 128 * MIB
-) -> DataFrame:
+def concept_lookup(bronze: DataFrame, concept: DataFrame, columns=None) -> DataFrame:
     """Inner join of rows with concepts on the test code.
 
     A code held by several vocabularies gives several rows; filter ``concept``
-    first where one is wanted. The concept side is cut to the wanted columns
-    and broadcast when it measures small. A larger vocabulary is reduced to the
-    codes in use, then measured again; past that it is an ordinary join, which
-    AQE splits at hot codes.
+    first where one is wanted. The concept side is cut to the wanted columns;
+    AQE broadcasts it if it turns out small (``build_session`` sets 128 MB) and
+    splits hot codes otherwise.
     """
     wanted = ["concept_code", *(columns or [c for c in concept.columns if c != "concept_code"])]
     side = concept.select(*wanted).filter(F.col("concept_code").isNotNull())
-    side = _small_or_used(side, bronze, max_broadcast_bytes)
     return bronze.join(side, F.col("measurement_source_value") == F.col("concept_code"), "inner")
 
 
-def _small_or_used(side: DataFrame, rows: DataFrame, max_bytes: int) -> DataFrame:
-    hinted = broadcast_if_small(side, max_bytes)
-    if hinted is not side:
-        return hinted
-    used = rows.select(F.col("measurement_source_value").alias("concept_code")).distinct()
-    return broadcast_if_small(side.join(used, "concept_code", "left_semi"), max_bytes)
-
-
 def code_concepts(
     concept: DataFrame, code_map: DataFrame | None = None, vocabularies=("LOINC",)
 ) -> DataFrame:
@@ -59,15 +45,12 @@ def concept_backfill(
     concept: DataFrame,
     code_map: DataFrame | None = None,
     vocabularies=("LOINC",),
-    max_broadcast_bytes: int = 128 * MIB,
 ) -> DataFrame:
     """Fill both concept ids of MEASUREMENT; 0 where the code has no concept."""
     codes = code_concepts(concept, code_map, vocabularies).withColumnRenamed(
         "measurement_source_value", "concept_code"
     )
-    side = _small_or_used(codes, measurement, max_broadcast_bytes).withColumnRenamed(
-        "concept_id", "__found"
-    )
+    side = codes.withColumnRenamed("concept_id", "__found")
     joined = measurement.join(
         side, F.col("measurement_source_value") == F.col("concept_code"), "left"
     )

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labmart.functions import lab_category
 from labmart.mappings import ABNORMAL_CONCEPT, HIGH_CONCEPT, NORMAL_CONCEPT
 
 VALUE = "value_as_number"
-HISTOGRAM_DIGITS = 5
+# Value ranges per power of two in the first step of the percentiles.
+STEPS = 256
 
 
 def _missing() -> Column:
@@ -113,34 +114,74 @@ def patient_summary(measurement: DataFrame) -> DataFrame:
     )
 
 
-def grouped_percentiles(
-    df: DataFrame, keys: list[str], names: dict[str, float], digits: int | None = HISTOGRAM_DIGITS
-) -> DataFrame:
-    """Percentiles of the measured value per group, from a histogram of values.
-
-    First every (group, value) pair is counted: combined before the shuffle and
-    spread by value, so a group with a third of all rows is shared by many
-    tasks. The final step sees one row per distinct value. ``digits`` rounds
-    values to that many significant digits first, which bounds the histogram
-    (90,000 steps per power of ten at 5 digits) whatever the data; ``None``
-    keeps the values as they are and gives exact percentiles.
+def _value_range(value: Column) -> Column:
+    """Number of the value's range; a larger value never has a smaller number.
+
+    Ranges are 1/256 of a power of two wide, so there are at most 1.1 million
+    of them whatever the data. Infinities and NaN (the largest) have their own.
     """
-    value = F.col(VALUE)
-    if digits is not None:
-        scale = F.pow(
-            F.lit(10.0), F.lit(float(digits - 1)) - F.floor(F.log10(F.abs(value)))
-        )
-        usable = (value != 0) & ~F.isnan(value) & (F.abs(value) < 1e290) & (F.abs(value) > 1e-290)
-        value = F.when(usable, F.rint(value * scale) / scale).otherwise(value)
+    size = F.abs(value)
+    finite = F.floor(F.log2(size) * STEPS).cast("bigint") + 1100 * STEPS
+    step = F.when(size == float("inf"), 4000 * STEPS).otherwise(finite)
+    return (
+        F.when(F.isnan(value), 4001 * STEPS)
+        .when(value > 0, step).when(value < 0, -step).otherwise(0).cast("bigint")
+    )
+
+
+def grouped_percentiles(df: DataFrame, keys: list[str], names: dict[str, float]) -> DataFrame:
+    """Exact percentiles of the measured value per group, interpolated between neighbours.
+
+    Every (group, value) pair is counted first, combined before the shuffle and
+    spread by value. Ranks are then selected in two steps: running counts over
+    a group's value ranges, of which there is a bounded number, name the ranges
+    that hold a wanted rank; running counts over the values of those ranges
+    alone give the values. No task sees all values of a group, and values stay
+    as they are.
+    """
+    value, n = F.col("__value"), F.col("__n")
     histogram = (
         df.filter(F.col(VALUE).isNotNull())
-        .groupBy(*keys, value.alias("__value"))
+        .groupBy(*keys, F.col(VALUE).alias("__value"))
         .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__range", _value_range(value))
+    )
+    group = Window.partitionBy(*keys)
+    up_to = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (
+        histogram.groupBy(*keys, "__range").agg(F.sum("__n").alias("__in"))
+        .withColumns({"__upto": F.sum("__in").over(up_to), "__all": F.sum("__in").over(group)})
+        .withColumn("__before", F.col("__upto") - F.col("__in"))
+    )
+    place = {name: (F.col("__all") - 1) * F.lit(p) for name, p in names.items()}
+    ranks = [f(x) for x in place.values() for f in (F.floor, F.ceil)]
+
+    def holds(low: Column, high: Column, rank: Column) -> Column:
+        return (low <= rank) & (rank < high)
+
+    wanted = ranges.filter(
+        reduce(lambda a, b: a | b, [holds(F.col("__before"), F.col("__upto"), r) for r in ranks])
+    ).select(*keys, "__range", "__before", "__all")
+    inside = Window.partitionBy(*keys, "__range").orderBy("__value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    placed = histogram.join(wanted, [*keys, "__range"]).withColumn(
+        "__to", F.col("__before") + F.sum("__n").over(inside)
     )
-    at = F.array(*[F.lit(p) for p in names.values()])
-    result = histogram.groupBy(*keys).agg(F.percentile("__value", at, F.col("__n")).alias("__p"))
-    return result.select(
-        *keys, *[F.get("__p", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    ends = {}
+    for name, x in place.items():
+        for end, f in (("low", F.floor), ("high", F.ceil)):
+            here = holds(F.col("__to") - n, F.col("__to"), f(x))
+            ends[f"__{name}_{end}"] = F.max(F.when(here, value))
+        ends[f"__{name}_part"] = F.max(x - F.floor(x))
+    found = placed.groupBy(*keys).agg(*[v.alias(k) for k, v in ends.items()])
+    low, high, part = ((lambda m, e=e: F.col(f"__{m}_{e}")) for e in ("low", "high", "part"))
+    return found.select(
+        *keys,
+        *[
+            F.when(low(m) == high(m), low(m)).otherwise(low(m) + (high(m) - low(m)) * part(m)).alias(m)
+            for m in names
+        ],
     )
 
 
@@ -155,7 +196,7 @@ def _unit() -> Column:
     return F.when(~F.col("__no_unit"), F.col("__unit"))
 
 
-def measurement_trends(measurement: DataFrame, exact: bool = False) -> DataFrame:
+def measurement_trends(measurement: DataFrame) -> DataFrame:
     """One row per day, test and unit: volumes, value distribution, abnormal shares."""
     days = ["measurement_year", "measurement_month", "measurement_date"]
     dated = measurement.dropna(subset=["measurement_date", "measurement_source_value"])
@@ -185,7 +226,7 @@ def measurement_trends(measurement: DataFrame, exact: bool = False) -> DataFrame
     percentiles = {"daily_median_value": 0.5, "daily_p25_value": 0.25, "daily_p75_value": 0.75}
     sides = [
         distinct_counts(rows, keys, "person_id", "daily_unique_patients"),
-        grouped_percentiles(rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS),
+        grouped_percentiles(rows, keys, percentiles),
     ]
     return _joined(daily, sides, keys, ["daily_unique_patients"]).select(
         *days,
@@ -210,7 +251,6 @@ def measurement_trends(measurement: DataFrame, exact: bool = False) -> DataFrame
 def laboratory_analytics(
     measurement: DataFrame,
     min_count: int = 1000,
-    exact: bool = False,
     integer_division: bool = False,
 ) -> DataFrame:
     """One row per test and unit with at least ``min_count`` results.
@@ -252,7 +292,7 @@ def laboratory_analytics(
     sides = [
         distinct_counts(rows, keys, "person_id", "unique_patients_tested"),
         distinct_counts(rows, keys, "measurement_date", "unique_test_dates"),
-        grouped_percentiles(rows, keys, percentiles, None if exact else HISTOGRAM_DIGITS),
+        grouped_percentiles(rows, keys, percentiles),
     ]
     counts = ["unique_patients_tested", "unique_test_dates"]
     return _joined(stats, sides, keys, counts).select(

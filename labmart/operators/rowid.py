@@ -62,7 +62,7 @@ def global_row_id(
         "__chunk",
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
     )
-    return indexed.join(F.broadcast(offsets), ["__file", "__chunk"]).select(
+    return indexed.join(offsets, ["__file", "__chunk"]).select(
         *[F.col(c) for c in df.columns],
         (F.col("__before") + F.col("__index") + 1).alias(out),
     )

@@ -1,13 +1,11 @@
-"""Session settings, the shared working folder and the checked broadcast."""
+"""Session settings and the shared working folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
@@ -41,6 +39,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "128m")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", "128m")
     )
@@ -76,24 +75,3 @@ def scratch_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier call has returned."""
     return f"{scratch_dir(spark)}/labmart/{label}-{uuid.uuid4().hex}"
-
-
-def payload_bytes(df: DataFrame) -> int:
-    """Bytes held by all values of ``df``, measured by one small aggregate job."""
-    width = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16
-        else:
-            size = F.lit(16)
-        width = width + size.cast("bigint")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = 128 * MIB) -> DataFrame:
-    """``df`` with a broadcast hint when its measured payload is at most ``max_bytes``.
-
-    Beyond that the frame comes back without a hint: the join then shuffles
-    both sides and AQE splits skewed partitions.
-    """
-    return F.broadcast(df) if payload_bytes(df) <= max_bytes else df

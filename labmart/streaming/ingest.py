@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,37 +21,52 @@ def ingest_stream(
     files_per_batch: int = 10,
     layout: str = "27",
     keep_patients: str = "not_nan",
-    label: str = "batch_{}_v12",
+    label: str = "batch",
     run_ts=None,
     source_pattern: str = FILE_NAME_PATTERN,
     source_group: int = 0,
+    bytes_per_batch: str | None = None,
 ) -> StreamingQuery:
     """Load all files below ``path`` that no earlier run has loaded, some per batch.
 
     The checkpoint knows the files of each batch, and a batch overwrites its own
-    ``processing_batch=...`` directory, so a batch that is repeated after a
-    failure leaves its rows once. Run again to pick up new files.
+    ``processing_batch=<label>_<stream>_<number>`` directory, so a batch that is
+    repeated after a failure leaves its rows once. The stream's part of the name
+    is the id that Spark keeps in the checkpoint: streams that share a target,
+    or a new checkpoint, never meet each other's directories. Run again to pick
+    up new files. ``bytes_per_batch`` (such as ``1t``) sizes batches by volume
+    instead of by files.
     """
+    limit = ("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else (
+        "maxFilesPerTrigger", files_per_batch
+    )
     files = (
         spark.readStream.schema(text_schema(LAB_LAYOUTS[layout]))
         .options(**CSV_OPTIONS)
         .option("enforceSchema", "false")
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option(*limit)
         .csv(path)
     )
     rows = with_source_file(files, pattern=source_pattern, group=source_group)
 
+    stream: list[str] = []
+    named = threading.Event()
+
     def load(batch: DataFrame, epoch: int) -> None:
-        name = label.format(epoch + 1)
+        named.wait()
+        name = f"{label}_{stream[0]}_{epoch + 1}"
         typed = bronze_typed(batch, name, run_ts, keep_patients).drop("processing_batch")
         typed.write.mode("overwrite").parquet(f"{target}/processing_batch={name}")
 
-    return (
+    query = (
         rows.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    stream.append(str(query.id).replace("-", ""))
+    named.set()
+    return query
 
 
 def batch_progress(loaded: DataFrame) -> DataFrame:

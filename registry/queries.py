@@ -273,7 +273,7 @@ def batch_ingest_progress(spark, sf):
     progress = batch_progress(_streamed(spark, sf))
     return progress.agg(
         F.sum("rows").alias("rows"),
-        F.bool_and(F.col("processing_batch").rlike("^batch_[0-9]+_v12$")).alias("labelled"),
+        F.bool_and(F.col("processing_batch").rlike("^batch_[0-9a-f]{32}_[0-9]+$")).alias("labelled"),
     )
 
 
@@ -362,10 +362,11 @@ def write_bucketed(spark, sf):
     "append_with_quarantine",
     "lab",
     """
-    SELECT CASE WHEN value_as_number IS NULL AND value_as_string IS NOT NULL
-      THEN 'value_as_number' ELSE 'accepted' END AS outcome,
+    SELECT coalesce(nullif(concat_ws(',',
+        CASE WHEN value_as_number IS NULL AND value_as_string IS NOT NULL THEN 'value_as_number' END,
+        CASE WHEN coalesce(patient_id, '') IN ('', 'nan') THEN 'patient_id' END), ''), 'accepted') AS outcome,
       COUNT(*) AS rows, COUNT(DISTINCT patient_id) AS patients
-    FROM lab WHERE patient_id NOT IN ('', 'nan') GROUP BY 1
+    FROM lab GROUP BY 1
     """,
 )
 def append_with_quarantine_query(spark, sf):
@@ -795,6 +796,39 @@ def time_range_count_query(spark, sf):
     )
 
 
+@register(
+    "time_range_by_result",
+    "bronze",
+    "SELECT patient_id, visit_id, sampling_datetime_utc, result_datetime_utc FROM bronze "
+    "WHERE result_datetime_utc >= TIMESTAMP '1997-12-01 00:00:00' "
+    "AND result_datetime_utc <= TIMESTAMP '1998-01-01 00:00:00'",
+)
+def time_range_by_result(spark, sf):
+    rows = access.time_range(
+        at.stored_bronze(spark, sf), dt.date(1997, 12, 1), dt.date(1998, 1, 1), "result_datetime_utc"
+    )
+    return rows.select("patient_id", "visit_id", "sampling_datetime_utc", "result_datetime_utc")
+
+
+@register(
+    "batch_ingest_two_streams",
+    "loaded",
+    f"SELECT {_list(LAB_15)}, load_timestamp, source AS source_file FROM loaded "
+    "WHERE patient_id NOT IN ('', 'nan') UNION ALL "
+    f"SELECT {_list(LAB_15)}, load_timestamp, source AS source_file FROM loaded "
+    "WHERE patient_id NOT IN ('', 'nan')",
+)
+def batch_ingest_two_streams(spark, sf):
+    """Two streams with checkpoints of their own load the same files into one target."""
+    target = new_scratch_path(spark, "streams")
+    for name in ("first", "second"):
+        ingest_stream(
+            spark, at.lab_csv(spark, sf) + "/*", f"{target}/data", f"{target}/{name}",
+            run_ts=at.RUN_TS, source_pattern=at.SOURCE_PATTERN, source_group=1,
+        ).awaitTermination()
+    return spark.read.parquet(f"{target}/data").drop("processing_batch")
+
+
 @register(
     "cohort_filter",
     "bronze",
@@ -895,9 +929,9 @@ def patient_summary_query(spark, sf):
     return _rounded(gold.patient_summary(at.stored_measurement(spark, sf)), "stddev_numeric_value")
 
 
-def _trends(spark, sf, exact: bool) -> DataFrame:
+def _trends(measurement: DataFrame) -> DataFrame:
     return _rounded(
-        gold.measurement_trends(at.stored_measurement(spark, sf), exact=exact),
+        gold.measurement_trends(measurement),
         "daily_stddev_value",
         "daily_median_value",
         "daily_p25_value",
@@ -907,12 +941,23 @@ def _trends(spark, sf, exact: bool) -> DataFrame:
 
 @register("measurement_trends", "measurement", sql.MEASUREMENT_TRENDS)
 def measurement_trends_query(spark, sf):
-    return _trends(spark, sf, exact=False)
+    return _trends(at.stored_measurement(spark, sf))
+
 
+# Values with seven digits, on both sides of zero.
+_DECIMAL = "value_as_number * 1000.0625 - 25001.5625"
 
-@register("measurement_trends_exact", "measurement", sql.MEASUREMENT_TRENDS)
+
+@register(
+    "measurement_trends_exact",
+    "measurement",
+    sql.MEASUREMENT_TRENDS.replace(
+        "FROM measurement", f"FROM (SELECT * REPLACE ({_DECIMAL} AS value_as_number) FROM measurement)"
+    ),
+)
 def measurement_trends_exact(spark, sf):
-    return _trends(spark, sf, exact=True)
+    rows = at.stored_measurement(spark, sf)
+    return _trends(rows.withColumn("value_as_number", F.col("value_as_number") * 1000.0625 - 25001.5625))
 
 
 def _analytics(spark, sf, **options) -> DataFrame:
@@ -932,7 +977,7 @@ def laboratory_analytics_query(spark, sf):
 
 @register("laboratory_analytics_all_tests", "measurement", sql.laboratory_analytics(1, integer=True))
 def laboratory_analytics_all_tests(spark, sf):
-    return _analytics(spark, sf, min_count=1, exact=True, integer_division=True)
+    return _analytics(spark, sf, min_count=1, integer_division=True)
 
 
 @register(

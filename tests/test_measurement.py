@@ -176,18 +176,31 @@ def test_thresholds_and_division_modes(spark):
     assert patients.total_patients == 400 and patients.patients_with_10plus_measurements == 0
 
 
-def test_percentile_histogram_is_bounded_and_close(spark):
-    df = spark.range(0, 20000).select(
-        F.lit("k").alias("k"), (F.exp(F.col("id") / 2000) * 1.23456789 - 3).alias("value_as_number")
+def test_percentiles_are_exact(spark):
+    """Long decimals, negatives, ties, infinities and a group with a third of the rows."""
+    i = F.col("id")
+    df = spark.range(0, 6000, numPartitions=5).select(
+        F.when(i % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (i % 70).cast("string"))).alias("k"),
+        (F.exp(i % 977 / 90) * 1.23456789 - 3000 * (i % 2)).alias("value_as_number"),
     )
-    at = {"a": 0.025, "b": 0.5, "c": 0.975}
-    rounded = grouped_percentiles(df, ["k"], at, 3).first()
-    exact = grouped_percentiles(df, ["k"], at, None).first()
-    for name in at:
-        assert rounded[name] == pytest.approx(exact[name], rel=1e-2)
-    odd = spark.createDataFrame([("k", 0.0), ("k", -5.0), ("k", float("nan")), ("k", 1e300)], "k string, value_as_number double")
-    row = grouped_percentiles(odd, ["k"], {"lo": 0.0}, 3).first()
-    assert row.lo == -5.0
+    at = {"least": 0.0, "a": 0.025, "b": 0.5, "c": 0.975, "most": 1.0}
+    found = {r.k: r for r in grouped_percentiles(df, ["k"], at).collect()}
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r.k, []).append(r.value_as_number)
+    assert set(found) == set(groups)
+    for k, own in groups.items():
+        for name, p in at.items():
+            assert found[k][name] == pytest.approx(percentile(sorted(own), p), rel=1e-12)
+        assert found[k].least <= found[k].b <= found[k].most
+    close_by = spark.createDataFrame([(x,) for x in (100004.0, 100004.1, 100004.2)], "value_as_number double")
+    assert grouped_percentiles(close_by, [], {"m": 0.5}).first().m == 100004.1
+    odd = [0.0, -5.0, float("inf"), float("-inf"), 5e-324, 1e308, None]
+    odd = spark.createDataFrame([("k", x) for x in odd], "k string, value_as_number double")
+    row = grouped_percentiles(odd, ["k"], {"lo": 0.0, "p": 0.2, "z": 0.4, "t": 0.6, "h": 0.8, "hi": 1.0}).first()
+    assert tuple(row)[1:] == (float("-inf"), -5.0, 0.0, 5e-324, 1e308, float("inf"))
+    plan = grouped_percentiles(df, ["k"], at)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan
 
 
 def test_concepts_join_alike_with_and_without_broadcast(spark):
@@ -196,15 +209,17 @@ def test_concepts_join_alike_with_and_without_broadcast(spark):
         [(11, "LC:1", "LOINC"), (10, "LC:1", "LOINC"), (5, "LC:1", "Local"), (7, "LC:2", "Local"), (8, "X-2", "LOINC"), (9, None, "LOINC")],
         "concept_id bigint, concept_code string, vocabulary_id string",
     )
-    for limit in (1 << 20, 0):
-        joined = concept_lookup(m, concept, max_broadcast_bytes=limit)
+    for limit in ("1m", "-1"):
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
+        joined = concept_lookup(m, concept)
         assert joined.count() == 7
-        filled = concept_backfill(m, concept, max_broadcast_bytes=limit)
+        filled = concept_backfill(m, concept)
         assert filled.columns == m.columns
         assert sorted(r.measurement_concept_id for r in filled.collect()) == [0, 0, 10, 10]
         codes = spark.createDataFrame([("LC:2", "X-2")], "source_code string, concept_code string")
-        mapped = concept_backfill(m, concept, codes, max_broadcast_bytes=limit)
+        mapped = concept_backfill(m, concept, codes)
         assert sorted(r.measurement_concept_id for r in mapped.collect()) == [0, 0, 0, 8]
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     report = audits.omop_validation(filled).first()
     assert (report.mapped_measurements, report.mapping_rate_pct) == (2, 50.0)
     assert audits.omop_validation(m.limit(0)).first().mapping_rate_pct == 0.0

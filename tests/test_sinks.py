@@ -73,6 +73,12 @@ def test_partition_filter_reaches_the_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "year" in filters and "month" in filters
+    late = spark.createDataFrame(
+        [(1999, 12, dt.datetime(1999, 12, 30), dt.datetime(2000, 1, 2))],
+        "year int, month int, sampling_datetime_utc timestamp_ntz, result_datetime_utc timestamp_ntz",
+    )
+    assert time_range(late, dt.date(2000, 1, 1)).count() == 0
+    assert time_range(late, dt.date(2000, 1, 1), c="result_datetime_utc").count() == 1
 
 
 def test_bucketed_table(spark, database):
@@ -106,12 +112,17 @@ def test_quarantine_keeps_every_row(spark, tmp_path):
         {"value_as_number": "x", "visit_id": "y"},
         {"value_as_number": "", "report_date_utc": None},
         {"patient_id": "nan"},
+        {"patient_id": None},
+        {"patient_id": "", "value_as_number": "y"},
     )
     append_with_quarantine(rows, path, "b1")
+    assert accepted(spark, path).count() + quarantined(spark, path).count() == rows.count()
     append_with_quarantine(rows.limit(1), path, "b2")
     assert accepted(spark, path).count() == 3
     bad = {r.reject_reason: json.loads(r.raw_record) for r in quarantined(spark, path).collect()}
-    assert set(bad) == {"value_as_number", "visit_id,value_as_number"}
+    assert set(bad) == {
+        "value_as_number", "visit_id,value_as_number", "patient_id", "value_as_number,patient_id"
+    }
     assert bad["value_as_number"]["value_as_number"] == "abc"
     clean = str(tmp_path / "clean")
     append_with_quarantine(raw(spark, {}), clean, "b")
