@@ -17,9 +17,9 @@ from labmart.operators.vocabulary import (
     load_vocabulary,
     vocab_validation,
 )
-from labmart.session import GIB, new_scratch_path
+from labmart.session import scratch_table, shuffle_partitions_for
 from labmart.sinks import run_name, staged_publish, write_table
-from labmart.sources import detect_separator, discover_files, scan_lab, scan_vocab
+from labmart.sources import detect_separator, discover_files, require_files, scan_lab, scan_vocab
 
 BRONZE_CLUSTERING = ["patient_id", "measurement_source_value"]
 
@@ -34,31 +34,27 @@ def csv_to_bronze(
     run_ts=None,
     keep_patients: str = "all",
     partitions: int | None = None,
-    parse_once: bool | None = None,
 ) -> str:
     """CSV files to a bronze table by year and month, clustered by patient and test.
 
-    Range clustering reads its input twice: once to find the ranges, once to
-    move the rows. With ``parse_once`` typed rows are first stored as they come,
-    without a shuffle, so that both passes read compressed columns and the text
-    is parsed once. By default that happens from 1 GiB of text on.
+    Range clustering reads its input twice, once to find the ranges and once to
+    move the rows. So typed rows are first stored as they come, without a
+    shuffle: the text is parsed once, both passes read columns, and the stored
+    rows are removed at the end. The number of ranges follows from the size of
+    the files. Fails if there are none.
     """
-    if parse_once is None:
-        size = discover_files(spark, path).agg(F.sum("size")).first()[0] or 0
-        parse_once = size >= GIB
+    files = require_files(discover_files(spark, path))
+    size = files.agg(F.sum("size")).first()[0] or 0
     raw = scan_lab(spark, path, layout, source_file=True)
-    bronze = bronze_typed(raw, batch, run_ts, keep_patients, partition_columns=True)
-    if parse_once:
-        stored = new_scratch_path(spark, "typed")
-        bronze.write.parquet(stored)
-        bronze = spark.read.schema(bronze.schema).parquet(stored)
-    return write_table(
-        bronze,
-        run_name(table, run_id),
-        partition_by=["year", "month"],
-        cluster_by=BRONZE_CLUSTERING,
-        partitions=partitions,
-    )
+    typed = bronze_typed(raw, batch, run_ts, keep_patients, partition_columns=True)
+    with scratch_table(spark, typed, "typed") as bronze:
+        return write_table(
+            bronze,
+            run_name(table, run_id),
+            partition_by=["year", "month"],
+            cluster_by=BRONZE_CLUSTERING,
+            partitions=partitions or shuffle_partitions_for(size),
+        )
 
 
 def bronze_to_silver(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
@@ -75,3 +77,15 @@ def scratch_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier call has returned."""
     return f"{scratch_dir(spark)}/labmart/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read again; its files go when the block ends."""
+    database = f"scratch_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_scratch_path(spark, label)}'")
+    try:
+        df.write.format("parquet").saveAsTable(f"{database}.stored")
+        yield spark.table(f"{database}.stored")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")

@@ -1,4 +1,9 @@
-from labmart.sources.discovery import discover_files, validate_structure, volume_report
+from labmart.sources.discovery import (
+    discover_files,
+    require_files,
+    validate_structure,
+    volume_report,
+)
 from labmart.sources.lab import (
     filter_by_path,
     scan_glob,

@@ -655,6 +655,42 @@ def bronze_enhanced_v7(spark, sf):
     return bronze.bronze_enhanced(rows, 7, row_id=None).drop("person_id_hash")
 
 
+_ROW_IDS = """
+SELECT {version} AS version, unnest(['rows', 'first_id', 'last_id', 'ids', 'hashes', 'hashed_patients']) AS measure,
+  unnest([n, 1, n, n, p, p]) AS value
+FROM (SELECT COUNT(*) AS n, COUNT(DISTINCT patient_id) AS p FROM {rows})
+"""
+
+
+@register(
+    "bronze_enhanced_row_ids",
+    "bronze lab",
+    _ROW_IDS.format(version=5, rows="bronze WHERE patient_id <> '' AND visit_id IS NOT NULL")
+    + " UNION ALL " + _ROW_IDS.format(version=7, rows="lab WHERE patient_id <> ''"),
+)
+def bronze_enhanced_row_ids(spark, sf):
+    """Both versions with row id and 64-bit hash: ids without a gap, one hash for each patient."""
+    typed = bronze.patient_filter(at.stored_bronze(spark, sf).drop("year", "month"), "with_visit")
+    texts = at.bronze(spark, sf, strings=True, keep_patients="nonblank")
+    found = []
+    for version, rows, hashed in ((5, typed, "patient_id_hash"), (7, texts, "person_id_hash")):
+        numbered = bronze.bronze_enhanced(rows, version)
+        pairs = numbered.select("patient_id", hashed).distinct()
+        measures = {
+            "rows": numbered.agg(F.count("*")),
+            "first_id": numbered.agg(F.min("measurement_id")),
+            "last_id": numbered.agg(F.max("measurement_id")),
+            "ids": numbered.select("measurement_id").distinct().agg(F.count("*")),
+            "hashes": pairs.select(hashed).distinct().agg(F.count("*")),
+            "hashed_patients": pairs.agg(F.count("*")),
+        }
+        found += [
+            df.toDF("value").select(F.lit(version).alias("version"), F.lit(name).alias("measure"), "value")
+            for name, df in measures.items()
+        ]
+    return union_batches(found)
+
+
 @register(
     "quality_score",
     "bronze",
