@@ -39,9 +39,11 @@ def _terms(text: Column) -> Column:
 
 def _weights(spark: SparkSession) -> tuple[DataFrame, DataFrame, float]:
     """(template, license, term, weight over the template's norm), (term, idf), idf of other terms."""
-    rows = spark.createDataFrame(
-        [(i, *t) for i, t in enumerate(TEMPLATES)], "template int, license string, notice string"
-    )
+    known = [
+        F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(notice).alias("notice"))
+        for i, (name, notice) in enumerate(TEMPLATES)
+    ]
+    rows = spark.range(1).select(F.inline(F.array(*known)))
     terms = rows.select("template", "license", F.explode(_terms(F.col("notice"))).alias("term"))
     counts = terms.groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
     n = len(TEMPLATES)
