@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +25,17 @@ def connected(edges: DataFrame, work: Work) -> DataFrame:
     Minima are taken by a partial aggregate and joined back from a written
     table, so that a hub with very many links is split like any skewed join.
     """
+    run = uuid.uuid4().hex[:8]
     now = work.keep(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(),
-        "links_0",
+        f"links_{run}_0",
     )
-    before, step = None, 0
+    before, n = None, 0
     while (mark := _mark(now)) != before:
-        before, step = mark, step + 1
+        before, n, last = mark, n + 1, f"{run}_{n}"
+        step = f"{run}_{n}"
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = work.keep(
             both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"large_{step}"
@@ -54,7 +58,7 @@ def connected(edges: DataFrame, work: Work) -> DataFrame:
             joined.select("e.u", "e.v").where("u <> v").distinct(), f"links_{step}"
         )
         work.drop(
-            f"large_{step}", f"small_{step}", f"links_{step}a", f"links_{step - 1}"
+            f"large_{step}", f"small_{step}", f"links_{step}a", f"links_{last}"
         )
         now = following
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))

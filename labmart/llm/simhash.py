@@ -27,7 +27,7 @@ LONGS = T.ArrayType(T.LongType())
 #: Shingles hashed and counted at a time, so that long texts need no more memory.
 CHUNK = 1 << 16
 #: Members of one value compared in one task; larger groups are dealt as a grid of blocks.
-BLOCK = 1024
+BLOCK = 256
 
 
 def shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -98,17 +98,19 @@ def copy_fingerprints_udf(texts: pd.Series) -> pd.Series:
     return texts.map(copy_fingerprints, na_action=None)
 
 
-def _segment(cut: tuple[int, int, int], index: int):
-    """Keys of one segment: the values within the ball, as an array of structs."""
-    start, bits, radius = cut
-    value = F.shiftrightunsigned(F.col("words")[start // 64], start % 64)
-    if start % 64 + bits > 64:
-        value = value.bitwiseOR(F.shiftleft(F.col("words")[start // 64 + 1], 64 - start % 64))
-    value = value.bitwiseAND(F.lit((1 << bits) - 1))
-    flips = [0] + [1 << i for i in range(bits)] * (radius >= 1)
-    return F.array(
-        *[F.struct(F.lit(index).alias("seg"), value.bitwiseXOR(F.lit(x)).alias("key")) for x in flips]
-    )
+def _values(cuts: list[tuple[int, int, int]]) -> list:
+    """Value of each segment of the fingerprint in ``words``."""
+    out = []
+    for start, bits, _ in cuts:
+        value = F.shiftrightunsigned(F.col("words")[start // 64], start % 64)
+        if start % 64 + bits > 64:
+            value = value.bitwiseOR(F.shiftleft(F.col("words")[start // 64 + 1], 64 - start % 64))
+        out.append(value.bitwiseAND(F.lit((1 << bits) - 1).cast("bigint")))
+    return out
+
+
+def _key(seg: int, value):
+    return F.struct(F.lit(seg).alias("seg"), value.alias("key"))
 
 
 def _forest(words: np.ndarray, ids: np.ndarray, first: int, most: int) -> list[tuple[int, int]]:
@@ -159,7 +161,24 @@ def _compare(first: int, most: int):
     return run
 
 
-def links(
+def _compared(spread: DataFrame, prints: DataFrame, most: int, first: int, block: int) -> DataFrame:
+    """Spanning links among the members (id) of each value (seg, key), of which there are n."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    dealt = (
+        spread.join(prints, "id")
+        .select("id", "words", "seg", "key", mine.alias("mine"), blocks.alias("blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "id", "words", "seg", "key",
+            F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"),
+        )
+    )
+    met = dealt.repartition("seg", "key", "bi", "bj").sortWithinPartitions("seg", "key", "bi", "bj")
+    return met.mapInPandas(_compare(first, most), "a bigint, b bigint").distinct()
+
+
+def linked(
     prints: DataFrame,
     cuts: list[tuple[int, int, int]],
     most: int,
@@ -167,55 +186,85 @@ def links(
     first: int = 0,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Links (a, b) that span the pairs at ``most`` or fewer differing bits.
+    """(node, component) of the fingerprints that link at ``most`` or fewer differing bits.
 
     ``prints`` has one row per distinct fingerprint: ``id`` bigint and ``words``
     array of 64-bit words. ``cuts`` are segments (first bit, bits, radius 0 or
-    1); distances count the words from ``first`` on. The table of occurring
-    values is joined with the balls' values; the members of a value meet in one
-    task, or in a grid of blocks if they are more than ``block``, and each task
-    returns a spanning forest, never all pairs.
+    1); distances count the words from ``first`` on.
+
+    First the fingerprints that share a segment's value are compared. Then
+    those of radius 1 look up the other values of their ball; of two such
+    values the one with the bit unset looks up the other, which finds each pair
+    once. Values whose members are in one component already are left out, as
+    no link among them can change it. Members of a value meet in one task, or
+    in a grid of blocks if they are more than ``block``, and each task returns a
+    spanning forest, never all pairs.
     """
-    balls = F.concat(*[_segment(c, i) for i, c in enumerate(cuts)])
-    own = F.concat(*[_segment((s, b, 0), i) for i, (s, b, _) in enumerate(cuts)])
-    occurring = prints.select(F.explode(own).alias("k")).groupBy("k.seg", "k.key").count()
-    occurring = work.keep(occurring, "occurring")
-    probes = prints.select("id", F.explode(balls).alias("k")).select("id", "k.seg", "k.key")
-    hits = work.keep(probes.join(occurring, ["seg", "key"]).select("id", "seg", "key"), "hits")
-    crowd = work.keep(
-        hits.groupBy("seg", "key").agg(F.count("*").alias("n")).where("n > 1"), "crowd"
+    values = _values(cuts)
+    own = work.keep(
+        prints.select("id", F.explode(F.array(*[_key(i, v) for i, v in enumerate(values)])).alias("k"))
+        .select("id", "k.seg", "k.key"),
+        "own",
     )
-    spread = hits.join(crowd, ["seg", "key"]).join(prints, "id")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = (
-        spread.select("id", "words", "seg", "key", mine.alias("mine"), blocks.alias("blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "id", "words", "seg", "key",
-            F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"),
+    occurring = work.keep(own.groupBy("seg", "key").agg(F.count("*").alias("n")), "occurring")
+    shared = own.join(work.keep(occurring.where("n > 1"), "shared"), ["seg", "key"])
+    tied = work.keep(
+        connected(work.keep(_compared(shared, prints, most, first, block), "same"), work), "tied"
+    )
+    balls = [
+        F.array(
+            *[
+                F.when(v.bitwiseAND(F.lit(1 << i).cast("bigint")) == 0, _key(seg, v + F.lit(1 << i)))
+                for i in range(bits)
+            ]
         )
+        for seg, (v, (_, bits, radius)) in enumerate(zip(values, cuts)) if radius
+    ]
+    probes = prints.select("id", F.explode(F.concat(*balls)).alias("k")).where("k IS NOT NULL")
+    hits = work.keep(
+        probes.select("id", "k.seg", "k.key").join(occurring.select("seg", "key"), ["seg", "key"])
+        .select("id", "seg", "key"),
+        "hits",
     )
-    met = dealt.repartition("seg", "key", "bi", "bj").sortWithinPartitions("seg", "key", "bi", "bj")
-    return work.keep(met.mapInPandas(_compare(first, most), "a bigint, b bigint").distinct(), "links")
+    looked_up = work.keep(hits.select("seg", "key").distinct(), "looked_up")
+    members = own.join(looked_up, ["seg", "key"]).select("id", "seg", "key").unionByName(hits)
+    members = work.keep(
+        members.join(tied, members["id"] == tied["node"], "left").select(
+            "id", "seg", "key", F.coalesce("component", "id").alias("component")
+        ),
+        "members",
+    )
+    several = work.keep(
+        members.groupBy("seg", "key").agg(
+            F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low < high").select("seg", "key", "n"),
+        "several",
+    )
+    spread = members.select("id", "seg", "key").join(several, ["seg", "key"])
+    near = work.keep(_compared(spread, prints, most, first, block), "near")
+    both = tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(near)
+    found = work.keep(connected(both, work), "components")
+    work.drop(
+        "own", "occurring", "shared", "same", "tied", "hits", "looked_up", "members", "several", "near"
+    )
+    return found
 
 
 def linked_classes(
     docs: DataFrame, words, cuts, most: int, work: Work, first: int = 0, block: int = BLOCK
 ) -> DataFrame:
-    """(doc_id, words, component_id) of all documents; see ``links``."""
+    """(doc_id, words, component_id) of all documents; see ``linked``."""
     prints = work.keep(docs.select("doc_id", words.alias("words")), "prints")
     distinct = prints.where("doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("id"))
     distinct = work.keep(distinct, "distinct")
-    tied = work.keep(
-        connected(links(distinct, cuts, most, work, first, block), work), "components"
-    )
+    tied = linked(distinct, cuts, most, work, first, block)
     classes = work.keep(
         distinct.join(tied, distinct["id"] == tied["node"], "left").select(
             "words", F.coalesce("component", "id").alias("component_id")
         ),
         "classes",
     )
+    work.drop("distinct", "components")
     return prints.join(classes, "words", "left")
 
 
@@ -270,6 +319,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
         ).where("component_id = doc_id").select("doc_id", "times"),
         "kept",
     )
+    work.drop("prints", "classes")
     times, at = free_name(docs, "times"), free_name(docs, "kept_id")
     kept = kept.select(F.col("doc_id").alias(at), F.col("times").alias(times))
     stay = docs.join(kept, docs["doc_id"].cast("bigint") == kept[at])

@@ -11,7 +11,7 @@ from labmart.llm.simhash import (
     copy_fingerprints,
     drop_near_copies,
     fingerprint,
-    links,
+    linked,
     near_copies,
     simhash_near_duplicates,
 )
@@ -73,7 +73,7 @@ def test_classes_match_brute_force(spark):
     assert simhash_near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [1024, 4])
+@pytest.mark.parametrize("block", [256, 4])
 def test_links_lose_nothing_in_blocks(spark, block):
     base, rows = 0x0123456789ABCDEF, []
     for i in range(40):
@@ -83,7 +83,7 @@ def test_links_lose_nothing_in_blocks(spark, block):
     signed = [x - 2**64 if x >> 63 else x for x in rows]
     prints = spark.createDataFrame([(i, [x]) for i, x in enumerate(signed)], "id bigint, words array<bigint>")
     work = Work(spark, "test")
-    tied = connected(links(prints, [(32, 32, 1), (0, 32, 0)], 2, work, block=block), work)
+    tied = linked(prints, [(32, 32, 1), (0, 32, 0)], 2, work, block=block)
     found = {i: i for i in range(len(rows))} | {r.node: r.component for r in tied.collect()}
     assert found == classes(dict(enumerate(rows)), 2)
 
