@@ -147,12 +147,12 @@ def scan_access_check(raw: DataFrame) -> DataFrame:
     Call it on a scan itself (it reads the file path); ``accessible`` is false
     when nothing came back.
     """
-    counts = raw.filter(F.col("patient_id").isNotNull()).agg(
-        _rows().alias("total_rows"),
-        F.count_distinct("patient_id").alias("unique_patients"),
-        F.count_distinct(F.col("_metadata.file_path")).alias("files_accessible"),
-        F.count("sampling_datetime_utc").alias("non_null_timestamps"),
-    )
+    known = raw.select("patient_id", "sampling_datetime_utc", F.col("_metadata.file_path").alias("file"))
+    counts = _one_row(
+        known.filter(F.col("patient_id").isNotNull()),
+        {"total_rows": _rows(), "non_null_timestamps": F.count("sampling_datetime_utc")},
+        {"unique_patients": F.col("patient_id"), "files_accessible": F.col("file")},
+    ).select("total_rows", "unique_patients", "files_accessible", "non_null_timestamps")
     return counts.withColumn("accessible", F.col("total_rows") > 0)
 
 
@@ -190,7 +190,7 @@ def row_counts(tables: Mapping[str, DataFrame], minimum: Mapping[str, int] | Non
     return reduce(DataFrame.unionByName, counted)
 
 
-def enhanced_summary(enhanced: DataFrame) -> DataFrame:
+def enhanced_summary(enhanced: DataFrame, label: str = "enhanced bronze") -> DataFrame:
     """Totals over enhanced bronze."""
     return _one_row(
         enhanced,
@@ -201,7 +201,7 @@ def enhanced_summary(enhanced: DataFrame) -> DataFrame:
             "avg_data_quality": F.round(F.avg("data_quality_score"), 3),
         },
         {"unique_patients": F.col("person_id_hash"), "unique_visits": F.col("visit_id")},
-    ).select(F.lit("BRONZE INGESTION SUMMARY").alias("summary_type"), "*")
+    ).select(F.lit(label).alias("summary_type"), "*")
 
 
 def omop_validation(measurement: DataFrame) -> DataFrame:

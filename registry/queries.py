@@ -310,7 +310,7 @@ def union_batches_query(spark, sf):
 
 @register("write_parquet", "bronze", f"SELECT {_list(BRONZE)} FROM bronze")
 def write_parquet(spark, sf):
-    name = f"{_database(spark, 'plain')}.biological_results_raw"
+    name = f"{_database(spark, 'plain')}.results"
     return spark.table(write_table(at.bronze(spark, sf), name))
 
 
@@ -1233,7 +1233,7 @@ def row_counts_query(spark, sf):
 @register(
     "enhanced_summary",
     "bronze",
-    "SELECT 'BRONZE INGESTION SUMMARY' AS summary_type, COUNT(*) AS total_records, "
+    "SELECT 'enhanced bronze' AS summary_type, COUNT(*) AS total_records, "
     "COUNT(DISTINCT person_id_hash) AS unique_patients, COUNT(DISTINCT visit_id) AS unique_visits, "
     "MIN(measurement_date) AS earliest_date, MAX(measurement_date) AS latest_date, "
     f"ROUND(AVG(data_quality_score), 3) AS avg_data_quality FROM (SELECT visit_id, {_V5} "

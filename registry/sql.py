@@ -76,6 +76,7 @@ FROM {source}
 """
 
 
+# Fixed values, as in labmart/mappings.py.
 _UNIT_IDS = (
     "CASE unit_source_value WHEN 'mg/dL' THEN 8840 WHEN 'mmol/L' THEN 8753 WHEN 'nmol/L' THEN 8753 "
     "WHEN 'g/dL' THEN 8713 WHEN 'U/L' THEN 8645 WHEN '/uL' THEN 8647 WHEN '%' THEN 8554 "
@@ -83,12 +84,14 @@ _UNIT_IDS = (
     "WHEN 'copies/mL' THEN 8519 WHEN 'cells/uL' THEN 8647 WHEN '/µL' THEN 8647 ELSE 0 END"
 )
 
+# Fixed values, as in labmart/mappings.py.
 NORMALITY_ID = (
     "CAST(CASE UPPER(TRIM(normality)) WHEN 'NORMAL' THEN 4124457 WHEN 'ABNORMAL' THEN 4135493 "
     "WHEN 'HIGH' THEN 4328749 WHEN 'LOW' THEN 4124457 ELSE 0 END AS INTEGER)"
 )
 UNIT_ID = f"CAST({_UNIT_IDS} AS INTEGER)"
 
+# Fixed values, as in labmart/mappings.py.
 CATEGORY = (
     "CASE WHEN unit_source_value IN ('mg/dL', 'mmol/L', 'nmol/L', 'g/dL') THEN 'Chemistry' "
     "WHEN unit_source_value = 'U/L' THEN 'Enzymes' "
