@@ -109,7 +109,7 @@ def encoder(path: str, style: str | None = None) -> Encoder:
     return kept[path, style]
 
 
-def pieces_of(frame, rows: int = 64):
+def pieces_of(frame, rows: int = 512):
     """Slices of a batch, so that ids of few texts are in memory at a time."""
     for i in range(0, len(frame), rows):
         yield frame.iloc[i : i + rows]
