@@ -114,3 +114,42 @@ def test_near_copies_go_and_others_stay(spark):
     assert drop_near_copies(docs.limit(0)).count() == 0
     assert near_copies(docs.limit(3), Work(spark, "test")).count() == 3
     assert len(copy_fingerprints("")) == len(copy_fingerprints(text(2000))) == 6
+
+
+def shingles(t):
+    w = t.encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def edited_texts(share):
+    """Pairs of texts: endings added, endings cut, one block replaced, words scattered."""
+    pairs = []
+    for k in range(40):
+        own = [f"u{k}q{i}" if i % 3 else WORDS[(i * 7 + k) % 400] for i in range(120 + 17 * k)]
+        n = len(own)
+        d = round(n * share)
+        block = round(n * share / 1.8)
+        pairs += [
+            (own, own + [f"end{k}_{i}" for i in range(d)]),
+            (own, own[: n - d]),
+            (own, own[: n // 3] + [f"blk{k}_{i}" for i in range(block)] + own[n // 3 + block :]),
+            (own, [f"sw{k}_{i}" if i % round(9 / share) == 4 else w for i, w in enumerate(own)]),
+        ]
+    return [(" ".join(f"{share}_{j}_{w}" for w in a), " ".join(f"{share}_{j}_{w}" for w in b)) for j, (a, b) in enumerate(pairs)]
+
+
+def test_near_copies_match_exact_jaccard(spark):
+    """Every pair at 0.8 or more is one class, and no pair below, whatever the kind of edit."""
+    pairs = [t for share in (0.12, 0.19, 0.235, 0.3, 0.45) for t in edited_texts(share)]
+    true = [jaccard(*t) for t in pairs]
+    assert min(sum(0.8 <= x < 0.85 for x in true), sum(0.7 <= x < 0.8 for x in true)) > 100
+    rows = [(2 * i + side, t[side]) for i, t in enumerate(pairs) for side in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near_copies(docs, Work(spark, "test")).collect()}
+    want = {2 * i + side: 2 * i + (side and true[i] < 0.8) for i in range(len(pairs)) for side in (0, 1)}
+    assert found == want
