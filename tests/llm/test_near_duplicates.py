@@ -153,3 +153,28 @@ def test_near_copies_match_exact_jaccard(spark):
     found = {r.doc_id: r.component_id for r in near_copies(docs, Work(spark, "test")).collect()}
     want = {2 * i + side: 2 * i + (side and true[i] < 0.8) for i in range(len(pairs)) for side in (0, 1)}
     assert found == want
+
+
+def test_large_group_of_near_copies_matches_brute_force(spark):
+    base = [f"g{i}" for i in range(150)]
+    texts = []
+    for k in range(160):
+        own = list(base)
+        for i in range(k % 8):
+            own[(k * 37 + i * 53) % 150] = f"x{k}_{i}"
+        texts.append(" ".join(own))
+    root = {i: i for i in range(160)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(160), 2):
+        if jaccard(texts[a], texts[b]) >= 0.8:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in near_copies(docs, Work(spark, "test")).collect()}
+    assert found == {i: find(i) for i in range(160)}
+    assert len(set(found.values())) > 1
