@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,41 +13,89 @@ from pyspark.sql import functions as F
 from labmart.session import MIB
 from labmart.sources.lab import union_batches
 
+#: Bytes read at a time until the first line is complete.
 HEAD_BYTES = 64 * 1024
+LOCAL = "^file:/+"
+
+
+def _empty_files(spark: SparkSession, listed: DataFrame, manifest: DataFrame) -> DataFrame | None:
+    """Manifest rows of the files without bytes, which Spark lists but never scans."""
+    paths = [re.sub(LOCAL, "file:/", unquote(p)) for p in listed.inputFiles()]
+    if len(paths) == manifest.count():
+        return None
+    scanned = manifest.select(F.regexp_replace("path", LOCAL, "file:/").alias("path"))
+    empty = spark.createDataFrame([(p,) for p in paths], "path string").join(scanned, "path", "left_anti")
+    rows = []
+    for (path,) in empty.collect():
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
+        rows.append((path, status.getLen(), status.getModificationTime()))
+    return spark.createDataFrame(rows, "path string, size bigint, ms bigint").select(
+        "path",
+        F.regexp_extract("path", "[^/]+$", 0).alias("name"),
+        "size",
+        F.timestamp_millis("ms").alias("last_modified"),
+    )
 
 
 def discover_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Manifest of matching files: path, name, size, last_modified.
 
     Only listing data is used; the content column is pruned, no file is read.
+    Files of zero bytes are listed too.
     """
-    return (
+    listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(
-            "path",
-            F.regexp_extract("path", "[^/]+$", 0).alias("name"),
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("last_modified"),
-        )
     )
+    manifest = listed.select(
+        "path",
+        F.regexp_extract("path", "[^/]+$", 0).alias("name"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("last_modified"),
+    )
+    empty = _empty_files(spark, listed, manifest)
+    return manifest if empty is None else manifest.unionByName(empty)
 
 
 def require_files(manifest: DataFrame) -> DataFrame:
-    """The manifest, or an error when it is empty."""
-    if manifest.isEmpty():
+    """The manifest, or an error when no file in it has bytes."""
+    if manifest.where("size > 0").isEmpty():
         raise FileNotFoundError("no files found")
     return manifest
 
 
-def _read_header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _split_header(line: str, sep: str) -> list[str]:
+    """Names of a header line; a quoted name may hold the separator and doubled quotes."""
+    end = re.escape(sep)
+    field = re.compile(f' *"((?:[^"]|"")*)" *(?={end}|$)|((?:(?!{end}).)*)', re.DOTALL)
+    names, at = [], 0
+    while True:
+        found = field.match(line, at)
+        quoted, bare = found.groups()
+        names.append((bare.strip('"') if quoted is None else quoted.replace('""', '"')).strip(" "))
+        if found.end() >= len(line):
+            return names
+        at = found.end() + len(sep)
+
+
+def _first_line(stream) -> str:
+    head = b""
+    while chunk := stream.read(HEAD_BYTES):
+        head += chunk
+        if re.search(rb"[\r\n]", chunk):
+            break
+    return re.split(rb"[\r\n]", head, maxsplit=1)[0].decode("utf-8-sig", "replace")
+
+
+def _read_headers(batches: Iterator[pd.DataFrame], sep: str) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     opened: dict[str, fs.FileSystem] = {}
     for batch in batches:
-        lines = []
+        headers = []
         for path in batch["path"]:
             scheme, _, rest = path.partition(":")
             if scheme == "file":
@@ -59,27 +109,24 @@ def _read_header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
                 filesystem = opened[root]
                 local = f"/{key}" if scheme == "hdfs" else f"{authority}/{key}"
             with filesystem.open_input_stream(local) as stream:
-                head = stream.read(HEAD_BYTES)
-            lines.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig", "replace"))
-        yield pd.DataFrame({"path": batch["path"], "line": lines})
+                headers.append(_split_header(_first_line(stream), sep))
+        yield pd.DataFrame({"path": batch["path"], "header": headers})
 
 
 def file_headers(manifest: DataFrame, sep: str = ",", files_per_task: int = 64) -> DataFrame:
-    """First line of every file in the manifest, split into ``header`` names.
+    """First line of every file with bytes in the manifest, split into ``header`` names.
 
-    Tasks open the files and read 64 KB of each, so the cost follows the number
-    of files and not their size. A text scan would read every byte.
+    Tasks open the files and read 64 KB at a time until the line ends, so the
+    cost follows the number of files and not their size. A text scan would read
+    every byte. Names may be quoted.
     """
     tasks = max(1, -(-manifest.count() // files_per_task))
-    lines = (
-        manifest.select("path")
+    return (
+        manifest.where("size > 0")
+        .select("path")
         .repartition(tasks, "path")
-        .mapInPandas(_read_header_lines, "path string, line string")
-    )
-    names = F.transform(
-        F.split("line", f"\\Q{sep}\\E", -1), lambda c: F.trim(F.btrim(c, F.lit('"')))
+        .mapInPandas(lambda batches: _read_headers(batches, sep), "path string, header array<string>")
     )
-    return lines.select("path", names.alias("header"))
 
 
 def validate_structure(
@@ -88,13 +135,13 @@ def validate_structure(
     """Compare the header of each file with the expected columns.
 
     One row per file: path, name, size, header_ok, missing and unexpected columns, status.
-    Files in ``expected_names`` that the listing lacks (or holds empty) show up
-    with status MISSING.
+    Files of zero bytes have status EMPTY. Files in ``expected_names`` that the
+    listing lacks (or holds empty) show up with status MISSING.
     """
     manifest = discover_files(spark, path, glob)
     want = F.array(*[F.lit(c) for c in expected])
     compared = (
-        manifest.join(file_headers(manifest), "path")
+        manifest.join(file_headers(manifest), "path", "left")
         .withColumn("header_ok", F.col("header") == want)
         .select(
             "path",
@@ -103,14 +150,20 @@ def validate_structure(
             "header_ok",
             F.array_except(want, "header").alias("missing_columns"),
             F.array_except("header", want).alias("unexpected_columns"),
-            F.when(F.col("header_ok"), "PASSED").otherwise("FAILED").alias("status"),
+            F.when(F.col("size") == 0, "EMPTY")
+            .when(F.col("header_ok"), "PASSED")
+            .otherwise("FAILED")
+            .alias("status"),
         )
     )
     if expected_names is None:
         return compared
-    wanted = spark.createDataFrame([(n,) for n in expected_names], "name string")
-    return compared.join(wanted, "name", "full_outer").withColumn(
-        "status", F.coalesce("status", F.lit("MISSING"))
+    wanted = spark.createDataFrame([(n, True) for n in expected_names], "name string, wanted boolean")
+    gone = F.col("status").isNull() | (F.col("wanted") & (F.col("status") == "EMPTY"))
+    return (
+        compared.join(wanted, "name", "full_outer")
+        .withColumn("status", F.when(gone, "MISSING").otherwise(F.col("status")))
+        .drop("wanted")
     )
 
 

@@ -98,6 +98,23 @@ def test_structure_report(spark, files):
     assert report["biological_results_0001.csv"]["status"] == "PASSED"
 
 
+def test_long_quoted_and_empty_headers(spark, tmp_path):
+    wide = [f"column_{i}_" + "x" * 60 for i in range(2000)]
+    names = [*wide, "a, b", 'say ""so""']
+    header = ",".join(f'"{c}"' for c in names)
+    assert len(header) > 100_000
+    (tmp_path / "long.csv").write_text(header + "\n")
+    (tmp_path / "cr lf.csv").write_bytes(header.encode() + b"\r\n")
+    (tmp_path / "zero %20 é.csv").write_text("")
+    manifest = {r.name: r for r in discover_files(spark, str(tmp_path)).collect()}
+    assert len(manifest) == 3 and manifest["zero %20 é.csv"]["size"] == 0
+    assert manifest["zero %20 é.csv"]["last_modified"] is not None
+    found = validate_structure(spark, str(tmp_path), [*wide, "a, b", 'say "so"']).collect()
+    assert {r.name: r.status for r in found} == {
+        "long.csv": "PASSED", "cr lf.csv": "PASSED", "zero %20 é.csv": "EMPTY"
+    }
+
+
 def test_discovery_and_volume(spark, files):
     manifest = discover_files(spark, str(files))
     assert manifest.count() == 7
