@@ -116,14 +116,14 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for part, number, payload in zip(batch["part"], batch["block"], batch["payload"]):
             block = TokenBlock(payload)
-            ends = block.ends.all().astype(np.int64)
-            starts = np.concatenate([[0], ends[:-1]])
-            ids = [None] * block.n_null + [block.first + int(x) for x in block.above.all()]
-            crc = [zlib.crc32(block.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+            ids = [block.doc_id(i) for i in range(block.n_docs)]
+            starts = [block.start(i) for i in range(block.n_docs)]
+            texts = [block.document(i) for i in range(block.n_docs)]
+            crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in texts]
             yield pd.DataFrame(
                 {
                     "part": part, "block": number, "doc_id": pd.array(ids, "Int64"),
-                    "place": starts, "n_tokens": ends - starts, "ids_crc32": crc,
+                    "place": starts, "n_tokens": [len(x) for x in texts], "ids_crc32": crc,
                 }
             )
 
