@@ -40,7 +40,7 @@ def steps(spark, sf_dir: str) -> dict:
     spark.sql(f"CREATE DATABASE {database} LOCATION '{new_scratch_path(spark, 'bench')}'")
     loaded = csv_to_bronze(spark, csv, f"{database}.bronze", "bench")
 
-    silver = bronze_to_silver(spark, loaded, f"{database}.silver", as_of=at.AS_OF)
+    stored_silver = bronze_to_silver(spark, loaded, f"{database}.silver", as_of=at.AS_OF)
 
     def enhanced():
         return bronze.bronze_enhanced(rows, 5)
@@ -66,7 +66,7 @@ def steps(spark, sf_dir: str) -> dict:
         "bronze_to_silver": lambda: bronze_to_silver(
             spark, loaded, f"{database}.measurement", as_of=at.AS_OF
         ),
-        "silver_to_gold": lambda: silver_to_gold(spark, silver, database),
+        "silver_to_gold": lambda: silver_to_gold(spark, stored_silver, database),
     }
 
 
