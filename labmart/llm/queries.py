@@ -1,7 +1,8 @@
 """One query per corpus operator, over its whole table.
 
-Only the licence scan has an SQL counterpart: transitive closure over bit
-distances, heaps, tokenizers, samplers and learned models are outside SQL, and
+The licence scan, line removal, spelling variants and vector codes have an SQL
+counterpart. Transitive closure over bit distances, heaps, tokenizers,
+samplers and learned models are outside SQL, and
 ``tests/llm`` holds them against brute force, round trips and held-out rows.
 """
 
@@ -11,6 +12,8 @@ from labmart.llm.collisions import op6_nearest
 from labmart.llm.decontaminate import op3_decontaminate
 from labmart.llm.langid import op4_langid
 from labmart.llm.licenses import OP9_SQL, op9_licenses
+from labmart.llm.lines import OP11_SQL, op11_lines
+from labmart.llm.orchard import OP13_SQL, op13_orchard
 from labmart.llm.packing import op5_packing
 from labmart.llm.pitman_yor import op8_pitman_yor
 from labmart.llm.quality import op10_quality
@@ -29,5 +32,7 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_lines": op11_lines,
+    "op13_orchard": op13_orchard,
 }
-ORACLE = {"op9_licenses": OP9_SQL}
+ORACLE = {"op9_licenses": OP9_SQL, "op11_lines": OP11_SQL, "op13_orchard": OP13_SQL}
