@@ -1,9 +1,8 @@
 """One query per corpus operator, over its whole table.
 
 The licence scan, line removal, spelling variants and vector codes have an SQL
-counterpart. Transitive closure over bit distances, heaps, tokenizers,
-samplers and learned models are outside SQL, and
-``tests/llm`` holds them against brute force, round trips and held-out rows.
+counterpart. Transitive closure over bit distances, heaps, tokenizers, samplers
+and learned models are outside SQL, and ``tests/llm`` holds them against brute force, round trips and held-out rows.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from labmart.llm.pitman_yor import op8_pitman_yor
 from labmart.llm.quality import op10_quality
 from labmart.llm.shards import op7_shards
 from labmart.llm.simhash import op1_simhash
+from labmart.llm.spelling import OP12_SQL, op12_spelling
 from labmart.llm.token_blocks import op2_token_ids
 
 QUERIES = {
@@ -33,6 +33,12 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
     "op11_lines": op11_lines,
+    "op12_spelling": op12_spelling,
     "op13_orchard": op13_orchard,
 }
-ORACLE = {"op9_licenses": OP9_SQL, "op11_lines": OP11_SQL, "op13_orchard": OP13_SQL}
+ORACLE = {
+    "op9_licenses": OP9_SQL,
+    "op11_lines": OP11_SQL,
+    "op12_spelling": OP12_SQL,
+    "op13_orchard": OP13_SQL,
+}
