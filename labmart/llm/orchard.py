@@ -181,9 +181,11 @@ def _first_books(kept: DataFrame, parts: int, entries: int) -> dict[int, list[li
     books = {}
     for width in sorted(widths):
         own = kept.where(F.col("width") == width)
-        # Of one id's rows the smallest vector counts, as an entry belongs to an id.
-        by_id = own.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-        first = by_id.orderBy(F.col("vec_id").asc_nulls_last()).limit(entries).collect()
+        ids = own.select("vec_id").distinct().orderBy(F.col("vec_id").asc_nulls_last()).limit(entries)
+        # At most ``entries`` ids. Of one id's rows the smallest vector counts, as an entry belongs to an id.
+        first = own.join(F.broadcast(ids.withColumnRenamed("vec_id", "of")), F.col("vec_id").eqNullSafe(F.col("of")))
+        by_id = first.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        first = by_id.orderBy(F.col("vec_id").asc_nulls_last()).collect()
         whole = [integers(np.array(r["vector"], np.float64)).tolist() for r in first]
         books[width] = [[v[a:b] for v in whole] for a, b in part_bounds(width, parts)]
     return books
