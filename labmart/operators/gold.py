@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmart.functions import lab_category
 from labmart.mappings import ABNORMAL_CONCEPT, HIGH_CONCEPT, NORMAL_CONCEPT
+from labmart.operators.selection import LISTED, distinct_items, percentiles, tally
 
 VALUE = "value_as_number"
-# Value ranges per power of two in the first step of the percentiles.
-STEPS = 256
 
 
 def _missing() -> Column:
@@ -31,17 +30,6 @@ def _span(c: str) -> Column:
     return F.datediff(F.max(c), F.min(c)).cast("bigint")
 
 
-def distinct_counts(df: DataFrame, keys: list[str], what: str, out: str) -> DataFrame:
-    """Distinct values per group in two steps: unique (group, value) pairs, then their number.
-
-    The first shuffle spreads a large group by value and carries nothing but the
-    pair. Several distinct counts in one aggregate would instead copy every row
-    once per count and shuffle the buffers of all other aggregates along.
-    """
-    pairs = df.filter(F.col(what).isNotNull()).select(*keys, what).distinct()
-    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-
-
 def _joined(base: DataFrame, sides: list[DataFrame], keys: list[str], counts=()) -> DataFrame:
     """Left-join aggregates on their common keys; each is already partitioned by them."""
     whole = reduce(lambda a, b: a.join(b, keys, "left"), sides, base)
@@ -49,26 +37,42 @@ def _joined(base: DataFrame, sides: list[DataFrame], keys: list[str], counts=())
 
 
 def _activity(measurement: DataFrame) -> DataFrame:
-    """Distinct dates, years and months of each person, narrowed date by year by person."""
-    dates = measurement.select("person_id", "measurement_date").dropna().distinct()
-    month_bit = F.call_function("shiftleft", F.lit(1), F.month("measurement_date") - 1)
-    years = dates.groupBy("person_id", F.year("measurement_date").alias("year")).agg(
-        F.count(F.lit(1)).alias("dates"), F.bit_or(month_bit).alias("months")
+    """Distinct dates, years, months and tests of each person, from one scan.
+
+    A row gives its date and its test as two items; unique (person, item) pairs
+    are exchanged by item, then narrowed by person and year, then by person.
+    """
+    date, test = F.col("measurement_date"), F.col("measurement_source_value")
+    no_date, no_test = F.lit(None).cast("date"), F.lit(None).cast("string")
+    items = F.array(
+        F.struct(date.alias("__date"), no_test.alias("__test")),
+        F.struct(no_date.alias("__date"), test.alias("__test")),
+    )
+    dated, tested = F.col("__date").isNotNull(), F.col("__test").isNotNull()
+    pairs = measurement.select("person_id", F.inline(items)).where(dated | tested).distinct()
+    month_bit = F.call_function("shiftleft", F.lit(1), F.month("__date") - 1)
+    # Tests are spread over as many parts of a person as there may be months of dates.
+    part = F.when(dated, F.year("__date")).otherwise(-F.pmod(F.hash("__test"), F.lit(1200)) - 100_000)
+    years = pairs.groupBy("person_id", part.alias("__part")).agg(
+        F.count("__date").alias("__dates"),
+        F.count("__test").alias("__tests"),
+        F.bit_or(F.when(dated, month_bit)).alias("__months"),
     )
     return years.groupBy("person_id").agg(
-        F.sum("dates").alias("unique_measurement_dates"),
-        F.count(F.lit(1)).alias("active_years"),
-        F.bit_count(F.bit_or("months")).cast("bigint").alias("active_months"),
+        F.sum("__dates").alias("unique_measurement_dates"),
+        F.count_if(F.col("__dates") > 0).alias("active_years"),
+        F.coalesce(F.bit_count(F.bit_or("__months")).cast("bigint"), F.lit(0)).alias("active_months"),
+        F.sum("__tests").alias("unique_lab_tests"),
     )
 
 
 def patient_summary(measurement: DataFrame) -> DataFrame:
     """One row per person: volumes, time span, diversity, values, quality.
 
-    Plain aggregates, dates and tests are three narrow aggregates over the
-    stored table, joined per person. Each combines before it shuffles, and the
-    distinct ones shuffle on (person, value): a person with a large share of
-    all rows still spreads over many tasks.
+    Two scans of the stored table: one for the plain aggregates, one for the
+    distinct dates and tests, joined per person. Each combines before it
+    shuffles, and the distinct ones shuffle on (person, item): a person with a
+    large share of all rows still spreads over many tasks.
     """
     rows = measurement.filter(F.col("person_id").isNotNull())
     plain = rows.groupBy("person_id").agg(
@@ -88,9 +92,8 @@ def patient_summary(measurement: DataFrame) -> DataFrame:
         _missing().alias("missing_value_count"),
         F.year(F.min("measurement_date")).alias("patient_year_of_first_measurement"),
     )
-    tests = distinct_counts(rows, ["person_id"], "measurement_source_value", "unique_lab_tests")
     counts = ["unique_measurement_dates", "active_years", "active_months", "unique_lab_tests"]
-    return _joined(plain, [_activity(rows), tests], ["person_id"], counts).select(
+    return _joined(plain, [_activity(rows)], ["person_id"], counts).select(
         "person_id",
         "total_measurements",
         "unique_measurement_dates",
@@ -114,75 +117,17 @@ def patient_summary(measurement: DataFrame) -> DataFrame:
     )
 
 
-def _value_range(value: Column) -> Column:
-    """Number of the value's range; a larger value never has a smaller number.
-
-    Ranges are 1/256 of a power of two wide, so there are at most 1.1 million
-    of them whatever the data. Infinities and NaN (the largest) have their own.
-    """
-    size = F.abs(value)
-    finite = F.floor(F.log2(size) * STEPS).cast("bigint") + 1100 * STEPS
-    step = F.when(size == float("inf"), 4000 * STEPS).otherwise(finite)
-    return (
-        F.when(F.isnan(value), 4001 * STEPS)
-        .when(value > 0, step).when(value < 0, -step).otherwise(0).cast("bigint")
-    )
-
-
-def grouped_percentiles(df: DataFrame, keys: list[str], names: dict[str, float]) -> DataFrame:
-    """Exact percentiles of the measured value per group, interpolated between neighbours.
+def grouped_percentiles(
+    df: DataFrame, keys: list[str], names: dict[str, float], listed: int = LISTED
+) -> DataFrame:
+    """Exact percentiles of the measured value per group; see ``selection``.
 
-    Every (group, value) pair is counted first, combined before the shuffle and
-    spread by value. Ranks are then selected in two steps: running counts over
-    a group's value ranges, of which there is a bounded number, name the ranges
-    that hold a wanted rank; running counts over the values of those ranges
-    alone give the values. No task sees all values of a group, and values stay
-    as they are.
+    Keys must not be NULL. Groups without a value are left out.
     """
-    value, n = F.col("__value"), F.col("__n")
-    histogram = (
-        df.filter(F.col(VALUE).isNotNull())
-        .groupBy(*keys, F.col(VALUE).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__range", _value_range(value))
-    )
-    group = Window.partitionBy(*keys)
-    up_to = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = (
-        histogram.groupBy(*keys, "__range").agg(F.sum("__n").alias("__in"))
-        .withColumns({"__upto": F.sum("__in").over(up_to), "__all": F.sum("__in").over(group)})
-        .withColumn("__before", F.col("__upto") - F.col("__in"))
-    )
-    place = {name: (F.col("__all") - 1) * F.lit(p) for name, p in names.items()}
-    ranks = [f(x) for x in place.values() for f in (F.floor, F.ceil)]
-
-    def holds(low: Column, high: Column, rank: Column) -> Column:
-        return (low <= rank) & (rank < high)
-
-    wanted = ranges.filter(
-        reduce(lambda a, b: a | b, [holds(F.col("__before"), F.col("__upto"), r) for r in ranks])
-    ).select(*keys, "__range", "__before", "__all")
-    inside = Window.partitionBy(*keys, "__range").orderBy("__value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    placed = histogram.join(wanted, [*keys, "__range"]).withColumn(
-        "__to", F.col("__before") + F.sum("__n").over(inside)
-    )
-    ends = {}
-    for name, x in place.items():
-        for end, f in (("low", F.floor), ("high", F.ceil)):
-            here = holds(F.col("__to") - n, F.col("__to"), f(x))
-            ends[f"__{name}_{end}"] = F.max(F.when(here, value))
-        ends[f"__{name}_part"] = F.max(x - F.floor(x))
-    found = placed.groupBy(*keys).agg(*[v.alias(k) for k, v in ends.items()])
-    low, high, part = ((lambda m, e=e: F.col(f"__{m}_{e}")) for e in ("low", "high", "part"))
-    return found.select(
-        *keys,
-        *[
-            F.when(low(m) == high(m), low(m)).otherwise(low(m) + (high(m) - low(m)) * part(m)).alias(m)
-            for m in names
-        ],
-    )
+    if keys:
+        return percentiles(tally(df, keys, F.col(VALUE), []), keys, names, listed)
+    one = df.withColumn("__one", F.lit(0))
+    return grouped_percentiles(one, ["__one"], names, listed).drop("__one")
 
 
 def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -197,7 +142,12 @@ def _unit() -> Column:
 
 
 def measurement_trends(measurement: DataFrame) -> DataFrame:
-    """One row per day, test and unit: volumes, value distribution, abnormal shares."""
+    """One row per day, test and unit: volumes, value distribution, abnormal shares.
+
+    Two scans: one for the plain aggregates, one that tallies persons and
+    values of each group into the shared folder, which runs at once. To build
+    some years only, filter ``measurement`` by its partition columns.
+    """
     days = ["measurement_year", "measurement_month", "measurement_date"]
     dated = measurement.dropna(subset=["measurement_date", "measurement_source_value"])
     date = F.col("measurement_date")
@@ -223,10 +173,11 @@ def measurement_trends(measurement: DataFrame) -> DataFrame:
         _percent(F.count(VALUE)).alias("pct_numeric"),
         _missing().alias("daily_missing_values"),
     )
-    percentiles = {"daily_median_value": 0.5, "daily_p25_value": 0.25, "daily_p75_value": 0.75}
+    wanted = {"daily_median_value": 0.5, "daily_p25_value": 0.25, "daily_p75_value": 0.75}
+    tallied = tally(rows, keys, F.col(VALUE), [F.col("person_id")])
     sides = [
-        distinct_counts(rows, keys, "person_id", "daily_unique_patients"),
-        grouped_percentiles(rows, keys, percentiles),
+        distinct_items(tallied, keys, ["daily_unique_patients"]),
+        percentiles(tallied, keys, wanted),
     ]
     return _joined(daily, sides, keys, ["daily_unique_patients"]).select(
         *days,
@@ -235,7 +186,7 @@ def measurement_trends(measurement: DataFrame) -> DataFrame:
         "daily_test_count",
         "daily_unique_patients",
         "daily_avg_value",
-        *percentiles,
+        *wanted,
         "daily_min_value",
         "daily_max_value",
         "daily_stddev_value",
@@ -256,7 +207,8 @@ def laboratory_analytics(
     """One row per test and unit with at least ``min_count`` results.
 
     ``integer_division`` truncates the two per-patient and per-day averages to
-    whole numbers instead of keeping them as doubles.
+    whole numbers instead of keeping them as doubles. Two scans, as for
+    ``measurement_trends``.
     """
     rows, unit_keys = _keyed(measurement.filter(F.col("measurement_source_value") != ""))
     keys = ["measurement_source_value", *unit_keys]
@@ -283,18 +235,16 @@ def laboratory_analytics(
         )
         .filter(F.col("total_test_count") >= min_count)
     )
-    percentiles = {"median_numeric_result": 0.5, "p2_5_value": 0.025, "p97_5_value": 0.975}
+    wanted = {"median_numeric_result": 0.5, "p2_5_value": 0.025, "p97_5_value": 0.975}
 
     def ratio(part: Column, whole: Column) -> Column:
         divided = part / whole
         return divided.cast("bigint") if integer_division else divided
 
-    sides = [
-        distinct_counts(rows, keys, "person_id", "unique_patients_tested"),
-        distinct_counts(rows, keys, "measurement_date", "unique_test_dates"),
-        grouped_percentiles(rows, keys, percentiles),
-    ]
+    items = [F.col("person_id"), F.unix_date("measurement_date")]
+    tallied = tally(rows, keys, F.col(VALUE), items)
     counts = ["unique_patients_tested", "unique_test_dates"]
+    sides = [distinct_items(tallied, keys, counts), percentiles(tallied, keys, wanted)]
     return _joined(stats, sides, keys, counts).select(
         F.col("measurement_source_value").alias("lab_test_code"),
         _unit().alias("lab_unit"),

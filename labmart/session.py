@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ MIB = 1024 * 1024
 GIB = 1024 * MIB
 
 _local_scratch: dict[str, str] = {}
+_stores: dict[str, tuple[SparkSession, str]] = {}
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 192 * MIB, floor: int = 8) -> int:
@@ -89,3 +91,38 @@ def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[Da
         yield spark.table(f"{database}.stored")
     finally:
         spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for results that are read later.
+
+    Cuts the lineage, so that a lost executor costs the tasks of the step at
+    hand. The files stay until ``release`` or the end of the Python program.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _stores:
+        name = f"labmart_{uuid.uuid4().hex[:12]}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{new_scratch_path(spark, 'stored')}'")
+        _stores[app] = (spark, name)
+    table = f"{_stores[app][1]}.{label}_{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
+def release() -> None:
+    """Remove the files of all stored frames; no result over them can be read any more."""
+    for app in list(_stores):
+        spark, name = _stores.pop(app)
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    for spark, _ in list(_stores.values()):
+        if spark.sparkContext._jsc is None:  # stopped: nothing can be removed through it
+            return
+    try:
+        release()
+    except Exception:  # the program ends anyway
+        pass
