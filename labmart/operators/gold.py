@@ -39,30 +39,25 @@ def _joined(base: DataFrame, sides: list[DataFrame], keys: list[str], counts=())
 def _activity(measurement: DataFrame) -> DataFrame:
     """Distinct dates, years, months and tests of each person, from one scan.
 
-    A row gives its date and its test as two items; unique (person, item) pairs
-    are exchanged by item, then narrowed by person and year, then by person.
+    The days of a person's year are bits of six integers, which combine before
+    the exchange however many rows there are; tests are unique (person, test)
+    pairs of the same aggregate.
     """
-    date, test = F.col("measurement_date"), F.col("measurement_source_value")
-    no_date, no_test = F.lit(None).cast("date"), F.lit(None).cast("string")
-    items = F.array(
-        F.struct(date.alias("__date"), no_test.alias("__test")),
-        F.struct(no_date.alias("__date"), test.alias("__test")),
-    )
-    dated, tested = F.col("__date").isNotNull(), F.col("__test").isNotNull()
-    pairs = measurement.select("person_id", F.inline(items)).where(dated | tested).distinct()
-    month_bit = F.call_function("shiftleft", F.lit(1), F.month("__date") - 1)
-    # Tests are spread over as many parts of a person as there may be months of dates.
-    part = F.when(dated, F.year("__date")).otherwise(-F.pmod(F.hash("__test"), F.lit(1200)) - 100_000)
-    years = pairs.groupBy("person_id", part.alias("__part")).agg(
-        F.count("__date").alias("__dates"),
-        F.count("__test").alias("__tests"),
-        F.bit_or(F.when(dated, month_bit)).alias("__months"),
-    )
-    return years.groupBy("person_id").agg(
-        F.sum("__dates").alias("unique_measurement_dates"),
-        F.count_if(F.col("__dates") > 0).alias("active_years"),
-        F.coalesce(F.bit_count(F.bit_or("__months")).cast("bigint"), F.lit(0)).alias("active_months"),
-        F.sum("__tests").alias("unique_lab_tests"),
+    date, day = F.col("measurement_date"), F.dayofyear("measurement_date") - 1
+    one = F.lit(1).cast("bigint")
+    bits = {f"__days{i}": F.when(F.floor(day / 64) == i, F.call_function("shiftleft", one, day % 64)) for i in range(6)}
+    bits["__months"] = F.call_function("shiftleft", one, F.month(date) - 1)
+    test = F.col("measurement_source_value").alias("__test")
+    rows = measurement.select("person_id", F.year(date).alias("__year"), test, *[v.alias(k) for k, v in bits.items()])
+    sets = [["person_id", "__year"], ["person_id", "__test"]]
+    found = rows.groupingSets(sets, "person_id", "__year", "__test").agg(*[F.bit_or(c).alias(c) for c in bits])
+    dated = F.col("__year").isNotNull()
+    days = sum((F.coalesce(F.bit_count(f"__days{i}"), F.lit(0)) for i in range(6)), F.lit(0).cast("bigint"))
+    return found.groupBy("person_id").agg(
+        F.sum(F.when(dated, days).otherwise(0)).alias("unique_measurement_dates"),
+        F.count("__year").alias("active_years"),
+        F.coalesce(F.bit_count(F.bit_or(F.when(dated, F.col("__months")))), F.lit(0)).cast("bigint").alias("active_months"),
+        F.count("__test").alias("unique_lab_tests"),
     )
 
 

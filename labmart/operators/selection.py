@@ -54,18 +54,29 @@ def ordered_integer(value: Column) -> Column:
 def tally(df: DataFrame, keys: list[str], value: Column | None, items: list[Column]) -> DataFrame:
     """Stored counts of every (group, item): one scan, one exchange, combined before it.
 
-    Tag 0 holds the numeric values with their ordered integers, tag i the i-th
-    of ``items`` (anything that casts to bigint). The exchange is on group and
-    item, so a group with most of the rows still spreads. Nulls are left out.
+    Tag 0 holds the numeric values with their ordered integers, tag i one row
+    for each distinct one of the i-th of ``items``. The exchange is on group
+    and item, so a group with most of the rows still spreads. Nulls are left
+    out.
     """
-    no_item, no_value = F.lit(None).cast("bigint").alias(ITEM), F.lit(None).cast("double").alias(VALUE)
-    kinds = [] if value is None else [F.struct(F.lit(0).alias(TAG), no_item, value.cast("double").alias(VALUE))]
-    for i, item in enumerate(items, 1):
-        kinds.append(F.struct(F.lit(i).alias(TAG), item.cast("bigint").alias(ITEM), no_value))
-    rows = df.select(*keys, F.inline(F.array(*kinds))).where(
-        F.col(ITEM).isNotNull() | F.col(VALUE).isNotNull()
+    kinds = ([] if value is None else [value.cast("double").alias(VALUE)]) + [
+        item.alias(f"{ITEM}{i}") for i, item in enumerate(items, 1)
+    ]
+    rows = df.select(*keys, *kinds)
+    names = rows.columns[len(keys) :]
+    counted = rows.groupingSets([[*keys, name] for name in names], *keys, *names).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias(N)
+    )
+    # The bit of a set's own item is the only one of the items that is not set.
+    bits = {name: (1 << len(names)) - 1 - (1 << (len(names) - 1 - i)) for i, name in enumerate(names)}
+    tag, present = F.lit(None).cast("int"), F.lit(False)
+    for name, bit in bits.items():
+        own = F.col("__set") == bit
+        tag = F.when(own, 0 if name == VALUE else int(name.removeprefix(ITEM))).otherwise(tag)
+        present = present | (own & F.col(name).isNotNull())
+    counted = counted.where(present).withColumn(TAG, tag).select(
+        *keys, TAG, *([VALUE] if VALUE in names else [F.lit(None).cast("double").alias(VALUE)]), N
     )
-    counted = rows.groupBy(*keys, TAG, ITEM, VALUE).agg(F.count(F.lit(1)).alias(N))
     place = F.when(F.col(TAG) == 0, ordered_integer(F.col(VALUE)))
     return store(counted.withColumn(PLACE, place), "tally")
 
