@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,14 +45,38 @@ def time_range_count(df: DataFrame, start: dt.date, end: dt.date | None = None)
     return time_range(df, start, end).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def cohort_filter(df: DataFrame, patients) -> DataFrame:
+class Bucket(NamedTuple):
+    """A partition column that holds ``hash(value) mod n``, see ``with_bucket_column``.
+
+    ``value`` computes what is hashed from the patient id, if that is not the id itself.
+    """
+
+    column: str
+    n: int
+    value: Callable[[Column], Column] = lambda patient: patient
+
+    def of(self, patient: Column) -> Column:
+        return F.pmod(F.hash(self.value(patient)), F.lit(self.n))
+
+
+def cohort_filter(df: DataFrame, patients, bucket: Bucket | None = None) -> DataFrame:
     """Rows of the given patients: a list of ids, or a frame with a ``patient_id`` column.
 
     A frame is left to Spark to broadcast or shuffle, by its size at run time.
+    With ``bucket``, only the partitions that the patients' buckets name are
+    read: the buckets of a list are constants of the plan, those of a frame
+    join as a second key, from which Spark prunes at run time.
     """
     if isinstance(patients, DataFrame):
-        return df.join(patients.select("patient_id").distinct(), "patient_id", "left_semi")
-    return df.filter(F.col("patient_id").isin(*patients))
+        cohort = patients.select("patient_id").distinct()
+        if bucket is None:
+            return df.join(cohort, "patient_id", "left_semi")
+        own = cohort.withColumn(bucket.column, bucket.of(F.col("patient_id")))
+        return df.join(own, ["patient_id", bucket.column], "left_semi")
+    rows = df.filter(F.col("patient_id").isin(*patients))
+    if bucket is None:
+        return rows
+    return rows.filter(F.col(bucket.column).isin(*[bucket.of(F.lit(p)) for p in dict.fromkeys(patients)]))
 
 
 def code_filter(df: DataFrame, codes=None, like: str | None = None) -> DataFrame:

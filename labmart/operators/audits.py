@@ -251,6 +251,39 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str = "source_file")
     )
 
 
+def reconcile_content(
+    expected: DataFrame, actual: DataFrame, columns: list[str], key: str = "source_file"
+) -> DataFrame:
+    """``reconcile`` that also compares what the rows hold, by the given columns.
+
+    Each side sums two 64-bit hashes of its rows per file, which neither order
+    nor partitioning changes and in which repeated rows count as often as they
+    occur. A file of as many rows as expected, but not the same ones, is
+    CHANGED; so is the total if any file is.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        hashes = [F.xxhash64(*[F.lit(seed), *columns]).cast("decimal(38,0)") for seed in (1, 2)]
+        sums = [F.sum(h).alias(f"__{name}{i}") for i, h in enumerate(hashes)]
+        return df.groupBy(key).agg(_rows().alias(f"__{name}"), *sums)
+
+    merged = side(expected, "want").join(side(actual, "got"), key, "full_outer")
+    equal = F.lit(True)
+    for i in range(2):
+        equal = equal & F.col(f"__want{i}").eqNullSafe(F.col(f"__got{i}"))
+    totals = merged.rollup(key).agg(
+        F.grouping(key).cast("boolean").alias("is_total"),
+        F.coalesce(F.sum("__want"), F.lit(0)).alias("expected_rows"),
+        F.coalesce(F.sum("__got"), F.lit(0)).alias("actual_rows"),
+        F.bool_and(equal).alias("same_content"),
+    )
+    want, got = F.col("expected_rows"), F.col("actual_rows")
+    verdict = (
+        F.when(got < want, "FILTERED_OUT").when(got > want, "DUPLICATES")
+        .when(F.col("same_content"), "MATCH").otherwise("CHANGED")
+    )
+    return totals.withColumn("verdict", verdict)
+
+
 def glob_profile(raw: DataFrame, label: Column | None = None) -> DataFrame:
     """Rows, files, first and last file, rows per file and largest patient id of a scan.
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labmart.session import new_scratch_path
+from labmart.session import store
+
+#: A task's rows are numbered in stretches of 2**20, the most that one array holds.
+STRETCH_BITS = 20
 
 _POSITION = "__position"
-_TIE = "__tie"
+_TIE, _STRETCH, _ROW = "__tie", "__stretch", "__row"
 
 
 def spread_and_sort(df: DataFrame, keys: list, partitions: int | None = None) -> DataFrame:
@@ -32,24 +35,42 @@ def spread_and_sort(df: DataFrame, keys: list, partitions: int | None = None) ->
 def global_row_id(
     df: DataFrame, keys: list[str], out: str = "row_id", partitions: int | None = None
 ) -> DataFrame:
-    """Number all rows 1..n in key order.
+    """Number all rows 1..n in key order; only keys and locators are exchanged.
+
+    Rows are stored where they are, each with a locator: its stretch of at most
+    2**20 rows of one task, and its place in the stretch. Keys and locators are
+    range-partitioned, sorted and written, each file holding one part of the
+    order. A number is the index in the file plus the rows of all files before;
+    these offsets are one small row per file. The numbers of a stretch return
+    as one array, which meets the stored rows by their bucket, so that wide
+    rows never leave their place.
 
-    Sorted ranges are written to the shared folder, each file holding one
-    stretch of the order. A row's number is its index in the file plus the
-    rows of all files before; these offsets are one small row per file. Ties
-    are settled by a hash over all columns, so repeated runs give equal
-    results up to exact copies. Losing an executor costs at most the re-read
-    of a file.
+    Ties are settled by a hash over all columns, so repeated runs give equal
+    results up to exact copies. The stored rows stay until ``session.release``.
     """
+    spark = df.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(shuffles, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
+    locator = F.monotonically_increasing_id()
+    located = df.withColumns(
+        {
+            _STRETCH: F.shiftright(locator, STRETCH_BITS),
+            _ROW: locator.bitwiseAND(F.lit((1 << STRETCH_BITS) - 1)).cast("int"),
+        }
+    )
+    # A task's rows share few stretches, so it writes few files, not one for each bucket.
+    wide = store(located, "located", (buckets, _STRETCH))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    path = new_scratch_path(df.sparkSession, "rowid")
-    spread_and_sort(df.withColumn(_TIE, tie), [*keys, _TIE], partitions).drop(_TIE).write.parquet(path)
+    narrow = wide.select(*keys, tie.alias(_TIE), _STRETCH, _ROW)
+    order = [F.col(k).asc_nulls_last() for k in keys] + [F.col(c) for c in (_TIE, _STRETCH, _ROW)]
+    ranged = narrow.repartitionByRange(partitions, *order) if partitions else narrow.repartitionByRange(*order)
+    stored = store(ranged.sortWithinPartitions(*order).select(_STRETCH, _ROW), "order")
 
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
     file_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).cast("bigint")
     chunk_no = F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)\.", 1).cast("bigint")
     indexed = stored.select(
-        "*",
+        _STRETCH,
+        _ROW,
         file_no.alias("__file"),
         chunk_no.alias("__chunk"),
         F.col("_metadata.row_index").alias("__index"),
@@ -62,7 +83,12 @@ def global_row_id(
         "__chunk",
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
     )
-    return indexed.join(offsets, ["__file", "__chunk"]).select(
-        *[F.col(c) for c in df.columns],
-        (F.col("__before") + F.col("__index") + 1).alias(out),
+    number = (F.col("__before") + F.col("__index") + 1).alias("__number")
+    pairs = F.array_sort(F.collect_list(F.struct(_ROW, "__number")))
+    numbers = (
+        indexed.join(offsets, ["__file", "__chunk"]).select(_STRETCH, _ROW, number)
+        .groupBy(_STRETCH).agg(F.transform(pairs, lambda x: x["__number"]).alias("__numbers"))
+    )
+    return wide.join(numbers.hint("shuffle_hash"), _STRETCH).select(
+        *[F.col(c) for c in df.columns], F.get("__numbers", F.col(_ROW)).alias(out)
     )

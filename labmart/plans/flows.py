@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labmart.operators.bronze import bronze_typed
+from labmart.functions import person_hash64
+from labmart.operators.access import Bucket
+from labmart.operators.audits import omop_validation
+from labmart.operators.bronze import bronze_enhanced, bronze_typed
+from labmart.operators.concepts import concept_backfill
 from labmart.operators.gold import laboratory_analytics, measurement_trends, patient_summary
 from labmart.operators.silver import omop_measurement
 from labmart.operators.vocabulary import (
@@ -18,7 +22,7 @@ from labmart.operators.vocabulary import (
     vocab_validation,
 )
 from labmart.session import scratch_table, shuffle_partitions_for
-from labmart.sinks import run_name, staged_publish, write_table
+from labmart.sinks import run_name, staged_publish, with_bucket_column, write_table
 from labmart.sources import detect_separator, discover_files, require_files, scan_lab, scan_vocab
 
 BRONZE_CLUSTERING = ["patient_id", "measurement_source_value"]
@@ -57,11 +61,57 @@ def csv_to_bronze(
         )
 
 
+#: Buckets of the enhanced table by the hash of the patient.
+ENHANCED_BUCKETS = 16
+
+
+def bronze_to_enhanced(
+    spark: SparkSession,
+    bronze: DataFrame,
+    table: str,
+    version: int = 7,
+    run_id: str | None = None,
+    salt: str | None = None,
+) -> str:
+    """Bronze rows with hashes, scores and row ids, by bucket of the patient's hash and year.
+
+    ``bronze`` is text for version 7, typed for version 5. The rows are moved
+    once, by the write. ``enhanced_bucket`` reads the table back by patient.
+    """
+    hashed = "person_id_hash" if version == 7 else "patient_id_hash"
+    rows = bronze_enhanced(bronze, version, salt)
+    if version == 5:
+        rows = rows.withColumn("measurement_year", F.year("measurement_date"))
+    return write_table(
+        with_bucket_column(rows, hashed, ENHANCED_BUCKETS, "patient_bucket"),
+        run_name(table, run_id),
+        partition_by=["patient_bucket", "measurement_year"],
+    )
+
+
+def enhanced_bucket(salt: str | None = None) -> Bucket:
+    """For ``cohort_filter`` over an enhanced table: reads only the buckets of the patients."""
+    return Bucket("patient_bucket", ENHANCED_BUCKETS, lambda patient: person_hash64(patient, salt))
+
+
 def bronze_to_silver(
-    spark: SparkSession, bronze: str, table: str, run_id: str | None = None, as_of=None, unit_map=None
+    spark: SparkSession,
+    bronze: str,
+    table: str,
+    run_id: str | None = None,
+    as_of=None,
+    unit_map=None,
+    concept: DataFrame | None = None,
+    code_map: DataFrame | None = None,
 ) -> str:
-    """Bronze table to MEASUREMENT by year and month; returns the new table's name."""
+    """Bronze table to MEASUREMENT by year and month; returns the new table's name.
+
+    With ``concept``, both concept ids are filled from the vocabulary, in the
+    same pass. ``validate_silver`` gives the report over the written table.
+    """
     measurement = omop_measurement(spark.table(bronze), unit_map, as_of)
+    if concept is not None:
+        measurement = concept_backfill(measurement, concept, code_map)
     return write_table(
         measurement,
         run_name(table, run_id),
@@ -69,6 +119,11 @@ def bronze_to_silver(
     )
 
 
+def validate_silver(spark: SparkSession, silver: str) -> DataFrame:
+    """Mapping rates and volumes of a stored MEASUREMENT table."""
+    return omop_validation(spark.table(silver))
+
+
 def silver_to_gold(
     spark: SparkSession, silver: str, database: str, run_id: str | None = None, min_count: int = 1000
 ) -> dict[str, str]:

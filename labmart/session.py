@@ -93,11 +93,13 @@ def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[Da
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+def store(df: DataFrame, label: str, bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again, for results that are read later.
 
     Cuts the lineage, so that a lost executor costs the tasks of the step at
-    hand. The files stay until ``release`` or the end of the Python program.
+    hand. ``bucket_by`` (number, column) makes buckets without a shuffle: each
+    task writes to those its rows fall into. The files stay until ``release``
+    or the end of the Python program.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
@@ -106,7 +108,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
         spark.sql(f"CREATE DATABASE {name} LOCATION '{new_scratch_path(spark, 'stored')}'")
         _stores[app] = (spark, name)
     table = f"{_stores[app][1]}.{label}_{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").saveAsTable(table)
+    writer = df.write.format("parquet")
+    (writer.bucketBy(*bucket_by) if bucket_by else writer).saveAsTable(table)
     return spark.table(table)
 
 

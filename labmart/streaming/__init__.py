@@ -1,3 +1,3 @@
-from labmart.streaming.ingest import batch_progress, ingest_stream
+from labmart.streaming.ingest import batch_progress, committed, ingest_stream, ledger_lines
 
-__all__ = ["batch_progress", "ingest_stream"]
+__all__ = ["batch_progress", "committed", "ingest_stream", "ledger_lines"]

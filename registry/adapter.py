@@ -12,7 +12,7 @@ from labmart.operators.bronze import bronze_typed
 from labmart.operators.silver import omop_measurement
 from labmart.schemas import LAB_27, VOCAB_FILES
 from labmart.session import new_scratch_path
-from labmart.sinks import write_table
+from labmart.sinks import with_bucket_column, write_table
 from labmart.sources import scan_lab, scan_vocab, with_source_file
 
 AS_OF = dt.date(2002, 1, 1)
@@ -148,6 +148,17 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_stage_once(spark, sf_dir, "bronze", write))
 
 
+def bucketed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze written by 32 buckets of the patient and by year."""
+
+    def write(path: str) -> None:
+        rows = bronze(spark, sf_dir, partition_columns=True).drop("month")
+        bucketed = with_bucket_column(rows, "patient_id", 32)
+        write_table(bucketed, path=path, partition_by=["patient_id_bucket", "year"])
+
+    return spark.read.parquet(_stage_once(spark, sf_dir, "bucketed", write))
+
+
 def stored_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows of the CSV files, with the source of each, as a plain table."""
 

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from labmart import functions as lf
 from labmart.operators import access, audits, bronze, concepts, gold, vocabulary
 from labmart.operators.rowid import global_row_id
-from labmart.plans import load_vocabularies
+from labmart.plans import (
+    bronze_to_enhanced,
+    bronze_to_silver,
+    enhanced_bucket,
+    load_vocabularies,
+    validate_silver,
+)
 from labmart.schemas import LAB_15, LAB_27, VOCAB_FILES
 from labmart.session import new_scratch_path
 from labmart.sinks import (
@@ -35,7 +41,7 @@ from labmart.sources import (
     with_source_file,
 )
 from labmart.sources.vocab import separator_scores
-from labmart.streaming import batch_progress, ingest_stream
+from labmart.streaming import batch_progress, committed, ingest_stream
 from registry import adapter as at
 from registry import sql
 from registry.sql import compose
@@ -277,6 +283,23 @@ def batch_ingest_progress(spark, sf):
     )
 
 
+@register(
+    "batch_ingest_ledger",
+    "loaded",
+    f"SELECT {_list(LAB_15)}, load_timestamp, source AS source_file FROM loaded "
+    "WHERE patient_id NOT IN ('', 'nan')",
+)
+def batch_ingest_ledger(spark, sf):
+    """Two streams with checkpoints of their own and one ledger: every file is loaded once."""
+    target = new_scratch_path(spark, "ledger")
+    for name in ("first", "second"):
+        ingest_stream(
+            spark, at.lab_csv(spark, sf) + "/*", f"{target}/data", f"{target}/{name}",
+            run_ts=at.RUN_TS, source_pattern=at.SOURCE_PATTERN, source_group=1, ledger=f"{target}/files",
+        ).awaitTermination()
+    return committed(spark, f"{target}/data", f"{target}/files").drop("processing_batch")
+
+
 @register(
     "union_batches",
     "scanned",
@@ -478,6 +501,44 @@ def patient_filter_query(spark, sf):
     )
 
 
+# Blank, spaced and "nan" patients, visits 0 and NULL, values 0 and NaN, blank texts; the same SQL in both.
+_EDGES = {
+    "patient_id": "CASE visit_id % 11 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN 'nan' ELSE patient_id END",
+    "visit_id": "CASE visit_id % 13 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS BIGINT) ELSE visit_id END",
+    "value_as_number": "CASE visit_id % 7 WHEN 0 THEN CAST(0 AS DOUBLE) WHEN 1 THEN CAST('NaN' AS DOUBLE) "
+    "ELSE value_as_number END",
+    "value_as_string": "CASE visit_id % 5 WHEN 0 THEN '  ' WHEN 1 THEN 'weak' ELSE value_as_string END",
+}
+_EDGE_ROWS = f"(SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in _EDGES.items())}) FROM bronze)"
+
+
+def _edge_rows(spark, sf) -> DataFrame:
+    return at.bronze(spark, sf).withColumns({k: F.expr(v) for k, v in _EDGES.items()})
+
+
+@register(
+    "patient_filter_edges",
+    "bronze",
+    f"""
+    SELECT unnest(['all', 'nonblank', 'trimmed', 'with_visit', 'not_nan']) AS mode,
+      unnest([COUNT(*), COUNT(*) FILTER (patient_id <> ''), COUNT(*) FILTER (TRIM(patient_id) <> ''),
+        COUNT(*) FILTER (patient_id <> '' AND visit_id IS NOT NULL),
+        COUNT(*) FILTER (patient_id NOT IN ('', 'nan'))]) AS rows
+    FROM {_EDGE_ROWS}
+    """,
+)
+def patient_filter_edges(spark, sf):
+    """Five modes, five different counts."""
+    rows = _edge_rows(spark, sf)
+    modes = ("all", "nonblank", "trimmed", "with_visit", "not_nan")
+    return union_batches(
+        [
+            bronze.patient_filter(rows, mode).agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("rows"))
+            for mode in modes
+        ]
+    )
+
+
 @register(
     "partition_year_month",
     "bronze",
@@ -691,6 +752,36 @@ def bronze_enhanced_row_ids(spark, sf):
     return union_batches(found)
 
 
+_PARSED = "TRY_STRPTIME(sampling_datetime_utc, '%Y-%m-%d %H:%M:%S')"
+
+
+@register(
+    "enhanced_flow",
+    "lab",
+    f"""
+    SELECT 'all' AS kind, ROW_NUMBER() OVER (ORDER BY sampling_datetime_utc, patient_id, TRY_CAST(visit_id AS BIGINT))
+        AS measurement_id, sampling_datetime_utc, patient_id, TRY_CAST(visit_id AS BIGINT) AS visit_id,
+      CAST(year({_PARSED}) AS INTEGER) AS measurement_year, true AS bucket_in_range
+    FROM lab WHERE patient_id <> ''
+    UNION ALL
+    SELECT 'cohort', NULL, sampling_datetime_utc, patient_id, TRY_CAST(visit_id AS BIGINT),
+      CAST(year({_PARSED}) AS INTEGER), true
+    FROM lab WHERE patient_id IN ('12', '30', 'P59')
+    """,
+)
+def enhanced_flow(spark, sf):
+    """Written by patient bucket and year, read back whole and by the buckets of three patients."""
+    texts = at.bronze(spark, sf, strings=True, keep_patients="nonblank")
+    table = bronze_to_enhanced(spark, texts, f"{_database(spark, 'enhanced')}.results", version=7)
+    stored = spark.table(table)
+    some = access.cohort_filter(stored, ["12", "30", "P59"], enhanced_bucket())
+    in_range = F.col("patient_bucket").between(0, 15).alias("bucket_in_range")
+    columns = ["sampling_datetime_utc", "patient_id", "visit_id", "measurement_year", in_range]
+    return stored.select(F.lit("all").alias("kind"), "measurement_id", *columns).unionAll(
+        some.select(F.lit("cohort"), F.lit(None).cast("bigint"), *columns)
+    )
+
+
 @register(
     "quality_score",
     "bronze",
@@ -892,6 +983,39 @@ def cohort_filter_query(spark, sf):
     )
 
 
+_COHORT_ROWS = "SELECT {kind} AS kind, patient_id, visit_id, measurement_source_value FROM bronze WHERE patient_id IN ({ids})"
+
+
+@register(
+    "cohort_filter_buckets",
+    "bronze",
+    _COHORT_ROWS.format(
+        kind="'table'",
+        ids="SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey = 3",
+    )
+    + " UNION ALL " + _COHORT_ROWS.format(kind="'list'", ids="'12', '30', 'P59'"),
+)
+def cohort_filter_buckets(spark, sf):
+    """Over a table by patient bucket and year, of which only the patients' buckets are read."""
+    rows = at.bucketed_bronze(spark, sf).select(
+        "patient_id", "visit_id", "measurement_source_value", "patient_id_bucket"
+    )
+    customers = at.table(spark, sf, "customer")
+    cohort = customers.filter("c_mktsegment = 'MACHINERY' AND c_nationkey = 3").select(
+        F.col("c_custkey").cast("string").alias("patient_id")
+    )
+    kinds = {"table": cohort, "list": ["12", "30", "P59"]}
+    columns = ["patient_id", "visit_id", "measurement_source_value"]
+    return union_batches(
+        [
+            access.cohort_filter(rows, who, access.Bucket("patient_id_bucket", 32)).select(
+                F.lit(kind).alias("kind"), *columns
+            )
+            for kind, who in kinds.items()
+        ]
+    )
+
+
 @register(
     "code_filter",
     "bronze",
@@ -1054,25 +1178,39 @@ def datamart_lab_stats_query(spark, sf):
 # ---------------------------------------------------------------- audits
 
 
+ORACLE_OF_VALIDATION = f"""
+SELECT COUNT(*) AS total_measurements, COUNT(DISTINCT person_id) AS unique_patients,
+  COUNT(*) FILTER (measurement_concept_id > 0) AS mapped_measurements,
+  COUNT(*) FILTER (measurement_concept_id = 0) AS unmapped_measurements,
+  COUNT(*) FILTER (unit_concept_id > 0) AS mapped_units,
+  COUNT(value_as_number) AS numeric_values,
+  COUNT(DISTINCT measurement_concept_id) AS unique_concepts,
+  MIN(measurement_date) AS earliest_measurement, MAX(measurement_date) AS latest_measurement,
+  ROUND(100.0 * COUNT(*) FILTER (measurement_concept_id > 0) / COUNT(*), 6) AS mapping_rate_pct
+FROM ({_BACKFILLED})
+"""
+
+
 @register(
     "omop_validation",
     "measurement concept",
-    f"""
-    SELECT COUNT(*) AS total_measurements, COUNT(DISTINCT person_id) AS unique_patients,
-      COUNT(*) FILTER (measurement_concept_id > 0) AS mapped_measurements,
-      COUNT(*) FILTER (measurement_concept_id = 0) AS unmapped_measurements,
-      COUNT(*) FILTER (unit_concept_id > 0) AS mapped_units,
-      COUNT(value_as_number) AS numeric_values,
-      COUNT(DISTINCT measurement_concept_id) AS unique_concepts,
-      MIN(measurement_date) AS earliest_measurement, MAX(measurement_date) AS latest_measurement,
-      ROUND(100.0 * COUNT(*) FILTER (measurement_concept_id > 0) / COUNT(*), 6) AS mapping_rate_pct
-    FROM ({_BACKFILLED})
-    """,
+    ORACLE_OF_VALIDATION,
 )
 def omop_validation_query(spark, sf):
     return _rounded(audits.omop_validation(_backfilled(spark, sf)), "mapping_rate_pct")
 
 
+@register("silver_flow", "measurement concept", ORACLE_OF_VALIDATION)
+def silver_flow(spark, sf):
+    """Bronze to MEASUREMENT with concepts filled during the load, then validated where it is stored."""
+    database = _database(spark, "silver")
+    bronze_table = f"{database}.bronze"
+    at.stored_bronze(spark, sf).write.saveAsTable(bronze_table)
+    concept = _concept(spark, sf)
+    silver = bronze_to_silver(spark, bronze_table, f"{database}.silver", as_of=at.AS_OF, concept=concept)
+    return _rounded(validate_silver(spark, silver), "mapping_rate_pct")
+
+
 @register(
     "bronze_stats",
     "loaded",
@@ -1112,6 +1250,13 @@ def bronze_stats_strict(spark, sf):
     )
 
 
+@register("bronze_stats_strict_edges", "bronze", _STRICT.replace("FROM bronze", f"FROM {_EDGE_ROWS}"))
+def bronze_stats_strict_edges(spark, sf):
+    return _rounded(
+        audits.bronze_stats(_edge_rows(spark, sf), strict=True), "avg_numeric_value"
+    )
+
+
 @register(
     "partition_audit",
     "bronze",
@@ -1263,6 +1408,34 @@ def reconcile_query(spark, sf):
     return audits.reconcile(raw, loaded)
 
 
+_COMPARED = ["patient_id", "visit_id", "measurement_source_value", "value_as_number", "sampling_datetime_utc"]
+# What befell the rows of three years: some lost, some doubled, some altered.
+_LOST = "source = '1993' AND visit_id % 2 = 0"
+_DOUBLED = "source = '1994' AND visit_id % 3 = 0"
+_ALTERED = "CASE WHEN source = '1995' AND visit_id % 5 = 0 THEN 'LC:9999' ELSE measurement_source_value END"
+
+
+@register(
+    "reconcile_content",
+    "loaded",
+    f"""
+    SELECT source_file, is_total, expected_rows, actual_rows, changed = 0 AS same_content,
+      CASE WHEN actual_rows < expected_rows THEN 'FILTERED_OUT' WHEN actual_rows > expected_rows THEN 'DUPLICATES'
+        WHEN changed = 0 THEN 'MATCH' ELSE 'CHANGED' END AS verdict
+    FROM (SELECT source AS source_file, GROUPING(source) = 1 AS is_total, CAST(SUM(1 + twice - lost) AS BIGINT) AS actual_rows,
+        COUNT(*) AS expected_rows, COUNT(*) FILTER (lost + twice > 0 OR code IS DISTINCT FROM measurement_source_value) AS changed
+      FROM (SELECT source, measurement_source_value, {_ALTERED} AS code, CASE WHEN {_LOST} THEN 1 ELSE 0 END AS lost,
+          CASE WHEN {_DOUBLED} THEN 1 ELSE 0 END AS twice FROM loaded) GROUP BY ROLLUP (source))
+    """,
+)
+def reconcile_content_query(spark, sf):
+    """Lost, doubled and altered rows, each in another file; the rest as it was."""
+    loaded = at.stored_loaded(spark, sf).withColumnRenamed("source_file", "source")
+    kept = loaded.where(f"NOT ({_LOST})").unionAll(loaded.where(_DOUBLED))
+    actual = kept.withColumn("measurement_source_value", F.expr(_ALTERED))
+    return audits.reconcile_content(loaded, actual, _COMPARED, "source").withColumnRenamed("source", "source_file")
+
+
 @register(
     "glob_profile",
     "lab",

@@ -266,6 +266,21 @@ def test_reconcile_verdicts(spark):
     assert rows["d"].success_rate_pct is None
 
 
+def test_reconcile_sees_a_swapped_row(spark):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", 2, None), ("b", 3, "y"), ("c", 4, "z")]
+    want = spark.createDataFrame(rows, "source_file string, v int, w string")
+
+    def verdicts(actual):
+        have = spark.createDataFrame(actual, want.schema).repartition(3)
+        return {r.source_file: r.verdict for r in audits.reconcile_content(want, have, ["v", "w"]).collect()}
+
+    assert verdicts(rows[::-1]) == {"a": "MATCH", "b": "MATCH", "c": "MATCH", None: "MATCH"}
+    swapped = [("a", 1, "x"), ("a", 2, None), ("a", 2, None), ("b", 3, "y"), ("c", 4, None)]
+    assert verdicts(swapped) == {"a": "CHANGED", "b": "MATCH", "c": "CHANGED", None: "CHANGED"}
+    assert verdicts(rows[1:] + [("b", 3, "y")] * 2)["a"] == "FILTERED_OUT"
+    assert verdicts(rows + [("d", 3, "y")])["d"] == "DUPLICATES"
+
+
 def test_grades(spark):
     df = spark.createDataFrame(
         [(85.0, 1000, 700_000_000, 5_000_000, 60)],

@@ -47,6 +47,27 @@ def test_several_files_per_task(spark, tmp_path):
     assert in_order == sorted(in_order, key=lambda r: (r.t is None, r.t, r.p))
 
 
+def test_wide_rows_are_not_exchanged(spark, tmp_path):
+    """The rows themselves meet their numbers by bucket: an exchange carries keys, locators or numbers only."""
+    wide = stored(spark, tmp_path).withColumns({f"c{i}": F.concat(F.lit(f"{i}"), F.col("p")) for i in range(30)})
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.debug.maxToStringFields": "200"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        numbered = global_row_id(wide, KEYS)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    lines = plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "c29" in x)
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    assert not any("Exchange" in x for x in lines[join:scan])
+    assert not any("Exchange" in x and "c29" in x for x in lines)
+    assert numbered.count() == 9000
+
+
 def test_copies_spread_over_partitions(spark, tmp_path):
     placed = spread_and_sort(stored(spark, tmp_path), KEYS, partitions=9)
     sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from labmart.schemas import LAB_15
-from labmart.streaming import batch_progress, ingest_stream
+from labmart.streaming import batch_progress, committed, ingest_stream, ledger_lines
 
 RUN = dt.datetime(2024, 1, 1)
 
@@ -46,3 +46,33 @@ def test_batches_of_ten_and_later_files(spark, tmp_path):
     assert run(spark, tmp_path).count() == 24
     # Another stream, or the same after its checkpoint was lost, adds to what is there.
     assert run(spark, tmp_path, "other").count() == 48
+
+
+def test_ledger_loads_each_content_once(spark, tmp_path):
+    import shutil
+
+    (tmp_path / "in").mkdir()
+    for i in range(12):
+        put(tmp_path / "in", i)
+
+    def load(checkpoint):
+        paths = [str(tmp_path / x) for x in ("in", "out", checkpoint)]
+        ingest_stream(spark, *paths, layout="15", run_ts=RUN, ledger=str(tmp_path / "ledger")).awaitTermination()
+        return committed(spark, str(tmp_path / "out"), str(tmp_path / "ledger"))
+
+    assert ledger_lines(spark, str(tmp_path / "ledger")).count() == 0
+    assert load("first").count() == 12
+    # A new checkpoint, a copy under another name, copies within one batch, and two new files.
+    shutil.copy(tmp_path / "in" / "f003.csv", tmp_path / "in" / "g.csv")
+    put(tmp_path / "in", 50)
+    shutil.copy(tmp_path / "in" / "f050.csv", tmp_path / "in" / "h.csv")
+    put(tmp_path / "in", 51)
+    loaded = load("second")
+    assert loaded.count() == 14
+    assert sorted(r.patient_id for r in loaded.collect()) == sorted(map(str, [*range(12), 50, 51]))
+    lines = ledger_lines(spark, str(tmp_path / "ledger"))
+    assert lines.count() == 14 and lines.agg({"rows": "sum"}).first()[0] == 28
+    # A batch that broke before its line in the ledger leaves rows that do not count.
+    left = spark.read.parquet(str(tmp_path / "out")).drop("processing_batch")
+    left.write.parquet(str(tmp_path / "out" / "processing_batch=batch_broken_1"))
+    assert load("third").count() == 14
