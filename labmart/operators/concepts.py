@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labmart.sinks.tables import write_table
+
+CODE, SLOT = "measurement_source_value", "code_slot"
+
 
 def concept_lookup(bronze: DataFrame, concept: DataFrame, columns=None) -> DataFrame:
     """Inner join of rows with concepts on the test code.
@@ -59,3 +63,48 @@ def concept_backfill(
     return joined.select(
         *[found.alias(c) if c in filled else F.col(c) for c in measurement.columns]
     )
+
+
+def write_by_code(
+    rows: DataFrame,
+    concept: DataFrame,
+    rows_table: str,
+    concept_table: str,
+    buckets: int = 64,
+    rows_per_slot: int = 1_000_000,
+) -> tuple[str, str]:
+    """Rows and concepts as tables bucketed alike, for joins that exchange neither.
+
+    The buckets are by ``code_slot``. A code with many rows has several slots,
+    which spread over the buckets, and its concepts stand once in each of them;
+    so no bucket holds all rows of a frequent code. Rows without a code have a
+    slot of their own and meet nothing. ``slot_lookup`` joins the tables.
+    """
+    slots = rows.where(F.col(CODE).isNotNull()).groupBy(F.col(CODE).alias("__code")).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_slot).alias("__slots")
+    )
+    spread = F.pmod(F.xxhash64(*rows.columns), F.col("__slots"))
+    placed = rows.join(slots, F.col(CODE) == F.col("__code"), "left").withColumn(
+        SLOT, F.xxhash64("__code", spread)
+    )
+    known = concept.join(slots, F.col("concept_code") == F.col("__code")).withColumn(
+        "__slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__slots") - 1))
+    )
+    repeated = known.withColumn(SLOT, F.xxhash64("__code", F.col("__slot")))
+    layout = {"bucket_by": (buckets, SLOT), "sort_by": [SLOT]}
+    write_table(placed.drop("__code", "__slots"), rows_table, **layout)
+    write_table(repeated.drop("__code", "__slots", "__slot"), concept_table, **layout)
+    return rows_table, concept_table
+
+
+def slot_lookup(rows: DataFrame, concept: DataFrame, columns=None) -> DataFrame:
+    """``concept_lookup`` over the tables of ``write_by_code``, without an exchange on either side.
+
+    Slots are hashes, so the codes are compared as well, in a form that does
+    not become a second join key, which the buckets would not satisfy.
+    """
+    wanted = [SLOT, "concept_code", *(columns or [c for c in concept.columns if c not in ("concept_code", SLOT)])]
+    side = concept.select(*wanted).withColumnRenamed(SLOT, "__slot")
+    code, known = F.col(CODE), F.col("concept_code")
+    same = (F.col(SLOT) == F.col("__slot")) & (code <= known) & (code >= known)
+    return rows.join(side, same).drop(SLOT, "__slot")

@@ -7,17 +7,20 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labmart.session import MIB
+from labmart.session import MIB, store
 from labmart.sources.lab import union_batches
 
-#: Bytes read at a time until the first line is complete.
-HEAD_BYTES = 64 * 1024
 LOCAL = "^file:/+"
 
 
+def _plain(path: Column) -> Column:
+    """A local path in one spelling, whichever reader names it."""
+    return F.regexp_replace(path, LOCAL, "file:/")
+
+
 def _empty_files(spark: SparkSession, listed: DataFrame, manifest: DataFrame) -> DataFrame | None:
     """Manifest rows of the files without bytes, which Spark lists but never scans."""
     paths = [re.sub(LOCAL, "file:/", unquote(p)) for p in listed.inputFiles()]
@@ -81,52 +84,51 @@ def _split_header(line: str, sep: str) -> list[str]:
         at = found.end() + len(sep)
 
 
-def _first_line(stream) -> str:
-    head = b""
-    while chunk := stream.read(HEAD_BYTES):
-        head += chunk
-        if re.search(rb"[\r\n]", chunk):
-            break
-    return re.split(rb"[\r\n]", head, maxsplit=1)[0].decode("utf-8-sig", "replace")
-
-
-def _read_headers(batches: Iterator[pd.DataFrame], sep: str) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    opened: dict[str, fs.FileSystem] = {}
-    for batch in batches:
-        headers = []
-        for path in batch["path"]:
-            scheme, _, rest = path.partition(":")
-            if scheme == "file":
-                filesystem, local = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-            else:
-                scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-                authority, _, key = rest.removeprefix("//").partition("/")
-                root = f"{scheme}://{authority}"
-                if root not in opened:
-                    opened[root] = fs.FileSystem.from_uri(root)[0]
-                filesystem = opened[root]
-                local = f"/{key}" if scheme == "hdfs" else f"{authority}/{key}"
-            with filesystem.open_input_stream(local) as stream:
-                headers.append(_split_header(_first_line(stream), sep))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
-
-
-def file_headers(manifest: DataFrame, sep: str = ",", files_per_task: int = 64) -> DataFrame:
-    """First line of every file with bytes in the manifest, split into ``header`` names.
-
-    Tasks open the files and read 64 KB at a time until the line ends, so the
-    cost follows the number of files and not their size. A text scan would read
-    every byte. Names may be quoted.
+def _first_lines(sep: str):
+    """The first line of a task's only file, split; the rest of the file is not asked for."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            line = bytes(batch["line"][0]).decode("utf-8-sig", "replace")
+            yield pd.DataFrame({"path": batch["path"][:1], "header": [_split_header(line, sep)]})
+            return
+
+    return run
+
+
+#: One file for each task, and one line in the first batch that a task hands to Python.
+_ONE_FILE = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 50),
+    "spark.sql.files.openCostInBytes": str(1 << 50),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+}
+
+
+def file_headers(spark: SparkSession, path: str, glob: str = "*.csv", sep: str = ",") -> DataFrame:
+    """path and ``header``, the names in the first line, of every matching file with bytes.
+
+    Spark's text reader opens the files, so any store will do that Spark reads.
+    Each task has one file and ends at its first line, when no more than the
+    reader's and the worker's buffers have been read: the cost follows the
+    number of files and not their size. Names may be quoted. The result, one
+    short row for each file, is stored.
     """
-    tasks = max(1, -(-manifest.count() // files_per_task))
-    return (
-        manifest.where("size > 0")
-        .select("path")
-        .repartition(tasks, "path")
-        .mapInPandas(lambda batches: _read_headers(batches, sep), "path string, header array<string>")
+    lines = (
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+        # Metadata escape a path as a URI does, where a plus sign stands for itself.
+        .select(
+            F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
+            F.col("value").cast("binary").alias("line"),
+        )
     )
+    before = {k: spark.conf.get(k, None) for k in _ONE_FILE}
+    try:
+        for k, v in _ONE_FILE.items():
+            spark.conf.set(k, v)
+        return store(lines.mapInPandas(_first_lines(sep), "path string, header array<string>"), "headers")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def validate_structure(
@@ -141,7 +143,8 @@ def validate_structure(
     manifest = discover_files(spark, path, glob)
     want = F.array(*[F.lit(c) for c in expected])
     compared = (
-        manifest.join(file_headers(manifest), "path", "left")
+        manifest.withColumn("at", _plain(F.col("path")))
+        .join(file_headers(spark, path, glob).select(_plain(F.col("path")).alias("at"), "header"), "at", "left")
         .withColumn("header_ok", F.col("header") == want)
         .select(
             "path",

@@ -25,6 +25,8 @@ from labmart.sinks import (
     accepted,
     append_with_quarantine,
     insert_missing,
+    publish_version,
+    published,
     quarantined,
     with_bucket_column,
     write_table,
@@ -40,8 +42,15 @@ from labmart.sources import (
     volume_report,
     with_source_file,
 )
+from labmart.sinks.versions import publish_steps
 from labmart.sources.vocab import separator_scores
-from labmart.streaming import batch_progress, committed, ingest_stream
+from labmart.streaming import (
+    batch_progress,
+    committed,
+    current_trends,
+    ingest_stream,
+    trend_stream,
+)
 from registry import adapter as at
 from registry import sql
 from registry.sql import compose
@@ -1031,11 +1040,16 @@ def code_filter_query(spark, sf):
 # ---------------------------------------------------------------- joins
 
 
+ORACLE_OF_LOOKUP = (
+    "SELECT patient_id, visit_id, measurement_source_value, concept_id, concept_name, "
+    "concept.vocabulary_id FROM bronze JOIN concept ON measurement_source_value = concept_code"
+)
+
+
 @register(
     "concept_lookup_join",
     "bronze concept",
-    "SELECT patient_id, visit_id, measurement_source_value, concept_id, concept_name, "
-    "concept.vocabulary_id FROM bronze JOIN concept ON measurement_source_value = concept_code",
+    ORACLE_OF_LOOKUP,
 )
 def concept_lookup_join(spark, sf):
     joined = concepts.concept_lookup(
@@ -1051,6 +1065,19 @@ def concept_lookup_join(spark, sf):
     )
 
 
+@register("bucketed_concept_join", "bronze concept", ORACLE_OF_LOOKUP)
+def bucketed_concept_join(spark, sf):
+    """Both sides bucketed by slots of the code, frequent codes in several: no exchange for the join."""
+    database = _database(spark, "slots")
+    names = concepts.write_by_code(
+        at.bronze(spark, sf), _concept(spark, sf), f"{database}.results", f"{database}.concept",
+        buckets=8, rows_per_slot=1000,
+    )
+    columns = ["concept_id", "concept_name", "vocabulary_id"]
+    joined = concepts.slot_lookup(*[spark.table(name) for name in names], columns)
+    return joined.select("patient_id", "visit_id", "measurement_source_value", *columns)
+
+
 _BACKFILLED = """
 SELECT person_id, visit_occurrence_id, measurement_source_value,
   CAST(COALESCE(found, 0) AS INTEGER) AS measurement_concept_id,
@@ -1104,6 +1131,29 @@ def measurement_trends_query(spark, sf):
     return _trends(at.stored_measurement(spark, sf))
 
 
+@register(
+    "trend_stream",
+    "measurement",
+    """
+    SELECT measurement_date, measurement_source_value, unit_source_value, COUNT(*) AS daily_test_count,
+      COUNT(value_as_number) AS daily_numeric_count, ROUND(AVG(value_as_number), 6) AS daily_avg_value,
+      MIN(value_as_number) AS daily_min_value, MAX(value_as_number) AS daily_max_value
+    FROM measurement WHERE measurement_date IS NOT NULL AND measurement_source_value IS NOT NULL
+    GROUP BY ALL
+    """,
+)
+def trend_stream_query(spark, sf):
+    """The daily trends from a stream over the stored files, some files in each batch."""
+    path = new_scratch_path(spark, "trends")
+    at.measurement(spark, sf).repartition(6).write.parquet(f"{path}/in")
+    # Every day stays open, as the rows come in no order.
+    query = trend_stream(
+        spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", delay="20000 days", files_per_batch=2
+    )
+    query.awaitTermination()
+    return _rounded(current_trends(spark, f"{path}/out"), "daily_avg_value")
+
+
 # Values with seven digits, on both sides of zero.
 _DECIMAL = "value_as_number * 1000.0625 - 25001.5625"
 
@@ -1548,6 +1598,27 @@ def global_row_id_query(spark, sf):
     return numbered.select("measurement_id", *keys)
 
 
+@register("versioned_publish", "concept", "SELECT 'concept' AS name, concept_id, concept_code FROM concept "
+    "UNION ALL SELECT 'loinc', concept_id, concept_code FROM concept WHERE vocabulary_id = 'LOINC'")
+def versioned_publish(spark, sf):
+    """A first version, a run that stops before the switch, and the version that readers see."""
+    rows = vocabulary.load_concept(at.vocab_scan(spark, sf, "CONCEPT.csv"))
+    loinc = rows.filter(F.col("vocabulary_id") == "LOINC")
+    database = _database(spark, "versions")
+    publish_version(spark, database, {"concept": loinc, "loinc": loinc.limit(0)})
+    publish_version(spark, database, {"concept": rows, "loinc": loinc})
+    stopped = publish_steps(spark, database, {"concept": rows.limit(1), "loinc": loinc.limit(1)})
+    for stage, _ in stopped:
+        if stage == "check":
+            break
+    return union_batches(
+        [
+            published(spark, database, name).select(F.lit(name).alias("name"), "concept_id", "concept_code")
+            for name in ("concept", "loinc")
+        ]
+    )
+
+
 @register("sort_before_write", "concept", "SELECT * FROM concept")
 def sort_before_write(spark, sf):
     rows = vocabulary.load_concept(at.vocab_scan(spark, sf, "CONCEPT.csv"))

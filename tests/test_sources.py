@@ -115,6 +115,29 @@ def test_long_quoted_and_empty_headers(spark, tmp_path):
     }
 
 
+def test_headers_through_a_path_that_only_spark_reads(spark, tmp_path):
+    """A mount of Hadoop's view file system; a large file is one task of one line."""
+    from labmart.sources.discovery import file_headers
+
+    write(tmp_path / "a+b %41.csv", LAB_15, *[row(str(i)) for i in range(600_000)])
+    write(tmp_path / "c.csv", LAB_15[:-1], row("1")[:-1])
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.files.link./in", f"file://{tmp_path}")
+    mounted = "viewfs://files/in"
+    assert (tmp_path / "a+b %41.csv").stat().st_size > 10_000_000
+    found = {r.name: r.status for r in validate_structure(spark, mounted, LAB_15).collect()}
+    assert found == {"a+b %41.csv": "PASSED", "c.csv": "FAILED"}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "")
+    try:
+        assert file_headers(spark, mounted).count() == 2
+        jobs = tracker.getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    # One task for each file.
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) == 2
+
+
 def test_discovery_and_volume(spark, files):
     manifest = discover_files(spark, str(files))
     assert manifest.count() == 7
