@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from labmart.functions import not_blank, tolerant
 from labmart.functions.time import SENTINEL_YEAR, as_of_date
 from labmart.schemas import LAB_LAYOUTS, text_schema
-from labmart.sources.lab import CSV_OPTIONS, union_batches
+from labmart.sources.discovery import validate_structure
+from labmart.sources.lab import CSV_OPTIONS, scan_lab, union_batches
 
 
 def _rows() -> Column:
@@ -37,6 +38,90 @@ def _one_row(df: DataFrame, columns: Mapping[str, Column], distinct: Mapping[str
     return union_batches(parts).agg(*[F.max(n).alias(n) for n in (*columns, *distinct)])
 
 
+def bronze_metrics(strict: bool = False) -> dict[str, Column]:
+    """The totals of ``bronze_stats``, without its distinct counts."""
+    sampling, number = F.col("sampling_datetime_utc"), F.col("value_as_number")
+    span = {"earliest_sample": F.min(sampling), "latest_sample": F.max(sampling)}
+    if strict:
+        real_number = F.when((number != 0) & ~F.isnan(number), number)
+        return {
+            "total_records": _rows(),
+            **span,
+            "numeric_values": F.count(real_number),
+            "string_values": F.count_if(not_blank("value_as_string")),
+            "valid_measurements": F.count_if(not_blank("measurement_source_value")),
+            "avg_numeric_value": F.avg(real_number),
+            "null_dates": F.count_if(sampling.isNull()),
+        }
+    return {
+        "total_records": _rows(),
+        **span,
+        "numeric_values": F.count(number),
+        "string_values": F.count("value_as_string"),
+        "lab_code_measurements": F.count_if(F.col("measurement_source_value").like("LC:%")),
+    }
+
+
+def key_metrics(as_of=None) -> dict[str, Column]:
+    """The row counts of ``partition_audit`` over the year and month columns of each row."""
+    last, year, month = F.year(as_of_date(as_of)), F.col("year"), F.col("month")
+    return {
+        "null_partition_keys": F.count_if(year.isNull() | month.isNull()),
+        "invalid_years": F.count_if((year < SENTINEL_YEAR) | (year > last)),
+        "invalid_months": F.count_if((month < 1) | (month > 12)),
+        "sentinel_rows": F.count_if(year == SENTINEL_YEAR),
+    }
+
+
+def measurement_metrics() -> dict[str, Column]:
+    """The totals of ``omop_validation``, without its distinct counts."""
+    concept = F.col("measurement_concept_id")
+    return {
+        "total_measurements": _rows(),
+        "mapped_measurements": F.count_if(concept > 0),
+        "unmapped_measurements": F.count_if(concept == 0),
+        "mapped_units": F.count_if(F.col("unit_concept_id") > 0),
+        "numeric_values": F.count("value_as_number"),
+        "earliest_measurement": F.min("measurement_date"),
+        "latest_measurement": F.max("measurement_date"),
+    }
+
+
+def enhanced_metrics() -> dict[str, Column]:
+    """The totals of ``enhanced_summary``, without its distinct counts."""
+    return {
+        "total_records": _rows(),
+        "earliest_date": F.min("measurement_date"),
+        "latest_date": F.max("measurement_date"),
+        "avg_data_quality": F.round(F.avg("data_quality_score"), 3),
+    }
+
+
+class LoadAudit:
+    """Totals that the job which writes a table collects on its way, without a second scan.
+
+    Hand one to a flow; ``frame`` gives its row once the flow has returned.
+    Distinct counts, which need a shuffle of their own, are not among them. If
+    Spark had to repeat a finished stage of the write, its rows count twice:
+    compare total_records with the table before relying on a job that lost
+    executors.
+    """
+
+    def __init__(self) -> None:
+        self._seen, self._schema = None, None
+
+    def watch(self, df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
+        columns = [c.alias(name) for name, c in metrics.items()]
+        self._seen, self._schema = Observation(), df.agg(*columns).schema
+        return df.observe(self._seen, *columns)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        if self._seen is None:
+            raise LookupError("no flow has been given this audit")
+        row = self._seen.get
+        return spark.createDataFrame([tuple(row[f.name] for f in self._schema)], self._schema)
+
+
 def bronze_stats(df: DataFrame, strict: bool = False) -> DataFrame:
     """Volume and coverage of a stored bronze table.
 
@@ -44,23 +129,10 @@ def bronze_stats(df: DataFrame, strict: bool = False) -> DataFrame:
     blank ids and texts, visit 0, and values that are zero or NaN, and adds the
     average value and the rows without sampling time.
     """
-    sampling = F.col("sampling_datetime_utc")
-    code = F.col("measurement_source_value")
-    number = F.col("value_as_number")
     if strict:
-        real_number = F.when((number != 0) & ~F.isnan(number), number)
         return _one_row(
             df,
-            {
-                "total_records": _rows(),
-                "earliest_sample": F.min(sampling),
-                "latest_sample": F.max(sampling),
-                "numeric_values": F.count(real_number),
-                "string_values": F.count_if(not_blank("value_as_string")),
-                "valid_measurements": F.count_if(not_blank("measurement_source_value")),
-                "avg_numeric_value": F.avg(real_number),
-                "null_dates": F.count_if(sampling.isNull()),
-            },
+            bronze_metrics(strict),
             {
                 "unique_patients": F.when(not_blank("patient_id"), F.col("patient_id")),
                 "unique_visits": F.when(F.col("visit_id") != 0, F.col("visit_id")),
@@ -83,18 +155,7 @@ def bronze_stats(df: DataFrame, strict: bool = False) -> DataFrame:
         "unique_visits": F.col("visit_id"),
         **{name: F.col(c) for name, c in labels.items() if c in df.columns},
     }
-    return _one_row(
-        df,
-        {
-            "total_records": _rows(),
-            "earliest_sample": F.min(sampling),
-            "latest_sample": F.max(sampling),
-            "numeric_values": F.count(number),
-            "string_values": F.count("value_as_string"),
-            "lab_code_measurements": F.count_if(code.like("LC:%")),
-        },
-        distinct,
-    )
+    return _one_row(df, bronze_metrics(), distinct)
 
 
 def partition_audit(df: DataFrame, as_of=None) -> DataFrame:
@@ -156,6 +217,22 @@ def scan_access_check(raw: DataFrame) -> DataFrame:
     return counts.withColumn("accessible", F.col("total_rows") > 0)
 
 
+def access_report(spark: SparkSession, path: str, layout: str = "27", glob: str = "*.csv") -> DataFrame:
+    """``scan_access_check`` over files, with failed_files; not accessible if a header is wrong.
+
+    Headers are compared first. Where one differs from the layout nothing is
+    scanned, and the counts are 0.
+    """
+    structure = validate_structure(spark, path, LAB_LAYOUTS[layout], glob)
+    failed = structure.where("status = 'FAILED'").count()
+    if failed:
+        zero = {c: F.lit(0).cast("bigint") for c in ("total_rows", "unique_patients", "files_accessible", "non_null_timestamps")}
+        found = spark.range(1).select(*[v.alias(k) for k, v in zero.items()], F.lit(False).alias("accessible"))
+    else:
+        found = scan_access_check(scan_lab(spark, path, layout))
+    return found.withColumn("failed_files", F.lit(failed).cast("bigint"))
+
+
 def file_distribution(df: DataFrame, n: int = 10) -> DataFrame:
     """Rows and first load time of each source file, the first ``n`` by name."""
     return (
@@ -194,12 +271,7 @@ def enhanced_summary(enhanced: DataFrame, label: str = "enhanced bronze") -> Dat
     """Totals over enhanced bronze."""
     return _one_row(
         enhanced,
-        {
-            "total_records": _rows(),
-            "earliest_date": F.min("measurement_date"),
-            "latest_date": F.max("measurement_date"),
-            "avg_data_quality": F.round(F.avg("data_quality_score"), 3),
-        },
+        enhanced_metrics(),
         {"unique_patients": F.col("person_id_hash"), "unique_visits": F.col("visit_id")},
     ).select(F.lit(label).alias("summary_type"), "*")
 
@@ -209,15 +281,7 @@ def omop_validation(measurement: DataFrame) -> DataFrame:
     concept = F.col("measurement_concept_id")
     counts = _one_row(
         measurement,
-        {
-            "total_measurements": _rows(),
-            "mapped_measurements": F.count_if(concept > 0),
-            "unmapped_measurements": F.count_if(concept == 0),
-            "mapped_units": F.count_if(F.col("unit_concept_id") > 0),
-            "numeric_values": F.count("value_as_number"),
-            "earliest_measurement": F.min("measurement_date"),
-            "latest_measurement": F.max("measurement_date"),
-        },
+        measurement_metrics(),
         {"unique_patients": F.col("person_id"), "unique_concepts": concept},
     )
     rate = _share(F.col("mapped_measurements"), F.col("total_measurements"))

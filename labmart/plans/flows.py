@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from labmart.functions import person_hash64
 from labmart.operators.access import Bucket
-from labmart.operators.audits import omop_validation
+from labmart.operators.audits import (
+    LoadAudit,
+    bronze_metrics,
+    enhanced_metrics,
+    key_metrics,
+    measurement_metrics,
+    omop_validation,
+)
 from labmart.operators.bronze import bronze_enhanced, bronze_typed
 from labmart.operators.concepts import concept_backfill
 from labmart.operators.gold import laboratory_analytics, measurement_trends, patient_summary
@@ -38,6 +45,7 @@ def csv_to_bronze(
     run_ts=None,
     keep_patients: str = "all",
     partitions: int | None = None,
+    audit: LoadAudit | None = None,
 ) -> str:
     """CSV files to a bronze table by year and month, clustered by patient and test.
 
@@ -45,12 +53,15 @@ def csv_to_bronze(
     move the rows. So typed rows are first stored as they come, without a
     shuffle: the text is parsed once, both passes read columns, and the stored
     rows are removed at the end. The number of ranges follows from the size of
-    the files. Fails if there are none.
+    the files. Fails if there are none. ``audit`` receives the totals of
+    ``bronze_stats`` and ``partition_audit`` from the first pass.
     """
     files = require_files(discover_files(spark, path))
     size = files.agg(F.sum("size")).first()[0] or 0
     raw = scan_lab(spark, path, layout, source_file=True)
     typed = bronze_typed(raw, batch, run_ts, keep_patients, partition_columns=True)
+    if audit is not None:
+        typed = audit.watch(typed, bronze_metrics() | key_metrics())
     with scratch_table(spark, typed, "typed") as bronze:
         return write_table(
             bronze,
@@ -72,6 +83,7 @@ def bronze_to_enhanced(
     version: int = 7,
     run_id: str | None = None,
     salt: str | None = None,
+    audit: LoadAudit | None = None,
 ) -> str:
     """Bronze rows with hashes, scores and row ids, by bucket of the patient's hash and year.
 
@@ -82,6 +94,8 @@ def bronze_to_enhanced(
     rows = bronze_enhanced(bronze, version, salt)
     if version == 5:
         rows = rows.withColumn("measurement_year", F.year("measurement_date"))
+    if audit is not None:
+        rows = audit.watch(rows, enhanced_metrics())
     return write_table(
         with_bucket_column(rows, hashed, ENHANCED_BUCKETS, "patient_bucket"),
         run_name(table, run_id),
@@ -103,15 +117,19 @@ def bronze_to_silver(
     unit_map=None,
     concept: DataFrame | None = None,
     code_map: DataFrame | None = None,
+    audit: LoadAudit | None = None,
 ) -> str:
     """Bronze table to MEASUREMENT by year and month; returns the new table's name.
 
     With ``concept``, both concept ids are filled from the vocabulary, in the
-    same pass. ``validate_silver`` gives the report over the written table.
+    same pass. ``validate_silver`` gives the report over the written table,
+    ``audit`` its totals without another scan.
     """
     measurement = omop_measurement(spark.table(bronze), unit_map, as_of)
     if concept is not None:
         measurement = concept_backfill(measurement, concept, code_map)
+    if audit is not None:
+        measurement = audit.watch(measurement, measurement_metrics())
     return write_table(
         measurement,
         run_name(table, run_id),

@@ -44,15 +44,17 @@ def scan_lab(
 ) -> DataFrame:
     """Scan CSV files with the given column layout.
 
-    The header of each file is compared with the layout while it is read
-    (``enforceSchema`` off), so a file with other columns fails the job instead
-    of shifting values. ``blank`` says whether empty fields become NULL or ``''``.
+    The header of each file is compared with the whole layout while it is read
+    (``enforceSchema`` and the parser's column pruning off), so a file with
+    other columns fails the job instead of shifting values, also where a query
+    needs few columns or none. ``blank`` says whether empty fields become NULL or ``''``.
     """
     columns = LAB_LAYOUTS[layout]
     df = (
         spark.read.schema(text_schema(columns))
         .options(**CSV_OPTIONS)
         .option("enforceSchema", "false")
+        .option("columnPruning", "false")
         .csv(path)
     )
     return _blanks(_with_lineage(df, source_file), columns, blank)

@@ -15,6 +15,7 @@ from labmart.operators.rowid import global_row_id
 from labmart.plans import (
     bronze_to_enhanced,
     bronze_to_silver,
+    csv_to_bronze,
     enhanced_bucket,
     load_vocabularies,
     validate_silver,
@@ -1465,6 +1466,36 @@ _DOUBLED = "source = '1994' AND visit_id % 3 = 0"
 _ALTERED = "CASE WHEN source = '1995' AND visit_id % 5 = 0 THEN 'LC:9999' ELSE measurement_source_value END"
 
 
+@register(
+    "load_audit",
+    "loaded measurement concept",
+    f"""
+    SELECT total_records, b.numeric_values, string_values, lab_code_measurements, earliest_sample, latest_sample,
+      undated, total_measurements, mapped_measurements, mapped_units, latest_measurement
+    FROM (SELECT COUNT(*) AS total_records, COUNT(value_as_number) AS numeric_values,
+        COUNT(value_as_string) AS string_values, COUNT(*) FILTER (measurement_source_value LIKE 'LC:%') AS lab_code_measurements,
+        MIN(sampling_datetime_utc) AS earliest_sample, MAX(sampling_datetime_utc) AS latest_sample,
+        COUNT(*) FILTER (sampling_datetime_utc IS NULL) AS undated FROM loaded) b,
+      ({ORACLE_OF_VALIDATION}) m
+    """,
+)
+def load_audit(spark, sf):
+    """What the jobs that write bronze and silver counted on their way; no scan of the tables."""
+    database = _database(spark, "audited")
+    first, second = audits.LoadAudit(), audits.LoadAudit()
+    stored = csv_to_bronze(spark, at.lab_csv(spark, sf), f"{database}.bronze", at.BATCH, run_ts=at.RUN_TS, audit=first)
+    bronze_to_silver(
+        spark, stored, f"{database}.silver", as_of=at.AS_OF, concept=_concept(spark, sf), audit=second
+    )
+    loaded = first.frame(spark).withColumnRenamed("sentinel_rows", "undated").drop(
+        "null_partition_keys", "invalid_years", "invalid_months"
+    )
+    mapped = second.frame(spark).select(
+        "total_measurements", "mapped_measurements", "mapped_units", "latest_measurement"
+    )
+    return loaded.crossJoin(mapped)
+
+
 @register(
     "reconcile_content",
     "loaded",

@@ -12,6 +12,7 @@ from labmart.operators.bronze import bronze_typed
 from labmart.operators.vocabulary import seed_concepts
 from labmart.plans import bronze_to_silver, csv_to_bronze, load_vocabularies, silver_to_gold
 from labmart.schemas import LAB_27
+from labmart.operators.audits import LoadAudit, bronze_stats
 from labmart.sinks import (
     PublishError,
     accepted,
@@ -196,10 +197,17 @@ def test_layers_end_to_end(spark, database, tmp_path):
     ).collect()
     lines = [",".join(LAB_27)] + [",".join(v or "" for v in r) for r in records]
     (folder / "a.csv").write_text("\n".join(lines) + "\n")
-    bronze = csv_to_bronze(spark, str(folder), f"{database}.bronze", "b", run_id="r1")
+    seen, mapped = LoadAudit(), LoadAudit()
+    with pytest.raises(LookupError):
+        seen.frame(spark)
+    bronze = csv_to_bronze(spark, str(folder), f"{database}.bronze", "b", run_id="r1", audit=seen)
+    counted = bronze_stats(spark.table(bronze)).first().asDict()
+    found = seen.frame(spark).first().asDict()
+    assert found["sentinel_rows"] == 1 and found.items() & counted.items() >= {("total_records", 62)}
+    assert all(found[k] == v for k, v in counted.items() if k in found)
     assert bronze == f"{database}.bronze_r1" and spark.table(bronze).count() == 62
-    silver = bronze_to_silver(spark, bronze, f"{database}.measurement", as_of=dt.date(2024, 1, 1))
-    assert spark.table(silver).count() == 61
+    silver = bronze_to_silver(spark, bronze, f"{database}.measurement", as_of=dt.date(2024, 1, 1), audit=mapped)
+    assert spark.table(silver).count() == 61 == mapped.frame(spark).first().total_measurements
     gold = silver_to_gold(spark, silver, database, min_count=1)
     summary = spark.table(gold["patient_summary"])
     assert summary.agg(F.sum("total_measurements")).first()[0] == 61

@@ -3,7 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from labmart.operators.audits import first_complete_rows, glob_profile, scan_access_check
+from labmart.operators.audits import (
+    access_report,
+    first_complete_rows,
+    glob_profile,
+    patient_id_profile,
+    scan_access_check,
+)
 from labmart.schemas import LAB_15, LAB_27
 from labmart.session import MIB
 from labmart.sources import (
@@ -78,6 +84,18 @@ def test_wrong_layout_fails_instead_of_shifting(spark, tmp_path):
         scan_lab(spark, str(tmp_path / "other"), "15").collect()
 
 
+def test_wrong_layout_fails_however_few_columns_are_read(spark, files):
+    good = scan_lab(spark, str(files), "15")
+    assert good.count() > 0 and access_report(spark, str(files), "15").first().accessible
+    write(files / "renamed.csv", ["patient", *LAB_15[1:], "one_more"], [*row("1"), "x"])
+    wrong = scan_lab(spark, str(files), "15")
+    for narrow in (wrong.groupBy().count(), wrong.select("patient_id"), patient_id_profile(wrong)):
+        with pytest.raises(Exception):
+            narrow.collect()
+    report = access_report(spark, str(files), "15").first()
+    assert (report.accessible, report.failed_files, report.total_rows) == (False, 1, 0)
+
+
 def test_structure_report(spark, files):
     write(files / "short.csv", LAB_15[:-1], row("1")[:-1])
     write(files / "swapped.csv", [*LAB_15[1:], LAB_15[0]], row("1"))
