@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmart.functions import person_hash64
+from labmart.functions.time import SENTINEL_YEAR
 from labmart.operators.access import Bucket
 from labmart.operators.audits import (
     LoadAudit,
@@ -121,20 +122,28 @@ def bronze_to_silver(
 ) -> str:
     """Bronze table to MEASUREMENT by year and month; returns the new table's name.
 
-    With ``concept``, both concept ids are filled from the vocabulary, in the
-    same pass. ``validate_silver`` gives the report over the written table,
+    Bronze by year and month of the sampling time already lies where it has to
+    be: only the partition of rows without that time is exchanged, as their
+    other dates decide. With ``concept``, both concept ids are filled from the
+    vocabulary, in the same pass, and all rows are placed anew. ``validate_silver`` gives the report over the written table,
     ``audit`` its totals without another scan.
     """
-    measurement = omop_measurement(spark.table(bronze), unit_map, as_of)
+    rows, keys = spark.table(bronze), ["measurement_year", "measurement_month"]
+    # Concepts may have to be joined by a shuffle, after which rows lie by code.
+    stays = concept is None and {"year", "month"} <= set(rows.columns)
+    if stays:
+        undated = (F.col("year") == SENTINEL_YEAR) & (F.col("month") == 1)
+        moved = omop_measurement(rows.where(undated), unit_map, as_of)
+        measurement = omop_measurement(rows.where(~undated), unit_map, as_of).unionByName(
+            moved.hint("rebalance", *[F.col(c) for c in keys])
+        )
+    else:
+        measurement = omop_measurement(rows, unit_map, as_of)
     if concept is not None:
         measurement = concept_backfill(measurement, concept, code_map)
     if audit is not None:
         measurement = audit.watch(measurement, measurement_metrics())
-    return write_table(
-        measurement,
-        run_name(table, run_id),
-        partition_by=["measurement_year", "measurement_month"],
-    )
+    return write_table(measurement, run_name(table, run_id), partition_by=keys, in_place=stays)
 
 
 def validate_silver(spark: SparkSession, silver: str) -> DataFrame:

@@ -60,13 +60,16 @@ def write_table(
     fmt: str = "parquet",
     partitions: int | None = None,
     options: Mapping[str, str] | None = None,
+    in_place: bool = False,
 ) -> str:
     """Write ``df`` as table ``name`` or to ``path``; returns whichever was given.
 
     ``bucket_by`` is (number, column) with rows sorted by ``sort_by`` in each
     bucket and needs a table name. ``fmt`` may name any format the session has.
+    ``in_place`` writes rows from the tasks they are in, for rows that lie by
+    partition already.
     """
-    placed = arrange(df, partition_by, cluster_by, bucket_by, partitions)
+    placed = df if in_place else arrange(df, partition_by, cluster_by, bucket_by, partitions)
     writer = placed.write.format(fmt).mode(mode)
     if fmt == "parquet":
         writer = writer.options(**PARQUET_LAYOUT)

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from labmart.mappings import SEED_CONCEPTS
 from labmart.operators.access import time_range
+from labmart.operators.audits import LoadAudit, bronze_stats
 from labmart.operators.bronze import bronze_typed
+from labmart.operators.silver import omop_measurement
 from labmart.operators.vocabulary import seed_concepts
 from labmart.plans import bronze_to_silver, csv_to_bronze, load_vocabularies, silver_to_gold
+from labmart.plans import flows
 from labmart.schemas import LAB_27
-from labmart.operators.audits import LoadAudit, bronze_stats
 from labmart.sinks import (
     PublishError,
     accepted,
@@ -186,6 +188,31 @@ def test_vocabulary_flow_rejects_duplicates(spark, database, tmp_path):
     assert row.valid_start_date == dt.date(1970, 1, 1) and row.concept_id == 1
 
 
+def test_silver_moves_undated_rows_only(spark, database, monkeypatch):
+    rows = bronze_typed(
+        raw(
+            spark,
+            *[{"patient_id": str(i), "sampling_datetime_utc": f"20{10 + i % 3}-0{1 + i % 9}-02 00:00:00"} for i in range(40)],
+            *[{"patient_id": str(i), "sampling_datetime_utc": None, "result_datetime_utc": f"2015-0{1 + i % 9}-03 00:00:00"} for i in range(20)],
+            {"sampling_datetime_utc": "1900-01-05 00:00:00"},
+        ),
+        "b",
+        partition_columns=True,
+    )
+    write_table(rows, f"{database}.bronze", partition_by=["year", "month"])
+    written = []
+    monkeypatch.setattr(flows, "write_table", lambda df, *a, **k: written.append(df) or write_table(df, *a, **k))
+    silver = spark.table(bronze_to_silver(spark, f"{database}.bronze", f"{database}.silver", as_of=dt.date(2024, 1, 1)))
+    want = omop_measurement(rows, None, dt.date(2024, 1, 1))
+    assert silver.select(want.columns).exceptAll(want).isEmpty() and silver.count() == want.count() == 61
+    # One exchange, below it the one partition of rows without a time.
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Rebalance") == 1
+    part = plan[plan.index("Rebalance"):]
+    assert "(year#" in part and "= 1900" in part
+    assert silver.where("measurement_year = 2015").count() == 20
+
+
 def test_layers_end_to_end(spark, database, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()

@@ -38,20 +38,20 @@ def row(patient, columns=LAB_15):
 @pytest.fixture
 def files(tmp_path):
     for i in range(7):
-        write(tmp_path / f"biological_results_000{i}.csv", LAB_15, row(f"{i}0"), row(f"{i}1"))
+        write(tmp_path / f"lab_000{i}.csv", LAB_15, row(f"{i}0"), row(f"{i}1"))
     return tmp_path
 
 
 def test_scan_and_globs(spark, files):
     assert scan_lab(spark, str(files), "15").count() == 14
-    some = scan_glob(spark, f"{files}/biological_results_000[0-4].csv")
+    some = scan_glob(spark, f"{files}/lab_000[0-4].csv")
     assert some.count() == 10 and some.columns == list(LAB_15)
     profile = glob_profile(
-        scan_glob(spark, f"{files}/biological_results_000[0-4].csv")
+        scan_glob(spark, f"{files}/lab_000[0-4].csv")
     ).first()
     assert profile["file_count"] == 5 and profile["rows_per_file"] == 2.0
-    assert profile["first_file"] == "biological_results_0000.csv"
-    assert profile["last_file"] == "biological_results_0004.csv"
+    assert profile["first_file"] == "lab_0000.csv"
+    assert profile["last_file"] == "lab_0004.csv"
     assert profile["sample_id"] == "41"
 
 
@@ -59,7 +59,7 @@ def test_path_filter_and_lineage(spark, files):
     kept = filter_by_path(scan_lab(spark, str(files), "15"), "%_0003.csv")
     assert sorted(r.patient_id for r in kept.collect()) == ["30", "31"]
     named = scan_lab(spark, str(files), "15", source_file=True)
-    assert named.filter("source_file = 'biological_results_0005.csv'").count() == 2
+    assert named.filter("source_file = 'lab_0005.csv'").count() == 2
 
 
 def test_blank_modes_and_quotes(spark, tmp_path):
@@ -113,7 +113,7 @@ def test_structure_report(spark, files):
     assert report["swapped.csv"]["missing_columns"] == []
     assert report["header_only.csv"]["status"] == report["bom.csv"]["status"] == "PASSED"
     assert report["zero.csv"]["status"] == "MISSING" == report["absent.csv"]["status"]
-    assert report["biological_results_0001.csv"]["status"] == "PASSED"
+    assert report["lab_0001.csv"]["status"] == "PASSED"
 
 
 def test_long_quoted_and_empty_headers(spark, tmp_path):
@@ -160,7 +160,7 @@ def test_discovery_and_volume(spark, files):
     manifest = discover_files(spark, str(files))
     assert manifest.count() == 7
     sizes = {r["name"]: r["size"] for r in manifest.collect()}
-    path = files / "biological_results_0000.csv"
+    path = files / "lab_0000.csv"
     assert sizes[path.name] == path.stat().st_size
     big = spark.createDataFrame([(f"f{i}", 100 * MIB) for i in range(9)], "name string, size bigint")
     structure = spark.createDataFrame([("PASSED",), ("FAILED",)], "status string")
