@@ -48,17 +48,23 @@ def gram_counts(text: str) -> np.ndarray:
     size = 1 << BUCKET_BITS
     counts = np.zeros(size, np.int64)
     data = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8)
+    # The bytes before a chunk that its first n-grams begin with, and the last one, which decides on a space.
+    carried, last = np.zeros(0, np.uint8), np.zeros(1, np.uint8)
     for i in range(0, len(data), CHUNK):
-        b = BYTE_MAP[data[max(0, i - max(ORDERS) + 1) : i + CHUNK]]
-        b = b[(b != 32) | np.concatenate([[True], b[:-1] != 32])].astype(np.uint32)
+        mapped = BYTE_MAP[data[i : i + CHUNK]]
+        kept = mapped[(mapped != 32) | (np.concatenate([last, mapped[:-1]]) != 32)]
+        b, old = np.concatenate([carried, kept]), len(carried)
         for n in ORDERS:
-            if len(b) >= n:
-                h = np.full(len(b) - n + 1, (n * 0x27D4EB2F) & 0xFFFFFFFF, np.uint32)
+            # Only the n-grams that end in this chunk.
+            own = b[max(0, old - n + 1) :].astype(np.uint32)
+            if len(own) >= n:
+                h = np.full(len(own) - n + 1, (n * 0x27D4EB2F) & 0xFFFFFFFF, np.uint32)
                 for k in range(n):
-                    h += b[k : len(b) - n + 1 + k] * np.uint32(_FACTORS[k])
+                    h += own[k : len(own) - n + 1 + k] * np.uint32(_FACTORS[k])
                 h ^= h >> np.uint32(15)
                 h *= np.uint32(0x2C1B3C6D)
                 counts += np.bincount(h >> np.uint32(32 - BUCKET_BITS), minlength=size)
+        carried, last = b[-(max(ORDERS) - 1) :], mapped[-1:]
     return counts
 
 

@@ -30,7 +30,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, fineness: int = 256) -> Da
 
     Columns: doc_id, size (UTF-8 bytes of the text plus 16; null: 16),
     text_crc32, law (``bytes``), shard, slot (gapless from 0 in each shard, in
-    order of doc_id, rows without an id first) and grown_shard (null).
+    order of doc_id, rows without an id last) and grown_shard (null).
 
     A group is a text hash. Groups of at least 1/``fineness`` of a shard's
     share are items of their own: there are at most ``shards * fineness`` of

@@ -31,9 +31,13 @@ def test_codewords_keep_apart():
 def test_counts_do_not_depend_on_chunks(monkeypatch):
     from labmart.llm import langid
 
-    whole = gram_counts("Été 12, à la plage... " * 40)
-    monkeypatch.setattr(langid, "CHUNK", 50)
-    assert gram_counts("Été 12, à la plage... " * 40).sum() >= whole.sum()
+    texts = ["Été 12, à la plage... " * 40, "", " ", "a", "  , " * 50, "ab" * 60]
+    whole = [gram_counts(t) for t in texts]
+    plain = " ab cd ".encode()
+    assert gram_counts("ab, cd").sum() == sum(len(plain) - n + 1 for n in langid.ORDERS)
+    for chunk in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        assert all((gram_counts(t) == w).all() for t, w in zip(texts, whole))
 
 
 def test_language_of_held_out_rows(spark):
