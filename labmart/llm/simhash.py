@@ -46,32 +46,19 @@ def shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
         yield np.fromiter((digest(text[a:b], SEED) for a, b in part), np.uint64, len(part))
 
 
-def _mixed(h: np.ndarray, word: int) -> np.ndarray:
-    """The ``word``-th 64-bit hash derived from h (word 0: h itself)."""
-    if word == 0:
-        return h
-    h = h + np.uint64((0x9E3779B97F4A7C15 * word) & 0xFFFFFFFFFFFFFFFF)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def _sign(chunks, n_words: int = 1) -> list[int]:
-    """Per 64-bit word: bit i is 1 if set in over half of all hashes; none: zero."""
-    total, counts = 0, np.zeros((n_words, 64), np.int64)
+def _sign(chunks: Iterator[np.ndarray]) -> int:
+    """Bit i is 1 if set in over half of all hashes; none: zero."""
+    total, counts = 0, np.zeros(64, np.int64)
     for h in chunks:
         total += len(h)
-        for w in range(n_words):
-            octets = np.ascontiguousarray(_mixed(h, w)).astype("<u8").view(np.uint8)
-            bits = np.unpackbits(octets.reshape(-1, 8), axis=1, bitorder="little")
-            counts[w] += np.add.reduce(bits, axis=0, dtype=np.int32)
-    packed = np.packbits(counts * 2 > total, axis=1, bitorder="little").view("<i8")
-    return [int(x) for x in packed[:, 0]]
+        octets = np.ascontiguousarray(h).astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.add.reduce(np.unpackbits(octets, axis=1, bitorder="little"), axis=0, dtype=np.int32)
+    return int(np.packbits(counts * 2 > total, bitorder="little").view("<i8")[0])
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """64-bit SimHash over all word shingles, repeats included, as a signed integer."""
-    return _sign(shingle_hashes(words_of(text), shingle))[0]
+    return _sign(shingle_hashes(words_of(text), shingle))
 
 
 @F.pandas_udf(LONGS)
@@ -79,21 +66,6 @@ def fingerprint_3(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [fingerprint(t, 3)], na_action=None)
 
 
-#: 64-bit words of the two fingerprints of ``copy_fingerprints``: of word sets, and of shingles.
-ROUTE_WORDS, DECIDE_WORDS, DECIDE_SHINGLE = 2, 4, 5
-
-
-def copy_fingerprints(text: str | None) -> list[int]:
-    """SimHashes of the distinct words and five-word shingles; ``near_copies`` needs neither."""
-    words = words_of(text)
-    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(words, 1)]))
-    shingles = np.unique(
-        np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(words, DECIDE_SHINGLE)])
-    )
-    parts = lambda a: (a[i : i + CHUNK] for i in range(0, len(a), CHUNK))
-    return _sign(parts(distinct), ROUTE_WORDS) + _sign(parts(shingles), DECIDE_WORDS)
-
-
 def _values(cuts: list[tuple[int, int, int]]) -> list:
     """Value of each segment of the fingerprint in ``words``."""
     out = []
@@ -188,13 +160,11 @@ def linked(
     array of 64-bit words. ``cuts`` are segments (first bit, bits, radius 0 or
     1); distances count the words from ``first`` on.
 
-    First the fingerprints that share a segment's value are compared. Then
-    those of radius 1 look up the other values of their ball; of two such
-    values the one with the bit unset looks up the other, which finds each pair
-    once. Values whose members are in one component already are left out, as
-    no link among them can change it. Members of a value meet in one task, or
-    in a grid of blocks if they are more than ``block``, and each task returns a
-    spanning forest, never all pairs.
+    The members of a value are the fingerprints that have it and, with radius 1,
+    those that look it up as another value of their ball; of two such values the
+    one with the bit unset looks up the other, which finds each pair once.
+    Members meet in one task, or in a grid of blocks if they are more than
+    ``block``, and each task returns a spanning forest, never all pairs.
     """
     values = _values(cuts)
     own = work.keep(
@@ -202,11 +172,6 @@ def linked(
         .select("id", "k.seg", "k.key"),
         "own",
     )
-    occurring = work.keep(own.groupBy("seg", "key").agg(F.count("*").alias("n")), "occurring")
-    shared = own.join(work.keep(occurring.where("n > 1"), "shared"), ["seg", "key"])
-    tied = work.keep(
-        connected(work.keep(_compared(shared, prints, most, first, block), "same"), work), "tied"
-    )
     balls = [
         F.array(
             *[
@@ -217,32 +182,19 @@ def linked(
         for seg, (v, (_, bits, radius)) in enumerate(zip(values, cuts)) if radius
     ]
     probes = prints.select("id", F.explode(F.concat(*balls)).alias("k")).where("k IS NOT NULL")
+    occurring = own.select("seg", "key").distinct()
     hits = work.keep(
-        probes.select("id", "k.seg", "k.key").join(occurring.select("seg", "key"), ["seg", "key"])
-        .select("id", "seg", "key"),
+        probes.select("id", "k.seg", "k.key").join(occurring, ["seg", "key"]).select("id", "seg", "key"),
         "hits",
     )
-    looked_up = work.keep(hits.select("seg", "key").distinct(), "looked_up")
-    members = own.join(looked_up, ["seg", "key"]).select("id", "seg", "key").unionByName(hits)
-    members = work.keep(
-        members.join(tied, members["id"] == tied["node"], "left").select(
-            "id", "seg", "key", F.coalesce("component", "id").alias("component")
-        ),
-        "members",
-    )
+    members = own.unionByName(hits)
     several = work.keep(
-        members.groupBy("seg", "key").agg(
-            F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low < high").select("seg", "key", "n"),
-        "several",
+        members.groupBy("seg", "key").agg(F.count("*").alias("n")).where("n > 1"), "several"
     )
-    spread = members.select("id", "seg", "key").join(several, ["seg", "key"])
+    spread = members.join(several, ["seg", "key"])
     near = work.keep(_compared(spread, prints, most, first, block), "near")
-    both = tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(near)
-    found = work.keep(connected(both, work), "components")
-    work.drop(
-        "own", "occurring", "shared", "same", "tied", "hits", "looked_up", "members", "several", "near"
-    )
+    found = work.keep(connected(near, work), "components")
+    work.drop("own", "hits", "several", "near")
     return found
 
 
@@ -284,173 +236,21 @@ def simhash_near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-#: Two texts are near copies if their sets of distinct five-word shingles have a Jaccard
-#: similarity of 4/5: nine times the common ones are at least four times both sizes' sum.
-COPY_SHINGLE = 5
-#: Bands of minima of the shingle set. A pair at 0.8 shares none with chance (1 - 0.8^5)^28 = 1.5e-5.
-BANDS, MINIMA = 28, 5
-_FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * MINIMA, np.uint64) | np.uint64(1)
-#: Members of a band's value that all others are compared with in the first round, and the
-#: growth of that number from round to round.
-CENTRES, MORE = 8, 16
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct five-word shingles."""
-    chunks = shingle_hashes(words_of(text), COPY_SHINGLE)
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *chunks]))
-
-
-def _node(shingles: np.ndarray) -> int:
-    """A signed 64-bit hash that stands for the set."""
-    return int(np.uint64(xxhash.xxh64_intdigest(shingles.astype("<u8").tobytes(), SEED)).view(np.int64))
-
-
-def band_values(shingles: np.ndarray) -> np.ndarray:
-    """One value of each band, equal if all minima of the band are; none for the empty set."""
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 512):
-        np.minimum(least, (_FACTORS[:, None] * shingles[None, i : i + 512]).min(axis=1), out=least)
-    least, value = least.reshape(BANDS, MINIMA), np.arange(1, BANDS + 1).astype(np.uint64)
-    for i in range(MINIMA):
-        value = _mixed(value ^ least[:, i], i + 1)
-    return value.view(np.int64)
-
-
-@F.pandas_udf(
-    T.StructType().add("node", T.LongType()).add("size", T.LongType()).add("values", LONGS)
-)
-def copy_sketch(texts: pd.Series) -> pd.DataFrame:
-    sets = (shingle_set(t) for t in texts)
-    rows = [(_node(s), len(s), band_values(s)) for s in sets]
-    return pd.DataFrame(rows, columns=["node", "size", "values"])
-
-
-@F.pandas_udf(T.StructType().add("node", T.LongType()).add("shingles", LONGS))
-def copy_shingles(texts: pd.Series) -> pd.DataFrame:
-    sets = (shingle_set(t) for t in texts)
-    return pd.DataFrame([(_node(s), s.view(np.int64)) for s in sets], columns=["node", "shingles"])
-
-
-def _copy_pairs(members: DataFrame, high: int) -> DataFrame:
-    """(a, b): members of rank below ``high`` with all of a later rank and another component.
-
-    The sizes of two sets at 0.8 differ by no more than a fifth of the larger.
-    """
-    centre = members.where(F.col("rank") < high).select(
-        "key", *[F.col(c).alias(f"c_{c}") for c in ("node", "size", "rank", "component")]
-    )
-    later = (F.col("rank") > F.col("c_rank")) | (
-        (F.col("rank") == F.col("c_rank")) & (F.col("node") > F.col("c_node"))
-    )
-    sizes = F.least("size", "c_size") * 5 >= F.greatest("size", "c_size") * 4
-    met = members.join(centre, "key").where(later & sizes & (F.col("component") != F.col("c_component")))
-    return met.select(
-        F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")
-    ).distinct()
-
-
-def _true_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets have a Jaccard similarity of 0.8 or more, counted exactly."""
-    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(common * 9 >= (F.size("of_a") + F.size("of_b")) * 4).select("a", "b")
-
-
-def _linked_sets(members: DataFrame, sets: DataFrame, edges: DataFrame, work: Work) -> DataFrame:
-    """(node, component): ``edges``, and all true links among the members of each key.
-
-    In a round the members whose rank is below a bound are compared with all
-    of later rank; what is left of a key is compared in the next round, unless
-    it is in one component already, as no link inside can change it. The bound
-    grows until nothing is left, so every pair of a key is either compared or
-    in one component, and a group of copies takes as many rows as it has members.
-    """
-    left, tied, high, n = members, edges, CENTRES, 0
-    while True:
-        pairs = work.keep(_copy_pairs(left, high), f"pairs_{n}")
-        links = work.keep(_true_links(pairs, sets), f"true_{n}")
-        tied = work.keep(connected(tied.unionByName(links), work), f"tied_{n}")
-        later = left.where(F.col("rank") >= high).drop("component")
-        later = work.keep(
-            later.join(tied, "node", "left")
-            .withColumn("component", F.coalesce("component", "node")),
-            f"later_{n}",
-        )
-        several = later.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("top")
-        ).where("low < top").select("key")
-        left = work.keep(later.join(several, "key"), f"left_{n}")
-        work.drop(f"pairs_{n}", f"true_{n}", f"later_{n}", *([f"left_{n - 1}"] if n else []))
-        if left.isEmpty():
-            return tied
-        tied, high, n = tied.select(F.col("node").alias("a"), F.col("component").alias("b")), high * MORE, n + 1
-
-
-def near_copies(docs: DataFrame, work: Work) -> DataFrame:
-    """(doc_id, component_id): classes of texts at a Jaccard similarity of 0.8 or more.
-
-    The similarity is that of the sets of distinct five-word shingles (a text
-    of fewer words is one shingle; wordless texts are equal), and a class is what
-    such links connect. Candidates share a band of minima of the shingle set,
-    which a pair at 0.8 fails to do once in 65,000; each link is then counted
-    exactly. Equal sets are one node, and rows of one doc_id are in one class.
-    """
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    sketches = work.keep(
-        ids.select("doc_id", copy_sketch("text").alias("s")).select("doc_id", "s.node", "s.size", "s.values"),
-        "sketches",
-    )
-    first = work.keep(sketches.groupBy("node").agg(F.min("doc_id").alias("first")), "first")
-    one = sketches.join(first, "node").where("doc_id = first").dropDuplicates(["node"])
-    own = work.keep(one.select("node", "size", F.explode("values").alias("key")), "own")
-    shared = own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rank = F.shiftrightunsigned(F.xxhash64("node"), 33) / float(1 << 31) * F.col("n")
-    members = work.keep(
-        own.join(shared, "key").select(
-            "key", "node", "size", rank.alias("rank"), F.col("node").alias("component")
-        ),
-        "members",
-    )
-    work.drop("own")
-    wanted = first.join(members.select("node").distinct(), "node").select(F.col("first").alias("doc_id"))
-    sets = work.keep(
-        ids.join(wanted.distinct(), "doc_id", "left_semi").select(copy_shingles("text").alias("s"))
-        .select("s.node", "s.shingles").dropDuplicates(["node"]),
-        "sets",
-    )
-    again = sketches.groupBy("doc_id").agg(
-        F.min("node").alias("low"), F.max("node").alias("top")
-    ).where("low < top")
-    edges = sketches.join(again, "doc_id").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    tied = _linked_sets(members, sets, edges.distinct(), work)
-    work.drop("members", "sets")
-    nodes = first.join(tied, "node", "left").select(
-        "node", "first", F.coalesce("component", "node").alias("component")
-    )
-    least = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = work.keep(nodes.join(least, "component").select("node", "component_id"), "classes")
-    return sketches.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
-
-
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class of near copies: that of the smallest id.
+def drop_near_copies(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``docs`` with one document of each class of ``simhash_near_duplicates``: that of the smallest id.
 
-    Columns stay as they are. Of rows that repeat a doc_id one stays. A row
-    without doc_id stays, as no decision can name it.
+    Columns stay as they are. Rows of one doc_id stay or go together, and if they
+    stay, one of them does: the id stays if one of its texts has no class with a
+    smaller id. A row without doc_id stays, as no decision can name it.
     """
     work = Work(docs.sparkSession, "copies")
-    known = near_copies(docs.where("doc_id IS NOT NULL"), work)
+    known = simhash_near_duplicates(docs.where("doc_id IS NOT NULL"), block)
     kept = work.keep(
         known.groupBy("doc_id").agg(
-            F.min("component_id").alias("component_id"), F.count("*").alias("times")
+            F.max("component_id").alias("component_id"), F.count("*").alias("times")
         ).where("component_id = doc_id").select("doc_id", "times"),
         "kept",
     )
-    work.drop("sketches", "first", "classes")
     times, at = free_name(docs, "times"), free_name(docs, "kept_id")
     kept = kept.select(F.col("doc_id").alias(at), F.col("times").alias(times))
     stay = docs.join(kept, docs["doc_id"].cast("bigint") == kept[at])

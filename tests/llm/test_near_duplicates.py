@@ -8,11 +8,9 @@ import xxhash
 from labmart.llm.common import Work
 from labmart.llm.components import connected
 from labmart.llm.simhash import (
-    copy_fingerprints,
     drop_near_copies,
     fingerprint,
     linked,
-    near_copies,
     simhash_near_duplicates,
 )
 
@@ -97,84 +95,28 @@ def test_components_of_chains_and_hubs(spark):
     }
 
 
+def test_components_of_many_small_groups(spark):
+    pairs = [(1000 * g + (i * 7) % 40, 1000 * g + (i * 11 + 3) % 40) for g in range(30) for i in range(40)]
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(6)
+    found = {r.node: r.component for r in connected(edges, Work(spark, "test")).collect()}
+    root = {i: i for p in pairs for i in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    tied = {i for a, b in pairs if a != b for i in (a, b)}
+    assert found == {i: r for i, r in root.items() if i in tied}
+
+
 def test_near_copies_go_and_others_stay(spark):
-    n, rows = 300, []
-    for k in range(12):
-        rows.append((10 * k, text(n, k)))
-        rows.append((10 * k + 1, text(n, k)))
-        rows.append((10 * k + 2, text(n, k, [k + 3])))
-        rows.append((10 * k + 3, text(n, k, [5, 150, 290])))
-    rows += [(900, text(n, 0)), (900, text(n, 0)), (901, "short one"), (902, "short two"), (903, None), (None, "x"), (None, "x")]
-    rows += [(910, "alone and repeated " * 9)] * 3
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' lang", "7 times", "1 kept_id")
+    rows = [(10 * k + j, text(400 + k, k, swap)) for k in range(30) for j, swap in enumerate(([], [], [k + 3], [5, 90, 290]))]
+    rows += [(901, "short one"), (902, "short two"), (903, None), (904, " "), (905, "one two " * 5000)]
+    prints = {i: plain(t) for i, t in rows}
+    want = classes(prints, 2)
+    docs = spark.createDataFrame([*rows, (903, None), (None, "x"), (None, "x")], "doc_id bigint, text string")
+    docs = docs.selectExpr("*", "'en' lang", "7 times", "1 kept_id", "'z' fingerprint", "2 component_id")
     kept = drop_near_copies(docs)
     assert kept.columns == docs.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
-    assert ids == [*(10 * k for k in range(12)), 901, 902, 903, 910, None, None]
+    assert ids == [*sorted(set(want.values())), None, None]
+    assert 30 <= len(set(want.values())) < len(rows) - 30 and 904 not in ids
     assert drop_near_copies(docs.limit(0)).count() == 0
-    assert near_copies(docs.limit(3), Work(spark, "test")).count() == 3
-    assert len(copy_fingerprints("")) == len(copy_fingerprints(text(2000))) == 6
-
-
-def shingles(t):
-    w = t.encode().lower().split()
-    return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)}
-
-
-def jaccard(a, b):
-    a, b = shingles(a), shingles(b)
-    return len(a & b) / len(a | b)
-
-
-def edited_texts(share):
-    """Pairs of texts: endings added, endings cut, one block replaced, words scattered."""
-    pairs = []
-    for k in range(40):
-        own = [f"u{k}q{i}" if i % 3 else WORDS[(i * 7 + k) % 400] for i in range(120 + 17 * k)]
-        n = len(own)
-        d = round(n * share)
-        block = round(n * share / 1.8)
-        pairs += [
-            (own, own + [f"end{k}_{i}" for i in range(d)]),
-            (own, own[: n - d]),
-            (own, own[: n // 3] + [f"blk{k}_{i}" for i in range(block)] + own[n // 3 + block :]),
-            (own, [f"sw{k}_{i}" if i % round(9 / share) == 4 else w for i, w in enumerate(own)]),
-        ]
-    return [(" ".join(f"{share}_{j}_{w}" for w in a), " ".join(f"{share}_{j}_{w}" for w in b)) for j, (a, b) in enumerate(pairs)]
-
-
-def test_near_copies_match_exact_jaccard(spark):
-    """Every pair at 0.8 or more is one class, and no pair below, whatever the kind of edit."""
-    pairs = [t for share in (0.12, 0.19, 0.235, 0.3, 0.45) for t in edited_texts(share)]
-    true = [jaccard(*t) for t in pairs]
-    assert min(sum(0.8 <= x < 0.85 for x in true), sum(0.7 <= x < 0.8 for x in true)) > 100
-    rows = [(2 * i + side, t[side]) for i, t in enumerate(pairs) for side in (0, 1)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    found = {r.doc_id: r.component_id for r in near_copies(docs, Work(spark, "test")).collect()}
-    want = {2 * i + side: 2 * i + (side and true[i] < 0.8) for i in range(len(pairs)) for side in (0, 1)}
-    assert found == want
-
-
-def test_large_group_of_near_copies_matches_brute_force(spark):
-    base = [f"g{i}" for i in range(150)]
-    texts = []
-    for k in range(160):
-        own = list(base)
-        for i in range(k % 8):
-            own[(k * 37 + i * 53) % 150] = f"x{k}_{i}"
-        texts.append(" ".join(own))
-    root = {i: i for i in range(160)}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, b in itertools.combinations(range(160), 2):
-        if jaccard(texts[a], texts[b]) >= 0.8:
-            a, b = sorted((find(a), find(b)))
-            root[b] = a
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = {r.doc_id: r.component_id for r in near_copies(docs, Work(spark, "test")).collect()}
-    assert found == {i: find(i) for i in range(160)}
-    assert len(set(found.values())) > 1
