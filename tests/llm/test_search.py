@@ -55,6 +55,34 @@ def test_altered_passages_are_found():
     assert not any(hits)
 
 
+def test_short_items_are_found_exactly(spark):
+    items = [(1, "yes"), (2, "Paris, France"), (3, "one two three"), (4, "ka kb kc kd"), (5, "yes yes")]
+    texts = [(1, "say YES now"), (2, "paris france"), (3, "paris in france"), (4, "zero one two three."), (5, "ka kb kd"), (6, "x ka kb kc kd yes yes"), (7, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = sorted((r.doc_id, r.item_id, r.start_word, r.distance) for r in benchmark_passages(docs, benchmark).collect())
+    assert found == [(1, 1, 1, 0), (2, 2, 0, 0), (4, 3, 1, 0), (6, 1, 5, 0), (6, 4, 1, 0), (6, 5, 5, 0)]
+    assert drop_contaminated(docs, benchmark).count() == len(texts)
+    assert benchmark_passages(docs, benchmark, least_words=3).count() == 2
+
+
+def test_unreached_recall_is_searched_by_common_pairs(monkeypatch):
+    items = [(i, sentence(14 + i % 3, i)) for i in range(30)]
+    monkeypatch.setattr("labmart.llm.decontaminate.ROUNDS", 0)
+    index, rng = PassageIndex(items), random.Random(4)
+    for i, text in items:
+        words = text.split()
+        for _ in range(len(words) // 5):
+            words[rng.randrange(len(words))] = "zzz"
+        assert i in [h[0] for h in index.find([sentence(30, i + 500) + " " + " ".join(words)])[0]]
+
+
+def test_passages_of_a_very_long_text():
+    items = [(i, sentence(20, i)) for i in range(12)]
+    text = " ".join(sentence(9000, 50 + k) + " " + t for k, (_, t) in enumerate(items))
+    assert [(h[0], h[3]) for h in PassageIndex(items).find([text])[0]] == [(i, 0) for i in range(12)]
+
+
 def test_hits_are_within_the_distance(spark):
     items = [(i, sentence(20, i)) for i in range(12)] + [(90, None), (91, ""), (92, "too short"), (93, sentence(20, 3))]
     texts = [(i, f"{sentence(40, 100 + i)} {sentence(20, i)} {sentence(9, i)}") for i in range(6)]
