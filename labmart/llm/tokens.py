@@ -9,13 +9,16 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Pieces, and parts of pieces, that a worker remembers: the first it meets, the frequent ones.
-MEMORY = 500_000
+#: Pieces and parts of pieces that a worker remembers, together: the first it meets, the frequent ones.
+MEMORY = 1_000_000
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 # A word of Latin letters, then marks, line feeds and words that every pattern here keeps apart.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SIMPLE = re.compile(rf" ?[{_LATIN}]+(?:[.,;:!?]+|\n(?!\n)|(?<=[.,;:!?\n])[{_LATIN}]+)*")
-_PARTS = re.compile(rf" ?[{_LATIN}]+|[.,;:!?]+|\n")
+_MARKS = r".,;:!?#$%&*+=/()\-"
+_SIMPLE = re.compile(rf" ?[{_LATIN}]+(?:[{_MARKS}]+|\n(?!\n)|(?<=[{_MARKS}\n])[{_LATIN}]+)*")
+_PARTS = re.compile(rf" ?[{_LATIN}]+|[{_MARKS}]+|\n")
+#: The usual piece after a space: a word, and marks or none.
+_MARKED = re.compile(rf"([{_LATIN}]+)([{_MARKS}]*)").fullmatch
 
 
 def _byte_letters() -> list[str]:
@@ -50,23 +53,24 @@ class Encoder:
         self.after_space: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def _word(self, word: str, space: bool) -> bytes:
+        """A word of Latin letters, with or without a space before it, by the model alone."""
+        if self.style == "word":
+            word = word.lower()
+        if not word.isascii():
+            word = "".join(map(LETTERS.__getitem__, word.encode()))
+        if space and self.style == "byte":
+            word = LETTERS[32] + word
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _part(self, part: str) -> bytes:
         """A word with or without a space before it, or marks, or a line feed."""
         known = self.parts.get(part)
         if known is not None:
             return known
         word = part[1:] if part[0] == " " else part
-        if word.isalpha():
-            if self.style == "word":
-                word = word.lower()
-            if not word.isascii():
-                word = "".join(map(LETTERS.__getitem__, word.encode()))
-            if self.style == "byte" and part[0] == " ":
-                word = LETTERS[32] + word
-            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        else:
-            ids = self._whole(part)
-        if len(self.parts) < MEMORY:
+        ids = self._word(word, word is not part) if word.isalpha() else self._whole(part)
+        if len(self.parts) + len(self.after_space) < MEMORY:
             self.parts[part] = ids
         return ids
 
@@ -79,19 +83,34 @@ class Encoder:
             return b"".join(map(self._part, _PARTS.findall(piece)))
         return self._whole(piece) if piece else b""
 
+    def _new(self, piece: str) -> bytes:
+        """A piece that is not remembered, without the space before it."""
+        marked = _MARKED(piece) if self.style is not None else None
+        if marked is None:
+            ids = self._piece(" " + piece)
+        else:
+            word, marks = marked.groups()
+            ids = self.after_space.get(word) if marks else None
+            if ids is None:
+                ids = self._word(word, True)
+                if marks and len(self.parts) + len(self.after_space) < MEMORY:
+                    self.after_space[word] = ids
+            if marks:
+                ids += self._part(marks)
+        if len(self.parts) + len(self.after_space) < MEMORY:
+            self.after_space[piece] = ids
+        return ids
+
     def _encode(self, text: str) -> bytes:
         rest = text.split(" ")
         # All white space stands alone and inside, and is a space or a line feed.
         if text.count(" ") + text.count("\n") + 1 != len(text.split()):
             rest = _SPLIT.split(text)
         first, rest = rest[0], rest[1:]
-        ids = list(map(self.after_space.get, rest))
-        if None in ids:
-            for i, known in enumerate(ids):
-                if known is None:
-                    ids[i] = self._piece(" " + rest[i])
-                    if len(self.after_space) < MEMORY:
-                        self.after_space[rest[i]] = ids[i]
+        ids, at = list(map(self.after_space.get, rest)), -1
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at + 1)
+            ids[at] = self._new(rest[at])
         return self._piece(first) + b"".join(ids)
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
