@@ -29,10 +29,12 @@ from labmart.operators.vocabulary import (
     load_vocabulary,
     vocab_validation,
 )
-from labmart.session import scratch_table, shuffle_partitions_for
+from labmart.session import MIB, scratch_table, shuffle_partitions_for, sql_settings
 from labmart.sinks import run_name, staged_publish, with_bucket_column, write_table
 from labmart.sources import detect_separator, discover_files, require_files, scan_lab, scan_vocab
 
+# Tasks and ranges whose rows, several times as large as their files, fit into memory.
+TYPED_SPLIT, RANGE_TEXT = "16m", 64 * MIB
 BRONZE_CLUSTERING = ["patient_id", "measurement_source_value"]
 
 
@@ -63,13 +65,13 @@ def csv_to_bronze(
     typed = bronze_typed(raw, batch, run_ts, keep_patients, partition_columns=True)
     if audit is not None:
         typed = audit.watch(typed, bronze_metrics() | key_metrics())
-    with scratch_table(spark, typed, "typed") as bronze:
+    with scratch_table(spark, typed, "typed") as bronze, sql_settings(spark, files__maxPartitionBytes=TYPED_SPLIT):
         return write_table(
             bronze,
             run_name(table, run_id),
             partition_by=["year", "month"],
             cluster_by=BRONZE_CLUSTERING,
-            partitions=partitions or shuffle_partitions_for(size),
+            partitions=partitions or shuffle_partitions_for(size, RANGE_TEXT),
         )
 
 

@@ -81,6 +81,24 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/labmart/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def sql_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """SQL settings (names without ``spark.sql.``, dots as ``__``) that hold within the block."""
+    names = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+#: Files that a task of a partitioned write keeps open; rows of further partitions are sorted first.
+OPEN_FILES = "64"
+
+
 @contextmanager
 def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read again; its files go when the block ends."""

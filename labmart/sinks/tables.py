@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labmart.operators.rowid import spread_and_sort
+from labmart.session import OPEN_FILES, sql_settings
 
 # Row groups of 128 MB, pages of 1 MB.
 PARQUET_LAYOUT = {"parquet.block.size": str(128 << 20), "parquet.page.size": str(1 << 20)}
@@ -81,10 +82,13 @@ def write_table(
         writer = writer.bucketBy(*bucket_by)
         if sort_by:
             writer = writer.sortBy(*sort_by)
-    if name is None:
-        writer.save(path)
-        return path
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return name
+    # Clustered rows come in the order of the partitions; all others would be sorted by them.
+    open_files = "0" if cluster_by else OPEN_FILES
+    with sql_settings(df.sparkSession, maxConcurrentOutputFileWriters=open_files):
+        if name is None:
+            writer.save(path)
+            return path
+        if path is not None:
+            writer = writer.option("path", path)
+        writer.saveAsTable(name)
+        return name

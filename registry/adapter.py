@@ -11,7 +11,7 @@ from labmart.mappings import UNIT_CONCEPTS
 from labmart.operators.bronze import bronze_typed
 from labmart.operators.silver import omop_measurement
 from labmart.schemas import LAB_27, VOCAB_FILES
-from labmart.session import new_scratch_path
+from labmart.session import OPEN_FILES, new_scratch_path, sql_settings
 from labmart.sinks import with_bucket_column, write_table
 from labmart.sources import scan_lab, scan_vocab, with_source_file
 
@@ -95,6 +95,25 @@ _WRITE_OPTIONS = {
 }
 
 
+#: Rows of a range of a clustered table, which are sorted in memory.
+RANGE_ROWS = 400_000
+
+
+def ranges(spark: SparkSession, sf_dir: str) -> int:
+    """Number of ranges for a table with a row for each line item."""
+    return max(8, -(-table(spark, sf_dir, "lineitem").count() // RANGE_ROWS))
+
+
+#: Tasks of a join hand on, or sort, this much of its exchange: some hundred MB as rows.
+_SMALL_TASKS = {"adaptive__advisoryPartitionSizeInBytes": "16m"}
+
+
+def _write_by_source(rows: DataFrame, path: str) -> None:
+    """CSV files below ``source=<order year>``, written without sorting the rows by it."""
+    with sql_settings(rows.sparkSession, maxConcurrentOutputFileWriters=OPEN_FILES):
+        rows.write.options(**_WRITE_OPTIONS).option("escape", '"').partitionBy("source").csv(path)
+
+
 def _stage_once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _staged:
@@ -108,8 +127,7 @@ def lab_csv(spark: SparkSession, sf_dir: str) -> str:
     """Folder with all laboratory results as CSV below ``source=<order year>``."""
 
     def write(path: str) -> None:
-        rows = lab_results(spark, sf_dir, source=True)
-        rows.write.options(**_WRITE_OPTIONS).option("escape", '"').partitionBy("source").csv(path)
+        _write_by_source(lab_results(spark, sf_dir, source=True), path)
 
     return _stage_once(spark, sf_dir, "lab_csv", write)
 
@@ -121,7 +139,7 @@ def lab_csv_15(spark: SparkSession, sf_dir: str) -> str:
         rows = bronze_typed(
             lab_results(spark, sf_dir, source=True), BATCH, RUN_TS, strings=True, extra=(F.col("source"),)
         ).drop("load_timestamp", "processing_batch")
-        rows.write.options(**_WRITE_OPTIONS).option("escape", '"').partitionBy("source").csv(path)
+        _write_by_source(rows, path)
 
     return _stage_once(spark, sf_dir, "lab_csv_15", write)
 
@@ -138,12 +156,14 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze written by year and month, clustered by patient and test."""
 
     def write(path: str) -> None:
-        write_table(
-            bronze(spark, sf_dir, partition_columns=True),
-            path=path,
-            partition_by=["year", "month"],
-            cluster_by=["patient_id", "measurement_source_value"],
-        )
+        with sql_settings(spark, **_SMALL_TASKS):
+            write_table(
+                bronze(spark, sf_dir, partition_columns=True),
+                path=path,
+                partition_by=["year", "month"],
+                cluster_by=["patient_id", "measurement_source_value"],
+                partitions=ranges(spark, sf_dir),
+            )
 
     return spark.read.parquet(_stage_once(spark, sf_dir, "bronze", write))
 

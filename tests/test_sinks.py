@@ -244,3 +244,27 @@ def test_layers_end_to_end(spark, database, tmp_path):
     assert analytics.agg(F.sum("total_test_count")).first()[0] == 61
     direct = bronze_typed(raw(spark, {}), "b")
     assert set(direct.columns) <= set(spark.table(bronze).columns)
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_path, monkeypatch):
+    """Rows of many partitions are written as they come; the session is as it was afterwards."""
+    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import functions as F
+
+    from registry import adapter
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(setting, "0"), []
+    for method in ("save", "csv"):
+        def noted(self, *args, _write=getattr(DataFrameWriter, method), **kwargs):
+            seen.append(spark.conf.get(setting, "0"))
+            return _write(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, method, noted)
+    rows = spark.range(2000).select("id", (F.col("id") % 80).cast("string").alias("source"))
+    write_table(rows, path=f"{tmp_path}/table", partition_by=["source"])
+    monkeypatch.setattr(adapter, "lab_results", lambda *args, **kwargs: rows)
+    text = spark.read.option("header", "true").csv(adapter.lab_csv(spark, str(tmp_path)))
+    assert seen == ["64", "64"] and spark.conf.get(setting, "0") == before
+    for found in (spark.read.parquet(f"{tmp_path}/table"), text):
+        assert found.selectExpr("int(id)", "source").distinct().count() == found.count() == 2000
