@@ -21,7 +21,7 @@ from labmart.plans import (
     validate_silver,
 )
 from labmart.schemas import LAB_15, LAB_27, VOCAB_FILES
-from labmart.session import new_scratch_path
+from labmart.session import new_scratch_path, store
 from labmart.sinks import (
     accepted,
     append_with_quarantine,
@@ -745,7 +745,9 @@ def bronze_enhanced_row_ids(spark, sf):
     texts = at.bronze(spark, sf, strings=True, keep_patients="nonblank")
     found = []
     for version, rows, hashed in ((5, typed, "patient_id_hash"), (7, texts, "person_id_hash")):
-        numbered = bronze.bronze_enhanced(rows, version)
+        # Numbered once; the measures read the columns they need from the stored rows.
+        numbered = bronze.bronze_enhanced(rows, version).select("measurement_id", "patient_id", hashed)
+        numbered = store(numbered, "numbered")
         pairs = numbered.select("patient_id", hashed).distinct()
         measures = {
             "rows": numbered.agg(F.count("*")),
@@ -1146,10 +1148,12 @@ def measurement_trends_query(spark, sf):
 def trend_stream_query(spark, sf):
     """The daily trends from a stream over the stored files, some files in each batch."""
     path = new_scratch_path(spark, "trends")
-    at.measurement(spark, sf).repartition(6).write.parquet(f"{path}/in")
+    # A third of the files in each batch, two at least; their number grows with the rows.
+    files = max(6, at.ranges(spark, sf))
+    at.measurement(spark, sf).repartition(files).write.parquet(f"{path}/in")
     # Every day stays open, as the rows come in no order.
     query = trend_stream(
-        spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", delay="20000 days", files_per_batch=2
+        spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", delay="20000 days", files_per_batch=-(-files // 3)
     )
     query.awaitTermination()
     return _rounded(current_trends(spark, f"{path}/out"), "daily_avg_value")

@@ -45,3 +45,26 @@ def test_days_change_until_they_close(spark, tmp_path):
         for c in ("daily_test_count", "daily_avg_value", "daily_min_value", "daily_max_value"):
             assert got[c] == want[c]
     assert run(spark, folder) == 0 and current_trends(spark, f"{folder}/out").count() == 4
+
+
+def test_stream_input_grows_in_files(spark, tmp_path, monkeypatch):
+    """More rows give more files, not larger ones, still read in three batches."""
+    from registry import adapter, queries
+
+    made = []
+
+    def stream(spark, path, target, checkpoint, files_per_batch, **options):
+        made.append((len(spark.read.parquet(path).inputFiles()), files_per_batch))
+        return trend_stream(spark, path, target, checkpoint, files_per_batch=files_per_batch, **options)
+
+    monkeypatch.setattr(queries, "trend_stream", stream)
+    monkeypatch.setattr(adapter, "RANGE_ROWS", 400)
+    number = "id l_orderkey, id l_partkey, id l_suppkey, int(id % 7) + 1 l_linenumber, double(id) l_quantity"
+    day = "timestamp'1995-01-01' + make_interval(0, 0, 0, int(id % 50))"
+    lines = spark.range(6000).selectExpr(*number.split(", "), "'A' l_returnflag", "'F' l_linestatus", f"{day} l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(6000).selectExpr("id o_orderkey", "id % 90 o_custkey", f"{day} o_orderdate")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = queries.QUERIES["trend_stream"](spark, str(tmp_path))
+    assert made == [(15, 5)]
+    assert found.count() == found.select("measurement_date", "measurement_source_value", "unit_source_value").distinct().count()
