@@ -26,9 +26,11 @@ class Work:
         spark.sql(f"CREATE DATABASE {self.name} LOCATION '{new_scratch_path(spark, label)}'")
         _databases.append((spark, self.name))
 
-    def keep(self, df: DataFrame, table: str, compression: str = "snappy") -> DataFrame:
+    def keep(
+        self, df: DataFrame, table: str, compression: str = "snappy", bucket_by: tuple[int, str] | None = None
+    ) -> DataFrame:
         writer = df.write.format("parquet").mode("overwrite").option("compression", compression)
-        writer.saveAsTable(f"{self.name}.{table}")
+        (writer.bucketBy(*bucket_by) if bucket_by else writer).saveAsTable(f"{self.name}.{table}")
         return self.spark.table(f"{self.name}.{table}")
 
     def drop(self, *tables: str) -> None:

@@ -1,16 +1,15 @@
 """A hierarchical Pitman-Yor language model over the words of a corpus.
 
-A word is drawn in the restaurant of its context: the last two bytes of the
-word before it. These restaurants share the parents of the last byte, which
-share one restaurant over all words, whose base is even over the known words
-but for the unknown word. Texts of unseen words so have a proper probability,
-in which all unseen words are one.
+A word is drawn in the restaurant of its context, the word before it. All these
+restaurants share one parent over all words, whose base is even over the known
+words but for the unknown word. Texts of unseen words so have a proper
+probability, in which all unseen words are one.
 
 Seats are sampled by Gibbs sweeps: all customers of a word leave and are seated
 again, given all other words. Words are spread over buckets by hash, so a
-sweep is one pass over stored buckets and only the tables per context are
-gathered, at most 65,536 + 256 + 1 numbers. Predictions are averaged over the
-sweeps.
+sweep is one pass over stored buckets; what the words of a context share, its
+customers and tables, is summed by the hash of the context and returned to the
+buckets that need it. Predictions are averaged over the sweeps.
 """
 
 from __future__ import annotations
@@ -29,20 +28,20 @@ from labmart.llm.common import Work, fold, read, words_of
 
 #: The token after the last word; no word holds a line feed.
 END = b"\n"
-#: Tokens of which a task holds the numbers at a time (a longer text is held whole).
-CHUNK_TOKENS = 1 << 21
+#: Tokens of which a task holds the numbers at a time (a longer text is held whole), with at
+#: most a quarter as many distinct words.
+CHUNK_TOKENS = 1 << 20
 #: Gibbs sweeps whose predictions are averaged; the first seating is the burn-in.
 SWEEPS = 3
 STRENGTH = 1.0
-#: Contexts: two bytes, whose remainder by ``ENDINGS`` is the parent's.
-CONTEXTS, ENDINGS = 1 << 16, 1 << 8
-#: Kinds of sums that tasks send: scalars, customers and tables by context, tables by ending.
-SCALARS, CUSTOMERS, TABLES, ENDING_TABLES = range(4)
-SUMS = "kind int, key bigint, n bigint"
-# Keys of the scalars: tokens, types, those seen once, tables of the root, and for
-# cells of the three levels how many have one and two customers.
-ALL, TYPES, SINGLE, ROOT_TABLES = range(4)
-ONCE, TWICE = (10, 11, 12), (20, 21, 22)
+#: The context of a text's first word.
+START = 0
+# Keys of the scalars: tokens, types, those seen once, customers and tables of the root,
+# and for cells of the two levels how many have one and two customers.
+ALL, TYPES, SINGLE, ROOT_CUSTOMERS, ROOT_TABLES = range(5)
+ONCE, TWICE = (10, 11), (20, 21)
+#: A bucket's sums of a sweep: those of its contexts, packed by part, and scalars.
+SEATS = "bucket int, part int, data binary, key int, n bigint"
 
 
 def pack(*values) -> bytes:
@@ -59,7 +58,7 @@ def unpack(data: bytes) -> tuple:
 
 def _planes(x: np.ndarray) -> np.ndarray:
     """Bytes of the numbers, all lowest ones first, which compress better."""
-    return x.view(np.uint8).reshape(len(x), -1).T.copy()
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.copy()
 
 
 def _unplanes(x: np.ndarray, kind) -> np.ndarray:
@@ -96,15 +95,18 @@ def _chunks(buckets: int, chunk_tokens: int):
     def flush(part: int, number: int, numbers: dict, docs: list) -> Iterator[pd.DataFrame]:
         chunk, words = (part << 32) | number, list(numbers)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-        last = np.array([int.from_bytes(w[-2:], "big") for w in words], np.int64)
-        flat = np.concatenate([x for _, _, x in docs])
+        flat = np.concatenate([x for _, _, x in docs]).astype(np.int64)
         ends = np.cumsum([len(x) for _, _, x in docs])
-        before = np.concatenate([[0], last[flat[:-1]]])
+        # Contexts are numbered after the words, from 1; 0 is the start.
+        before = np.concatenate([[0], flat[:-1] + 1])
         before[ends[:-1]] = 0
-        cells, cell = np.unique(flat * CONTEXTS + before, return_inverse=True)
+        kinds = len(words) + 1
+        contexts = np.concatenate([np.array([START], np.uint64), hashes])
+        cells, cell = np.unique(flat * kinds + before, return_inverse=True)
+        del flat, before
         train = np.repeat([not held for _, held, _ in docs], [len(x) for _, _, x in docs])
         n = np.bincount(cell[train], minlength=len(cells))
-        bucket = (hashes[cells // CONTEXTS] % np.uint64(buckets)).astype(np.int64)
+        bucket = (hashes[cells // kinds] % np.uint64(buckets)).astype(np.int64)
         # Numbers by falling frequency have many zero bytes.
         frequent = np.argsort(-np.bincount(cell), kind="stable")
         rank = np.empty(len(cells), np.uint32)
@@ -121,10 +123,11 @@ def _chunks(buckets: int, chunk_tokens: int):
         for k in range(buckets):
             own = order[cuts[k] : cuts[k + 1]]
             if len(own):
-                used, word = np.unique(cells[own] // CONTEXTS, return_inverse=True)
+                used, word = np.unique(cells[own] // kinds, return_inverse=True)
+                met, place = np.unique(cells[own] % kinds, return_inverse=True)
                 data = pack(
-                    hashes[used], np.diff(word, prepend=0).astype(np.uint8),
-                    _planes((cells[own] % CONTEXTS).astype(np.uint16)), n[own].astype(np.uint32),
+                    hashes[used], np.diff(word, prepend=0).astype(np.uint8), contexts[met],
+                    _planes(place.astype(np.uint32)), n[own].astype(np.uint32),
                 )
                 yield pd.DataFrame([(chunk, k, None, None, data)], columns=columns)
 
@@ -136,9 +139,9 @@ def _chunks(buckets: int, chunk_tokens: int):
                 words = words_of(text)
                 words.append(END)
                 ids = [numbers.setdefault(w, len(numbers)) for w in words]
-                docs.append((doc_id, bool(held), np.array(ids, np.int64)))
+                docs.append((doc_id, bool(held), np.array(ids, np.uint32)))
                 size += len(ids)
-                if size >= chunk_tokens:
+                if size >= chunk_tokens or len(numbers) >= max(1, chunk_tokens // 4):
                     yield from flush(part, number, numbers, docs)
                     numbers, docs, size, number = {}, [], 0, number + 1
         if docs:
@@ -148,67 +151,91 @@ def _chunks(buckets: int, chunk_tokens: int):
 
 
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """All chunks' counts of one bucket's words: hashes, and the cells of words and contexts."""
+    """All chunks' counts of one bucket's words: hashes of words and contexts, and the learnt cells.
+
+    Contexts in which a word is only asked for are among the contexts.
+    """
     parts = [unpack(x) for x in rows["data"]]
-    hashes = np.concatenate([p[0] for p in parts])
+    kinds, words = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    contexts, places = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
     offset = np.cumsum([0, *(len(p[0]) for p in parts)])
-    kinds, same = np.unique(hashes, return_inverse=True)
-    word = np.concatenate([same[np.cumsum(p[1], dtype=np.int64) + o] for p, o in zip(parts, offset)])
-    context = np.concatenate([_unplanes(p[2], np.uint16) for p in parts]).astype(np.int64)
-    n = np.concatenate([p[3] for p in parts])
+    shift = np.cumsum([0, *(len(p[2]) for p in parts)])
+    word = np.concatenate([words[np.cumsum(p[1], dtype=np.int64) + o] for p, o in zip(parts, offset)])
+    context = np.concatenate([places[_unplanes(p[3], np.uint32) + o] for p, o in zip(parts, shift)])
+    n = np.concatenate([p[4] for p in parts])
     learnt = n > 0
-    cells, at = np.unique(word[learnt] * CONTEXTS + context[learnt], return_inverse=True)
+    cells, at = np.unique(word[learnt] * len(contexts) + context[learnt], return_inverse=True)
     total = np.bincount(at, n[learnt], len(cells)).astype(np.int64)
-    used, word = np.unique(cells // CONTEXTS, return_inverse=True)
-    data = pack(kinds[used], word.astype(np.uint32), (cells % CONTEXTS).astype(np.uint16), total.astype(np.uint64))
+    used, word = np.unique(cells // len(contexts), return_inverse=True)
+    data = pack(
+        kinds[used], contexts, word.astype(np.uint32), _planes((cells % len(contexts)).astype(np.uint32)),
+        total.astype(np.uint64),
+    )
     return pd.DataFrame({"bucket": [key[0]], "data": [data]})
 
 
 def _cells(data: bytes) -> tuple[np.ndarray, ...]:
-    """Hashes of a bucket's words, and word, context and customers of each cell."""
-    hashes, *cells = unpack(data)
-    return hashes, *(x.astype(np.int64) for x in cells)
-
-
-def _sums(kind: int, keys, n) -> pd.DataFrame:
-    keys, n = np.asarray(keys, np.int64), np.asarray(n, np.int64)
-    return pd.DataFrame({"kind": kind, "key": keys[n > 0], "n": n[n > 0]})
-
-
-def _by_ending(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cells of words and endings: word, ending, and the place of each finer cell's parent."""
-    cells, at = np.unique(word * ENDINGS + context % ENDINGS, return_inverse=True)
-    return cells // ENDINGS, cells % ENDINGS, at
-
-
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sums of the first seating, one table for each cell."""
-    for batch in batches:
-        for data in batch["data"]:
-            hashes, word, context, n = _cells(data)
-            w1, ending, at = _by_ending(word, context)
-            levels = n, np.bincount(at, minlength=len(w1)), np.bincount(w1, minlength=len(hashes))
-            yield _sums(CUSTOMERS, range(CONTEXTS), np.bincount(context, n, CONTEXTS))
-            yield _sums(TABLES, range(CONTEXTS), np.bincount(context, minlength=CONTEXTS))
-            yield _sums(ENDING_TABLES, range(ENDINGS), np.bincount(ending, minlength=ENDINGS))
-            single = (np.bincount(word, n, len(hashes)) == 1).sum()
-            yield _sums(
-                SCALARS, [ALL, TYPES, SINGLE, ROOT_TABLES, *ONCE, *TWICE],
-                [n.sum(), len(hashes), single, len(hashes), *((x == 1).sum() for x in levels),
-                 *((x == 2).sum() for x in levels)],
-            )
-
-
-def _gathered(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Dense sums by kind; the driver gets at most some 132,000 rows."""
-    table = rows.groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas()
-    size = {SCALARS: 32, ENDING_TABLES: ENDINGS}
-    out = {}
-    for kind in (SCALARS, CUSTOMERS, TABLES, ENDING_TABLES):
-        own = table[table["kind"] == kind]
-        out[kind] = np.zeros(size.get(kind, CONTEXTS))
-        out[kind][own["key"].to_numpy(np.int64)] = own["n"].to_numpy(np.float64)
-    return out
+    """Hashes of a bucket's words and contexts, and word, context and customers of each cell."""
+    hashes, contexts, word, context, n = unpack(data)
+    return hashes, contexts, word.astype(np.int64), _unplanes(context, np.uint32).astype(np.int64), n.astype(np.int64)
+
+
+def _by_part(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of contexts by part, and where each part begins and ends."""
+    part = (contexts % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(buckets + 1))
+
+
+def _seats(buckets: int, bucket: int, contexts, customers, tables, scalars: dict) -> pd.DataFrame:
+    """Rows of ``SEATS``: customers and tables by context, sent to the context's part."""
+    order, cuts = _by_part(contexts, buckets)
+    rows = []
+    for k in np.flatnonzero(np.diff(cuts)):
+        own = order[cuts[k] : cuts[k + 1]]
+        data = pack(contexts[own], customers[own].astype(np.uint64), tables[own].astype(np.uint64))
+        rows.append((bucket, int(k), data, None, None))
+    rows += [(bucket, None, None, key, int(n)) for key, n in scalars.items()]
+    frame = pd.DataFrame(rows, columns=["bucket", "part", "data", "key", "n"])
+    return frame.astype({"part": "Int32", "key": "Int32", "n": "Int64"})
+
+
+def _count(buckets: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The sums of the first seating, one table for each cell."""
+        for batch in batches:
+            for bucket, data in zip(batch["bucket"], batch["data"]):
+                hashes, contexts, word, context, n = _cells(data)
+                levels = n, np.bincount(word, minlength=len(hashes))
+                scalars = {
+                    ALL: n.sum(), TYPES: len(hashes), SINGLE: (np.bincount(word, n, len(hashes)) == 1).sum(),
+                    ROOT_CUSTOMERS: len(n), ROOT_TABLES: len(hashes),
+                    **{key: (x == 1).sum() for key, x in zip(ONCE, levels)},
+                    **{key: (x == 2).sum() for key, x in zip(TWICE, levels)},
+                }
+                customers = np.bincount(context, n, len(contexts))
+                tables = np.bincount(context, minlength=len(contexts))
+                yield _seats(buckets, bucket, contexts, customers, tables, scalars)
+
+    return run
+
+
+def _total(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a part's contexts over all buckets, returned to each bucket in its own order."""
+    parts = [unpack(x) for x in rows["data"]]
+    kinds, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    customers, tables = (
+        np.bincount(at, np.concatenate([p[i] for p in parts]), len(kinds)).astype(np.uint64) for i in (1, 2)
+    )
+    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+    data = [pack(customers[x], tables[x]) for x in np.split(at, cuts)]
+    return pd.DataFrame({"bucket": rows["bucket"], "part": key[0], "data": data})
+
+
+def _scalars(seats: DataFrame) -> dict[int, int]:
+    """The sums over all buckets, some ten numbers."""
+    rows = seats.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    return {r["key"]: r["n"] for r in rows}
 
 
 class Level:
@@ -219,54 +246,48 @@ class Level:
 
 
 class Totals:
-    """What all words share: sizes, discounts and the restaurants' totals after a sweep."""
-
-    def __init__(self, first: dict[int, np.ndarray], now: dict[int, np.ndarray]):
-        scalars = first[SCALARS]
-        self.n, self.types = int(scalars[ALL]), int(scalars[TYPES])
-        d = [discount(scalars[a], scalars[b]) for a, b in zip(ONCE, TWICE)]
-        by_ending = now[TABLES].reshape(-1, ENDINGS).sum(axis=0)
-        self.levels = [
-            Level(first[CUSTOMERS], now[TABLES], d[0]),
-            Level(by_ending, now[ENDING_TABLES], d[1]),
-            Level(now[ENDING_TABLES].sum(), now[SCALARS][ROOT_TABLES], d[2]),
-        ]
+    """What all words share: sizes, discounts and the root's totals after a sweep."""
+
+    def __init__(self, first: dict[int, int], now: dict[int, int]):
+        self.n, self.types = first.get(ALL, 0), first.get(TYPES, 0)
+        self.d = [discount(first.get(a, 0), first.get(b, 0)) for a, b in zip(ONCE, TWICE)]
+        self.root = Level(now.get(ROOT_CUSTOMERS, 0), now.get(ROOT_TABLES, 0), self.d[1])
         # Good-Turing: as likely as tokens of words seen once, over all contexts.
-        unseen = scalars[SINGLE] / (np.prod(d) * self.types) if self.types else 1.0
+        unseen = first[SINGLE] / (np.prod(self.d) * self.types) if self.types else 1.0
         self.unknown = min(0.9, max(1 / (self.types + 1), unseen))
         self.known = (1 - self.unknown) / max(1, self.types)
 
-
-def _seated(kinds: int, word, context, n, totals: Totals, rng):
-    """Seats of all words of a bucket.
-
-    Returns tables and parents of the cells, the cells by ending with their
-    tables and chances, and the tables and chances of the words.
-    """
-    fine, ends, root = totals.levels
-    w1, ending, at = _by_ending(word, context)
-    tables, t1 = np.ones(len(n)), np.ones(len(w1))
+    def fine(self, contexts: np.ndarray, rows: pd.DataFrame, buckets: int) -> Level:
+        """The restaurants of a bucket's contexts, from the packed totals of all parts."""
+        order, _ = _by_part(contexts, buckets)
+        parts = [unpack(x) for x in rows.sort_values("part")["data"]]
+        customers, tables = np.zeros(len(contexts)), np.zeros(len(contexts))
+        customers[order] = np.concatenate([p[0] for p in parts])
+        tables[order] = np.concatenate([p[1] for p in parts])
+        return Level(customers, tables, self.d[0])
+
+
+def _seated(kinds: int, word, context, n, totals: Totals, fine: Level, rng):
+    """Tables of all cells of a bucket, customers and tables of its words at the root."""
+    root = totals.root
+    tables, t0 = np.ones(len(n)), np.ones(kinds)
+    n0 = np.bincount(word, minlength=kinds)
     for _ in range(2):
-        n1 = np.bincount(at, tables, len(w1))
-        n0 = np.bincount(w1, t1, kinds)
-        t0 = seat(n0, root.new * totals.known, root.d, rng)
         p0 = (n0 - root.d * t0 + root.new * totals.known) / root.all
-        t1 = seat(n1, ends.new[ending] * p0[w1], ends.d, rng)
-        p1 = (n1 - ends.d * t1 + ends.new[ending] * p0[w1]) / ends.all[ending]
-        tables = seat(n, fine.new[context] * p1[at], fine.d, rng)
-    return tables, (w1, ending, t1, p1), (t0, p0)
+        tables = seat(n, fine.new[context] * p0[word], fine.d, rng)
+        n0 = np.bincount(word, tables, kinds)
+        t0 = seat(n0, np.float64(root.new * totals.known), root.d, rng)
+    return tables, n0, t0
 
 
-def _sweep(totals: Totals, sweep: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for bucket, data in zip(batch["bucket"], batch["data"]):
-                hashes, word, context, n = _cells(data)
-                rng = np.random.default_rng([sweep, bucket])
-                tables, (_, ending, t1, _), (t0, _) = _seated(len(hashes), word, context, n, totals, rng)
-                yield _sums(TABLES, range(CONTEXTS), np.bincount(context, tables, CONTEXTS))
-                yield _sums(ENDING_TABLES, range(ENDINGS), np.bincount(ending, t1, ENDINGS))
-                yield _sums(SCALARS, [ROOT_TABLES], [t0.sum()])
+def _sweep(totals: Totals, sweep: int, buckets: int):
+    def run(key: tuple, model: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        hashes, contexts, word, context, n = _cells(model["data"].iloc[0])
+        fine, rng = totals.fine(contexts, rows, buckets), np.random.default_rng([sweep, int(key[0])])
+        tables, _, t0 = _seated(len(hashes), word, context, n, totals, fine, rng)
+        scalars = {ROOT_CUSTOMERS: tables.sum(), ROOT_TABLES: t0.sum()}
+        customers, by_context = (np.bincount(context, x, len(contexts)) for x in (n, tables))
+        return _seats(buckets, int(key[0]), contexts, customers, by_context, scalars)
 
     return run
 
@@ -283,38 +304,41 @@ def _values(values: np.ndarray, at: np.ndarray, there: np.ndarray, otherwise) ->
     return np.where(there, values[at], otherwise) if len(values) else np.full(len(at), otherwise)
 
 
-def _answer(sweeps: list[Totals]):
-    """For the cells of each chunk: the word's count and the averaged log10 chance."""
+def _answer(sweeps: list[Totals], buckets: int):
+    """For the cells of each chunk: the word's count and the averaged log10 chance.
 
-    def run(key: tuple, asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        none = np.zeros(0, np.int64)
-        hashes, word, context, n = (
-            _cells(model["data"].iloc[0]) if len(model) else (none.astype(np.uint64), none, none, none)
-        )
+    A bucket's rows are what chunks ask (sweep -2), its model (-1) and the totals after each sweep.
+    A sweep's seats are those it had: the same numbers are drawn again.
+    """
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        hashes, contexts, word, context, n = _cells(rows["data"][rows["sweep"] == -1].iloc[0])
         count = np.bincount(word, n, len(hashes))
-        cells = word * CONTEXTS + context
-        seatings = [
-            _seated(len(hashes), word, context, n, t, np.random.default_rng([s, int(key[0])]))
-            for s, t in enumerate(sweeps, 1)
-        ]
+        cells = word * len(contexts) + context
+        fines = [t.fine(contexts, rows[rows["sweep"] == s], buckets) for s, t in enumerate(sweeps)]
+        seatings = []
+        for s in range(1, len(sweeps)):
+            rng = np.random.default_rng([s, int(key[0])])
+            tables, n0, t0 = _seated(len(hashes), word, context, n, sweeps[s - 1], fines[s - 1], rng)
+            root, known = sweeps[s].root, sweeps[s].known
+            p0 = (n0 - root.d * t0 + root.new * known) / root.all
+            seatings.append((sweeps[s], fines[s], n - fines[s].d * tables, p0))
         out = []
-        for chunk, data in zip(asked["chunk"], asked["data"]):
-            own, w, k, _ = unpack(data)
-            w, k = np.cumsum(w, dtype=np.int64), _unplanes(k, np.uint16).astype(np.int64)
+        asked = rows[rows["sweep"] == -2]
+        for chunk, data in zip(asked["part"], asked["data"]):
+            own, w, met, place, _ = unpack(data)
+            w = np.cumsum(w, dtype=np.int64)
             at, known = (x[w] for x in _look_up(hashes, own))
-            cell, met = _look_up(cells, at * CONTEXTS + k)
-            met &= known
+            k = np.searchsorted(contexts, met)[_unplanes(place, np.uint32)]
+            cell, there = _look_up(cells, at * len(contexts) + k)
+            there &= known
             mean = np.zeros(len(w))
-            for totals, (tables, (w1, ending, t1, p1), (_, p0)) in zip(sweeps, seatings):
-                fine, ends, root = totals.levels
+            for totals, fine, held, p0 in seatings:
+                root = totals.root
                 top = _values(p0, at, known, root.new * totals.unknown / root.all)
-                mid_at, mid_met = _look_up(w1 * ENDINGS + ending, at * ENDINGS + k % ENDINGS)
-                fresh = ends.new[k % ENDINGS] * top / ends.all[k % ENDINGS]
-                mid = np.where(mid_met & known, _values(p1, mid_at, mid_met, 0.0), fresh)
-                held = _values(n - fine.d * tables, cell, met, 0.0)
-                mean += (held + fine.new[k] * mid) / fine.all[k]
+                mean += (_values(held, cell, there, 0.0) + fine.new[k] * top) / fine.all[k]
             c = _values(count, at, known, 0.0).astype(np.int64)
-            chance = _planes(np.log10(mean / len(sweeps)).astype(np.float32))
+            chance = _planes(np.log10(mean / len(seatings)).astype(np.float32))
             out.append((chunk, key[0], pack(_planes(c.astype(np.uint64)), chance)))
         return pd.DataFrame(out, columns=["chunk", "bucket", "data"])
 
@@ -357,8 +381,9 @@ def score_language_model(
     count as often as they occur; an empty table gives no rows.
 
     Texts are read once, into chunks of word numbers; chunks and buckets of
-    words exchange packed tables. There are as many buckets as
-    ``spark.sql.shuffle.partitions``. Words are told apart by 64-bit hashes.
+    words exchange packed tables, and so do buckets and contexts in each sweep.
+    There are as many buckets as ``spark.sql.shuffle.partitions``. Words are
+    told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
     work = Work(spark, "hpylm")
@@ -372,15 +397,29 @@ def score_language_model(
     asked = passed.where("bucket IS NOT NULL").select("chunk", "bucket", "data")
     texts = passed.where("bucket IS NULL").select("chunk", "doc_id", "held_out", "data")
     model = work.keep(
-        asked.groupBy("bucket").applyInPandas(_merge, "bucket int, data binary"), "model"
-    )
-    first = _gathered(model.select("data").mapInPandas(_count, SUMS))
-    states = [Totals(first, first)]
-    for sweep in range(sweeps):
-        states.append(Totals(first, _gathered(model.mapInPandas(_sweep(states[-1], sweep), SUMS))))
-    answers = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInPandas(
-        _answer(states[1:]), "chunk bigint, bucket int, data binary"
+        asked.groupBy("bucket").applyInPandas(_merge, "bucket int, data binary"), "model", bucket_by=(buckets, "bucket")
     )
+
+    def totals(seats: DataFrame, sweep: int) -> DataFrame:
+        sums = seats.where("part IS NOT NULL").groupBy("part").applyInPandas(_total, "bucket int, part int, data binary")
+        kept = work.keep(sums, f"totals{sweep}")
+        work.drop(f"seats{sweep}")
+        return kept
+
+    seats = work.keep(model.mapInPandas(_count(buckets), SEATS), "seats0")
+    first = _scalars(seats)
+    states, sums = [Totals(first, first)], [totals(seats, 0)]
+    for sweep in range(1, sweeps + 1):
+        moved = model.groupBy("bucket").cogroup(sums[-1].groupBy("bucket")).applyInPandas(
+            _sweep(states[-1], sweep, buckets), SEATS
+        )
+        seats = work.keep(moved, f"seats{sweep}")
+        states.append(Totals(first, _scalars(seats)))
+        sums.append(totals(seats, sweep))
+    rows = asked.select("bucket", F.lit(-2).alias("sweep"), F.col("chunk").alias("part"), "data")
+    for sweep, frame in enumerate([model.withColumn("part", F.lit(0)), *sums], -1):
+        rows = rows.unionByName(frame.select("bucket", F.lit(sweep).alias("sweep"), F.col("part").cast("bigint"), "data"))
+    answers = rows.groupBy("bucket").applyInPandas(_answer(states, buckets), "chunk bigint, bucket int, data binary")
     scored = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _score(states[0].n, states[0].types),
         "doc_id string, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

@@ -144,3 +144,15 @@ def test_chances_of_all_words_sum_to_one(spark):
     total = sum(10 ** found[i] for i, _ in probe)
     empty = [10 ** s for i, s in found.items() if i not in dict(rows) and i not in dict(probe)][0]
     assert 0 < total + empty <= 1.0001
+
+
+def test_whole_word_before_is_the_context(spark):
+    """Words that end alike are contexts of their own: what follows one is not likelier after the other."""
+    pairs = [("bulmato", "sun"), ("kirvato", "moon"), ("dorgato", "star")]
+    rows = [(i, f"{a} {b}") for i, (a, b) in enumerate(pairs * 60)]
+    ids = [i for i in range(10_000, 20_000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    asked = [(next(iter(ids[k : k + 1])), f"{a} {b}") for k, (a, b) in enumerate((x, y) for x, _ in pairs for _, y in pairs)]
+    found = {r.doc_id: r.score for r in score_language_model(spark.createDataFrame(rows + asked, "doc_id bigint, text string")).collect()}
+    texts = {t: found[i] for i, t in asked}
+    for a, b in pairs:
+        assert all(texts[f"{a} {b}"] > texts[f"{a} {other}"] + 1 for _, other in pairs if other != b)
