@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -151,9 +152,9 @@ def _chunks(buckets: int, chunk_tokens: int):
 
 
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """All chunks' counts of one bucket's words: hashes of words and contexts, and the learnt cells.
+    """All chunks' cells of one bucket's words with their counts, and where each chunk's are among them.
 
-    Contexts in which a word is only asked for are among the contexts.
+    Cells, words and contexts that are only asked for are there too, without customers.
     """
     parts = [unpack(x) for x in rows["data"]]
     kinds, words = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -162,22 +163,26 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     shift = np.cumsum([0, *(len(p[2]) for p in parts)])
     word = np.concatenate([words[np.cumsum(p[1], dtype=np.int64) + o] for p, o in zip(parts, offset)])
     context = np.concatenate([places[_unplanes(p[3], np.uint32) + o] for p, o in zip(parts, shift)])
-    n = np.concatenate([p[4] for p in parts])
-    learnt = n > 0
-    cells, at = np.unique(word[learnt] * len(contexts) + context[learnt], return_inverse=True)
-    total = np.bincount(at, n[learnt], len(cells)).astype(np.int64)
-    used, word = np.unique(cells // len(contexts), return_inverse=True)
+    cells, at = np.unique(word * len(contexts) + context, return_inverse=True)
+    n = np.bincount(at, np.concatenate([p[4] for p in parts]), len(cells))
     data = pack(
-        kinds[used], contexts, word.astype(np.uint32), _planes((cells % len(contexts)).astype(np.uint32)),
-        total.astype(np.uint64),
+        len(kinds), contexts, np.diff(cells // len(contexts), prepend=0).astype(np.uint8),
+        _planes((cells % len(contexts)).astype(np.uint32)), n.astype(np.uint64),
+    )
+    pieces = np.split(at.astype(np.uint32), np.cumsum([len(p[4]) for p in parts])[:-1])
+    return pd.DataFrame(
+        {
+            "bucket": key[0],
+            "chunk": pd.array([None, *rows["chunk"]], "Int64"),
+            "data": [data, *(pack(_planes(np.diff(x, prepend=np.uint32(0)))) for x in pieces)],
+        }
     )
-    return pd.DataFrame({"bucket": [key[0]], "data": [data]})
 
 
-def _cells(data: bytes) -> tuple[np.ndarray, ...]:
-    """Hashes of a bucket's words and contexts, and word, context and customers of each cell."""
-    hashes, contexts, word, context, n = unpack(data)
-    return hashes, contexts, word.astype(np.int64), _unplanes(context, np.uint32).astype(np.int64), n.astype(np.int64)
+def _cells(data: bytes) -> tuple:
+    """A bucket's number of words, hashes of its contexts, and word, context and customers of each cell."""
+    kinds, contexts, word, context, n = unpack(data)
+    return kinds, contexts, np.cumsum(word, dtype=np.int64), _unplanes(context, np.uint32).astype(np.int64), n.astype(np.int64)
 
 
 def _by_part(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,16 +210,18 @@ def _count(buckets: int):
         """The sums of the first seating, one table for each cell."""
         for batch in batches:
             for bucket, data in zip(batch["bucket"], batch["data"]):
-                hashes, contexts, word, context, n = _cells(data)
-                levels = n, np.bincount(word, minlength=len(hashes))
+                kinds, contexts, word, context, n = _cells(data)
+                learnt, count = n > 0, np.bincount(word, n, kinds)
+                types = (count > 0).sum()
+                levels = n, np.bincount(word[learnt], minlength=kinds)
                 scalars = {
-                    ALL: n.sum(), TYPES: len(hashes), SINGLE: (np.bincount(word, n, len(hashes)) == 1).sum(),
-                    ROOT_CUSTOMERS: len(n), ROOT_TABLES: len(hashes),
+                    ALL: n.sum(), TYPES: types, SINGLE: (count == 1).sum(),
+                    ROOT_CUSTOMERS: learnt.sum(), ROOT_TABLES: types,
                     **{key: (x == 1).sum() for key, x in zip(ONCE, levels)},
                     **{key: (x == 2).sum() for key, x in zip(TWICE, levels)},
                 }
                 customers = np.bincount(context, n, len(contexts))
-                tables = np.bincount(context, minlength=len(contexts))
+                tables = np.bincount(context[learnt], minlength=len(contexts))
                 yield _seats(buckets, bucket, contexts, customers, tables, scalars)
 
     return run
@@ -268,10 +275,11 @@ class Totals:
 
 
 def _seated(kinds: int, word, context, n, totals: Totals, fine: Level, rng):
-    """Tables of all cells of a bucket, customers and tables of its words at the root."""
+    """Tables of all cells of a bucket (none without customers), customers and tables of its words at the root."""
     root = totals.root
-    tables, t0 = np.ones(len(n)), np.ones(kinds)
-    n0 = np.bincount(word, minlength=kinds)
+    tables = np.minimum(n, 1).astype(np.float64)
+    n0 = np.bincount(word, tables, kinds)
+    t0 = np.minimum(n0, 1)
     for _ in range(2):
         p0 = (n0 - root.d * t0 + root.new * totals.known) / root.all
         tables = seat(n, fine.new[context] * p0[word], fine.d, rng)
@@ -282,9 +290,9 @@ def _seated(kinds: int, word, context, n, totals: Totals, fine: Level, rng):
 
 def _sweep(totals: Totals, sweep: int, buckets: int):
     def run(key: tuple, model: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        hashes, contexts, word, context, n = _cells(model["data"].iloc[0])
+        kinds, contexts, word, context, n = _cells(model["data"].iloc[0])
         fine, rng = totals.fine(contexts, rows, buckets), np.random.default_rng([sweep, int(key[0])])
-        tables, _, t0 = _seated(len(hashes), word, context, n, totals, fine, rng)
+        tables, _, t0 = _seated(kinds, word, context, n, totals, fine, rng)
         scalars = {ROOT_CUSTOMERS: tables.sum(), ROOT_TABLES: t0.sum()}
         customers, by_context = (np.bincount(context, x, len(contexts)) for x in (n, tables))
         return _seats(buckets, int(key[0]), contexts, customers, by_context, scalars)
@@ -292,54 +300,30 @@ def _sweep(totals: Totals, sweep: int, buckets: int):
     return run
 
 
-def _look_up(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the keys in an ascending table, and whether they are there."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
-
-
-def _values(values: np.ndarray, at: np.ndarray, there: np.ndarray, otherwise) -> np.ndarray:
-    return np.where(there, values[at], otherwise) if len(values) else np.full(len(at), otherwise)
-
-
 def _answer(sweeps: list[Totals], buckets: int):
     """For the cells of each chunk: the word's count and the averaged log10 chance.
 
-    A bucket's rows are what chunks ask (sweep -2), its model (-1) and the totals after each sweep.
     A sweep's seats are those it had: the same numbers are drawn again.
     """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        hashes, contexts, word, context, n = _cells(rows["data"][rows["sweep"] == -1].iloc[0])
-        count = np.bincount(word, n, len(hashes))
-        cells = word * len(contexts) + context
+    def run(key: tuple, model: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        asked = model["chunk"].notna()
+        kinds, contexts, word, context, n = _cells(model["data"][~asked].iloc[0])
+        count = np.bincount(word, n, kinds).astype(np.uint64)
         fines = [t.fine(contexts, rows[rows["sweep"] == s], buckets) for s, t in enumerate(sweeps)]
-        seatings = []
+        mean = np.zeros(len(n))
         for s in range(1, len(sweeps)):
             rng = np.random.default_rng([s, int(key[0])])
-            tables, n0, t0 = _seated(len(hashes), word, context, n, sweeps[s - 1], fines[s - 1], rng)
-            root, known = sweeps[s].root, sweeps[s].known
-            p0 = (n0 - root.d * t0 + root.new * known) / root.all
-            seatings.append((sweeps[s], fines[s], n - fines[s].d * tables, p0))
+            tables, n0, t0 = _seated(kinds, word, context, n, sweeps[s - 1], fines[s - 1], rng)
+            root, fine = sweeps[s].root, fines[s]
+            base = np.where(count > 0, sweeps[s].known, sweeps[s].unknown)
+            p0 = (n0 - root.d * t0 + root.new * base) / root.all
+            mean += (n - fine.d * tables + fine.new[context] * p0[word]) / fine.all[context]
+        chance = np.log10(mean / (len(sweeps) - 1)).astype(np.float32)
         out = []
-        asked = rows[rows["sweep"] == -2]
-        for chunk, data in zip(asked["part"], asked["data"]):
-            own, w, met, place, _ = unpack(data)
-            w = np.cumsum(w, dtype=np.int64)
-            at, known = (x[w] for x in _look_up(hashes, own))
-            k = np.searchsorted(contexts, met)[_unplanes(place, np.uint32)]
-            cell, there = _look_up(cells, at * len(contexts) + k)
-            there &= known
-            mean = np.zeros(len(w))
-            for totals, fine, held, p0 in seatings:
-                root = totals.root
-                top = _values(p0, at, known, root.new * totals.unknown / root.all)
-                mean += (_values(held, cell, there, 0.0) + fine.new[k] * top) / fine.all[k]
-            c = _values(count, at, known, 0.0).astype(np.int64)
-            chance = _planes(np.log10(mean / len(seatings)).astype(np.float32))
-            out.append((chunk, key[0], pack(_planes(c.astype(np.uint64)), chance)))
+        for chunk, data in zip(model["chunk"][asked], model["data"][asked]):
+            at = np.cumsum(_unplanes(unpack(data)[0], np.uint32), dtype=np.uint32)
+            out.append((int(chunk), key[0], pack(_planes(count[word[at]]), _planes(chance[at]))))
         return pd.DataFrame(out, columns=["chunk", "bucket", "data"])
 
     return run
@@ -396,10 +380,12 @@ def score_language_model(
     passed = work.keep(rows.mapInPandas(_chunks(buckets, chunk_tokens), schema), "passed")
     asked = passed.where("bucket IS NOT NULL").select("chunk", "bucket", "data")
     texts = passed.where("bucket IS NULL").select("chunk", "doc_id", "held_out", "data")
-    model = work.keep(
-        asked.groupBy("bucket").applyInPandas(_merge, "bucket int, data binary"), "model", bucket_by=(buckets, "bucket")
+    cells = work.keep(
+        asked.groupBy("bucket").applyInPandas(_merge, "bucket int, chunk bigint, data binary"), "cells", bucket_by=(buckets, "bucket")
     )
 
+    model = cells.where("chunk IS NULL")
+
     def totals(seats: DataFrame, sweep: int) -> DataFrame:
         sums = seats.where("part IS NOT NULL").groupBy("part").applyInPandas(_total, "bucket int, part int, data binary")
         kept = work.keep(sums, f"totals{sweep}")
@@ -416,10 +402,10 @@ def score_language_model(
         seats = work.keep(moved, f"seats{sweep}")
         states.append(Totals(first, _scalars(seats)))
         sums.append(totals(seats, sweep))
-    rows = asked.select("bucket", F.lit(-2).alias("sweep"), F.col("chunk").alias("part"), "data")
-    for sweep, frame in enumerate([model.withColumn("part", F.lit(0)), *sums], -1):
-        rows = rows.unionByName(frame.select("bucket", F.lit(sweep).alias("sweep"), F.col("part").cast("bigint"), "data"))
-    answers = rows.groupBy("bucket").applyInPandas(_answer(states, buckets), "chunk bigint, bucket int, data binary")
+    rows = reduce(DataFrame.unionByName, [x.withColumn("sweep", F.lit(s)) for s, x in enumerate(sums)])
+    answers = cells.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInPandas(
+        _answer(states, buckets), "chunk bigint, bucket int, data binary"
+    )
     scored = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _score(states[0].n, states[0].types),
         "doc_id string, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
