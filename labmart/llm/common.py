@@ -38,6 +38,29 @@ class Work:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}.{table}")
 
 
+#: Rows of a task are located by stretches of 2**10 and the place in the stretch.
+STRETCH_BITS = 10
+STRETCH, AT = "__stretch", "__at"
+
+
+def in_place(df: DataFrame, work: Work, table: str) -> DataFrame:
+    """``df`` stored from the tasks it is in, with the locator (``STRETCH``, ``AT``) of each row.
+
+    The rows are bucketed by stretch, so that what is found for the rows of a stretch
+    meets them in a join on ``STRETCH`` that leaves wide rows where they are.
+    """
+    spark, locator = df.sparkSession, F.monotonically_increasing_id()
+    buckets = min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")),
+    )
+    located = df.withColumns({
+        STRETCH: F.shiftright(locator, STRETCH_BITS),
+        AT: locator.bitwiseAND(F.lit((1 << STRETCH_BITS) - 1)).cast("int"),
+    })
+    return work.keep(located, table, "zstd", (buckets, STRETCH))
+
+
 def release() -> None:
     """Remove all work tables; call it when no result is read any more."""
     while _databases:

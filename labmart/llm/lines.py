@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labmart.llm.common import Work, free_name, read
+from labmart.llm.common import AT, STRETCH, STRETCH_BITS, Work, free_name, in_place, read
 
 #: The white space of a line's ends: \x20 and \x09 to \x0D.
 BLANK = b" \t\n\x0b\x0c\r"
@@ -219,28 +219,31 @@ def line_keeps(
     empty table gives no rows. Keys are told apart by 128-bit hashes.
     """
     work = Work(docs.sparkSession, "lines")
-    row = free_name(docs, "row")
     others = [c for c in docs.columns if c.lower() not in {"n_lines", "n_dropped", "keep"}]
-    stored = work.keep(
-        docs.select(*others, F.monotonically_increasing_id().alias(row)), "stored", "zstd"
-    )
+    stored = in_place(docs.select(*others), work, "stored")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.shiftleft(STRETCH, STRETCH_BITS).bitwiseOR(F.col(AT)).alias("row")
     bytes_of = F.col("text").cast("binary").alias("text")
-    hashed = stored.select(F.col(row).alias("row"), bytes_of).mapInArrow(_hashes(least_chars), LINES)
+    hashed = stored.select(row, bytes_of).mapInArrow(_hashes(least_chars), LINES)
     # Stored, as finding the ranges reads the lines twice.
     lines = work.keep(hashed, "hashes")
     of, gone = free_name(stored, "of"), free_name(stored, "dropped")
+    at = F.col("row").bitwiseAND(F.lit((1 << STRETCH_BITS) - 1)).cast("int")
     drops = (
         dropped_lines(lines, work, least_docs, keep_first)
-        .groupBy(F.col("row").alias(of)).agg(F.collect_list("position").alias(gone))
+        .groupBy("row").agg(F.collect_list("position").alias(gone))
+        .groupBy(F.shiftright("row", STRETCH_BITS).alias(of))
+        .agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), gone))).alias(gone))
     )
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    dropped = F.coalesce(F.col(gone), F.array().cast("array<int>"))
-    return stored.join(drops, F.col(row) == F.col(of), "left").select(
+    own = F.try_element_at(F.col(gone), F.col(AT))
+    dropped = F.coalesce(own, F.array().cast("array<int>"))
+    met = stored.join(drops.hint("shuffle_hash"), F.col(STRETCH) == F.col(of), "left")
+    return met.select(
         *others,
         n_lines.alias("n_lines"),
         F.size(dropped).alias("n_dropped"),
-        F.when(F.col(gone).isNotNull(), _packed(n_lines, dropped)).alias("keep"),
+        F.when(own.isNotNull(), _packed(n_lines, dropped)).alias("keep"),
     )
 
 

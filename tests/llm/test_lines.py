@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,23 @@ def test_query_digest(spark, tmp_path):
     _, kept = plain(texts, 1, 10)
     for r in op11_lines(spark, str(tmp_path)).collect():
         assert r.kept_sha256 == hashlib.sha256("\n".join(kept[r.doc_id]).encode()).hexdigest()
+
+
+def test_texts_stay_where_they_are(spark, capsys):
+    """With no side small enough for a broadcast, no exchange carries the text."""
+    texts = [f"hot\n{i} own\n\nhot" for i in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        found = line_keeps(df.repartition(3))
+        found.explain("formatted")
+        moved = re.findall(r"\) Exchange *\nInput \[\d+\]: (.*)", capsys.readouterr().out)
+        rows = found.select("doc_id", "n_lines", "n_dropped").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert moved and not any("text#" in columns for columns in moved)
+    assert sorted(map(tuple, rows)) == [(i, 4, 2) for i in range(3000)]
