@@ -127,7 +127,12 @@ def store(df: DataFrame, label: str, bucket_by: tuple[int, str] | None = None) -
         _stores[app] = (spark, name)
     table = f"{_stores[app][1]}.{label}_{uuid.uuid4().hex[:12]}"
     writer = df.write.format("parquet")
-    (writer.bucketBy(*bucket_by) if bucket_by else writer).saveAsTable(table)
+    if bucket_by:
+        # Rows of few buckets a task; they would be sorted by bucket, and spilled where a task is large.
+        with sql_settings(spark, maxConcurrentOutputFileWriters=OPEN_FILES):
+            writer.bucketBy(*bucket_by).saveAsTable(table)
+    else:
+        writer.saveAsTable(table)
     return spark.table(table)
 
 

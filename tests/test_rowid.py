@@ -74,3 +74,20 @@ def test_copies_spread_over_partitions(spark, tmp_path):
     assert len(sizes) == 9 and max(sizes) < 2500
     hot = placed.filter("p = 'same'").select(F.spark_partition_id().alias("i")).distinct()
     assert hot.count() >= 3
+
+
+def test_wide_rows_are_stored_without_a_sort(spark, tmp_path, monkeypatch):
+    """The write by buckets keeps files open, as a sort by bucket would spill a large task's rows."""
+    from pyspark.sql import DataFrameWriter
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen, write = spark.conf.get(setting, "0"), {}, DataFrameWriter.saveAsTable
+
+    def noted(self, name, *args, **kwargs):
+        seen[name.split(".")[1].split("_")[0]] = spark.conf.get(setting, "0")
+        return write(self, name, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", noted)
+    numbered = global_row_id(stored(spark, tmp_path), KEYS, "row_id", partitions=5)
+    assert seen == {"located": "64", "order": before} and spark.conf.get(setting, "0") == before
+    assert numbered.select("row_id").distinct().count() == numbered.count() == 9000
