@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labmart.llm.common import Work, free_name, read, words_of
+from labmart.llm.common import AT, STRETCH, Work, free_name, in_place, read, words_of
 from labmart.llm.components import connected
 
 SEED = 42
@@ -244,19 +244,21 @@ def drop_near_copies(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     smaller id. A row without doc_id stays, as no decision can name it.
     """
     work = Work(docs.sparkSession, "copies")
-    known = simhash_near_duplicates(docs.where("doc_id IS NOT NULL"), block)
-    kept = work.keep(
-        known.groupBy("doc_id").agg(
-            F.max("component_id").alias("component_id"), F.count("*").alias("times")
-        ).where("component_id = doc_id").select("doc_id", "times"),
-        "kept",
+    stored = in_place(docs, work, "stored")
+    doc_id, of, rows = F.col("doc_id").cast("bigint"), free_name(stored, "of"), free_name(stored, "rows")
+    known = simhash_near_duplicates(stored.where("doc_id IS NOT NULL"), block)
+    kept = known.groupBy("doc_id").agg(F.max("component_id").alias("component_id")).where("component_id = doc_id")
+    # Only ids and locators are exchanged, one row for each id; the texts stay.
+    first = stored.where("doc_id IS NOT NULL").groupBy(doc_id.alias("doc_id")).agg(
+        F.min(F.struct(STRETCH, AT)).alias("first")
     )
-    times, at = free_name(docs, "times"), free_name(docs, "kept_id")
-    kept = kept.select(F.col("doc_id").alias(at), F.col("times").alias(times))
-    stay = docs.join(kept, docs["doc_id"].cast("bigint") == kept[at])
-    once = stay.where(F.col(times) == 1).select(*[docs[c] for c in docs.columns])
-    again = stay.where(F.col(times) > 1).dropDuplicates([at]).select(*[docs[c] for c in docs.columns])
-    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL"))
+    stay = (
+        first.join(kept, "doc_id", "left_semi")
+        .groupBy(F.col(f"first.{STRETCH}").alias(of)).agg(F.collect_list(f"first.{AT}").alias(rows))
+    )
+    met = stored.join(stay.hint("shuffle_hash"), F.col(STRETCH) == F.col(of), "left")
+    stays = F.coalesce(F.array_contains(rows, F.col(AT)), F.lit(False)) | F.col("doc_id").isNull()
+    return met.where(stays).select(*[stored[c] for c in docs.columns])
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Fingerprints, links and classes against brute force."""
 
 import itertools
+import re
 
 import pytest
 import xxhash
@@ -120,3 +121,27 @@ def test_near_copies_go_and_others_stay(spark):
     assert ids == [*sorted(set(want.values())), None, None]
     assert 30 <= len(set(want.values())) < len(rows) - 30 and 904 not in ids
     assert drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_texts_stay_where_they_are(spark, capsys):
+    """With no side small enough for a broadcast, no exchange carries the text."""
+    rows = [(i, text(30, i % 50)) for i in range(2500)] + [(7, text(30, 7))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    prints = {}
+    for i, t in sorted(rows):
+        prints.setdefault(t, i)
+    want = classes({i: plain(t) for t, i in prints.items()}, 2)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        kept = drop_near_copies(docs)
+        kept.explain("formatted")
+        moved = re.findall(r"\) Exchange *\nInput \[\d+\]: (.*)", capsys.readouterr().out)
+        found = sorted(r.doc_id for r in kept.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert moved and not any("text#" in columns for columns in moved)
+    assert found == sorted(set(want.values()))
