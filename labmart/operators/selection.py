@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labmart.session import store
+from labmart.session import sql_settings, store
 
 #: Bits of one step; a step's running counts have at most 2**16 rows.
 DIGIT = 16
@@ -22,6 +22,8 @@ DIGIT = 16
 LISTED = 1 << DIGIT
 #: Tasks among which the rows of a large group are dealt before a join.
 SALTS = 256
+#: Input of a task that tallies: the groups and items of its rows fit into memory.
+TALLY_SPLIT = "16m"
 
 TAG, ITEM, VALUE, PLACE, N = "__tag", "__item", "__value", "__place", "__n"
 _ALL, _BEFORE, _UPTO, _CELL, _WITHIN, _SALT = "__all", "__before", "__upto", "__cell", "__within", "__salt"
@@ -57,7 +59,8 @@ def tally(df: DataFrame, keys: list[str], value: Column | None, items: list[Colu
     Tag 0 holds the numeric values with their ordered integers, tag i one row
     for each distinct one of the i-th of ``items``. The exchange is on group
     and item, so a group with most of the rows still spreads. Nulls are left
-    out.
+    out. Files are read in splits of ``TALLY_SPLIT``: a task's items are mostly
+    distinct, so what it holds grows with the rows it reads.
     """
     kinds = ([] if value is None else [value.cast("double").alias(VALUE)]) + [
         item.alias(f"{ITEM}{i}") for i, item in enumerate(items, 1)
@@ -78,7 +81,8 @@ def tally(df: DataFrame, keys: list[str], value: Column | None, items: list[Colu
         *keys, TAG, *([VALUE] if VALUE in names else [F.lit(None).cast("double").alias(VALUE)]), N
     )
     place = F.when(F.col(TAG) == 0, ordered_integer(F.col(VALUE)))
-    return store(counted.withColumn(PLACE, place), "tally")
+    with sql_settings(df.sparkSession, files__maxPartitionBytes=TALLY_SPLIT):
+        return store(counted.withColumn(PLACE, place), "tally")
 
 
 def distinct_items(tallied: DataFrame, keys: list[str], names: list[str]) -> DataFrame:

@@ -29,9 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lab_results(spark: SparkSession, sf_dir: str, source: bool = False) -> DataFrame:
-    """All line items with their orders, as the 27 text columns of a laboratory export."""
+    """All line items with their orders, as the 27 text columns of a laboratory export.
+
+    A partition's orders are held as a hash table; the line items pass by it
+    unsorted, as their sort would spill.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").hint("shuffle_hash")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     part20 = F.col("l_partkey") % 20
     categorical = F.col("l_partkey") % 10 == 4
