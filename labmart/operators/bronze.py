@@ -100,11 +100,37 @@ def bronze_enhanced(
 
     Version 5 expects typed bronze, version 7 text bronze whose times look like
     ``yyyy-MM-dd HH:mm:ss``. Pass ``row_id=None`` to skip the numbering, which
-    is the only part that shuffles.
+    is the only part that shuffles; it numbers the bronze rows, from which the
+    other columns are derived afterwards.
     """
+    if row_id is None:
+        return enhance(enhanced_rows(bronze, version), version, salt)
+    rows = enhance(numbered_rows(bronze, version, row_id), version, salt)
+    return rows.select(*[c for c in rows.columns if c != row_id], row_id)
+
+
+def enhanced_rows(bronze: DataFrame, version: int) -> DataFrame:
+    """Bronze rows that the enhanced table keeps."""
+    if version not in (5, 7):
+        raise ValueError("version must be 5 or 7")
+    return bronze.filter(F.col("patient_id").isNotNull()) if version == 7 else bronze
+
+
+def numbered_rows(bronze: DataFrame, version: int, row_id: str = "measurement_id") -> DataFrame:
+    """Rows that the enhanced table keeps, numbered by time, patient and visit."""
+    return global_row_id(enhanced_rows(bronze, version), ["sampling_datetime_utc", "patient_id", "visit_id"], row_id)
+
+
+def sampling_parsed() -> Column:
+    """Sampling time of a text bronze row."""
+    return F.try_to_timestamp("sampling_datetime_utc", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+
+
+def enhance(rows: DataFrame, version: int, salt: str | None = None) -> DataFrame:
+    """The derived columns of the enhanced table; each depends on its own row only."""
     if version == 5:
         sampling = F.col("sampling_datetime_utc")
-        enhanced = bronze.withColumns(
+        return rows.withColumns(
             {
                 "patient_id_hash": person_hash64("patient_id", salt),
                 "person_id_hash": pseudonym("patient_id", salt),
@@ -120,26 +146,18 @@ def bronze_enhanced(
                 "gdpr_original_hash": audit_hash("patient_id", "visit_id", salt),
             }
         )
-    elif version == 7:
-        parsed = F.try_to_timestamp("sampling_datetime_utc", F.lit("yyyy-MM-dd HH:mm:ss")).cast(
-            "timestamp_ntz"
-        )
-        enhanced = bronze.filter(F.col("patient_id").isNotNull()).withColumns(
-            {
-                "person_id_hash": person_hash64("patient_id", salt),
-                "person_id_anonymized": pseudonym("patient_id", salt),
-                "sampling_datetime_parsed": parsed,
-                "measurement_year": F.year(parsed),
-                "measurement_date": parsed.cast("date"),
-                "value_as_number_parsed": tolerant("value_as_number", "double"),
-                "value_source_value": value_source_value("value_as_string", "value_as_number"),
-                "data_quality_score": quality_score(
-                    "value_as_number", "unit_source_value", "value_as_string", trimmed=True
-                ),
-            }
-        )
-    else:
-        raise ValueError("version must be 5 or 7")
-    if row_id is None:
-        return enhanced
-    return global_row_id(enhanced, ["sampling_datetime_utc", "patient_id", "visit_id"], row_id)
+    parsed = sampling_parsed()
+    return rows.withColumns(
+        {
+            "person_id_hash": person_hash64("patient_id", salt),
+            "person_id_anonymized": pseudonym("patient_id", salt),
+            "sampling_datetime_parsed": parsed,
+            "measurement_year": F.year(parsed),
+            "measurement_date": parsed.cast("date"),
+            "value_as_number_parsed": tolerant("value_as_number", "double"),
+            "value_source_value": value_source_value("value_as_string", "value_as_number"),
+            "data_quality_score": quality_score(
+                "value_as_number", "unit_source_value", "value_as_string", trimmed=True
+            ),
+        }
+    )

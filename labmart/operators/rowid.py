@@ -56,12 +56,13 @@ def global_row_id(
         {
             _STRETCH: F.shiftright(locator, STRETCH_BITS),
             _ROW: locator.bitwiseAND(F.lit((1 << STRETCH_BITS) - 1)).cast("int"),
+            # Stored, as finding the ranges and moving the keys would each read and hash whole rows.
+            _TIE: F.xxhash64(*[F.col(c) for c in df.columns]),
         }
     )
     # A task's rows share few stretches, so it writes few files, not one for each bucket.
     wide = store(located, "located", (buckets, _STRETCH))
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    narrow = wide.select(*keys, tie.alias(_TIE), _STRETCH, _ROW)
+    narrow = wide.select(*keys, _TIE, _STRETCH, _ROW)
     order = [F.col(k).asc_nulls_last() for k in keys] + [F.col(c) for c in (_TIE, _STRETCH, _ROW)]
     ranged = narrow.repartitionByRange(partitions, *order) if partitions else narrow.repartitionByRange(*order)
     stored = store(ranged.sortWithinPartitions(*order).select(_STRETCH, _ROW), "order")
@@ -75,7 +76,7 @@ def global_row_id(
         chunk_no.alias("__chunk"),
         F.col("_metadata.row_index").alias("__index"),
     )
-    # One row per written file: the only global window runs over that list.
+    # One row per written file: the only global window runs over that list, which goes to all tasks.
     sizes = indexed.groupBy("__file", "__chunk").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__file", "__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -86,9 +87,9 @@ def global_row_id(
     number = (F.col("__before") + F.col("__index") + 1).alias("__number")
     pairs = F.array_sort(F.collect_list(F.struct(_ROW, "__number")))
     numbers = (
-        indexed.join(offsets, ["__file", "__chunk"]).select(_STRETCH, _ROW, number)
+        indexed.join(F.broadcast(offsets), ["__file", "__chunk"]).select(_STRETCH, _ROW, number)
         .groupBy(_STRETCH).agg(F.transform(pairs, lambda x: x["__number"]).alias("__numbers"))
     )
-    return wide.join(numbers.hint("shuffle_hash"), _STRETCH).select(
+    return wide.drop(_TIE).join(numbers.hint("shuffle_hash"), _STRETCH).select(
         *[F.col(c) for c in df.columns], F.get("__numbers", F.col(_ROW)).alias(out)
     )

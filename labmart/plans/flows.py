@@ -16,7 +16,7 @@ from labmart.operators.audits import (
     measurement_metrics,
     omop_validation,
 )
-from labmart.operators.bronze import bronze_enhanced, bronze_typed
+from labmart.operators.bronze import bronze_typed, enhance, numbered_rows, sampling_parsed
 from labmart.operators.concepts import concept_backfill
 from labmart.operators.gold import laboratory_analytics, measurement_trends, patient_summary
 from labmart.operators.silver import omop_measurement
@@ -31,6 +31,7 @@ from labmart.operators.vocabulary import (
 )
 from labmart.session import MIB, scratch_table, shuffle_partitions_for, sql_settings
 from labmart.sinks import run_name, staged_publish, with_bucket_column, write_table
+from labmart.sinks.tables import arrange
 from labmart.sources import detect_separator, discover_files, require_files, scan_lab, scan_vocab
 
 # Tasks and ranges whose rows, several times as large as their files, fit into memory.
@@ -91,19 +92,23 @@ def bronze_to_enhanced(
     """Bronze rows with hashes, scores and row ids, by bucket of the patient's hash and year.
 
     ``bronze`` is text for version 7, typed for version 5. The rows are moved
-    once, by the write. ``enhanced_bucket`` reads the table back by patient.
+    once, before hashes and scores are derived from them. ``enhanced_bucket``
+    reads the table back by patient.
     """
-    hashed = "person_id_hash" if version == 7 else "patient_id_hash"
-    rows = bronze_enhanced(bronze, version, salt)
-    if version == 5:
-        rows = rows.withColumn("measurement_year", F.year("measurement_date"))
+    keys = ["patient_bucket", "measurement_year"]
+    sampling = sampling_parsed() if version == 7 else F.col("sampling_datetime_utc").cast("date")
+    rows = with_bucket_column(
+        numbered_rows(bronze, version).withColumn("__patient", person_hash64("patient_id", salt)),
+        "__patient", ENHANCED_BUCKETS, "patient_bucket",
+    ).drop("__patient")
+    placed = arrange(rows.withColumn("measurement_year", F.year(sampling)), keys)
+    # Derived once more: the partition columns come last, and the row id before them.
+    enhanced = enhance(placed, version, salt)
+    last = ["measurement_id", *(["measurement_year"] if version == 5 else []), "patient_bucket"]
+    enhanced = enhanced.select(*[c for c in enhanced.columns if c not in last], *last)
     if audit is not None:
-        rows = audit.watch(rows, enhanced_metrics())
-    return write_table(
-        with_bucket_column(rows, hashed, ENHANCED_BUCKETS, "patient_bucket"),
-        run_name(table, run_id),
-        partition_by=["patient_bucket", "measurement_year"],
-    )
+        enhanced = audit.watch(enhanced, enhanced_metrics())
+    return write_table(enhanced, run_name(table, run_id), partition_by=keys, in_place=True)
 
 
 def enhanced_bucket(salt: str | None = None) -> Bucket:
