@@ -90,47 +90,20 @@ def seat(n: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator) ->
     return tables
 
 
-def _chunks(buckets: int, chunk_tokens: int):
-    columns = ["chunk", "bucket", "doc_id", "held_out", "data"]
-
-    def flush(part: int, number: int, numbers: dict, docs: list) -> Iterator[pd.DataFrame]:
-        chunk, words = (part << 32) | number, list(numbers)
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-        flat = np.concatenate([x for _, _, x in docs]).astype(np.int64)
-        ends = np.cumsum([len(x) for _, _, x in docs])
-        # Contexts are numbered after the words, from 1; 0 is the start.
-        before = np.concatenate([[0], flat[:-1] + 1])
-        before[ends[:-1]] = 0
-        kinds = len(words) + 1
-        contexts = np.concatenate([np.array([START], np.uint64), hashes])
-        cells, cell = np.unique(flat * kinds + before, return_inverse=True)
-        del flat, before
-        train = np.repeat([not held for _, held, _ in docs], [len(x) for _, _, x in docs])
-        n = np.bincount(cell[train], minlength=len(cells))
-        bucket = (hashes[cells // kinds] % np.uint64(buckets)).astype(np.int64)
+def _chunks(chunk_tokens: int):
+    def packed(part: int, number: int, numbers: dict, docs: list) -> pd.DataFrame:
+        """One row: ids, folds and lengths of the chunk's texts, all their word numbers, hashes of the words."""
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in numbers], np.uint64)
+        words = np.concatenate([x for _, _, x in docs])
         # Numbers by falling frequency have many zero bytes.
-        frequent = np.argsort(-np.bincount(cell), kind="stable")
-        rank = np.empty(len(cells), np.uint32)
-        rank[frequent] = np.arange(len(cells), dtype=np.uint32)
-        cell = rank[cell]
-        out = [
-            (chunk, None, doc_id, held, pack(_planes(cell[e - len(x) : e])))
-            for (doc_id, held, x), e in zip(docs, ends)
-        ]
-        out.append((chunk, None, None, None, pack(rank, bucket.astype(np.uint32))))
-        yield pd.DataFrame(out, columns=columns)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for k in range(buckets):
-            own = order[cuts[k] : cuts[k + 1]]
-            if len(own):
-                used, word = np.unique(cells[own] // kinds, return_inverse=True)
-                met, place = np.unique(cells[own] % kinds, return_inverse=True)
-                data = pack(
-                    hashes[used], np.diff(word, prepend=0).astype(np.uint8), contexts[met],
-                    _planes(place.astype(np.uint32)), n[own].astype(np.uint32),
-                )
-                yield pd.DataFrame([(chunk, k, None, None, data)], columns=columns)
+        frequent = np.argsort(-np.bincount(words), kind="stable")
+        rank = np.empty(len(hashes), np.uint32)
+        rank[frequent] = np.arange(len(hashes), dtype=np.uint32)
+        data = pack(
+            [i for i, _, _ in docs], np.array([held for _, held, _ in docs]), np.array([len(x) for _, _, x in docs]),
+            _planes(rank[words]), hashes[frequent],
+        )
+        return pd.DataFrame([((part << 32) | number, data)], columns=["chunk", "data"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number = TaskContext.get().partitionId(), 0
@@ -143,10 +116,49 @@ def _chunks(buckets: int, chunk_tokens: int):
                 docs.append((doc_id, bool(held), np.array(ids, np.uint32)))
                 size += len(ids)
                 if size >= chunk_tokens or len(numbers) >= max(1, chunk_tokens // 4):
-                    yield from flush(part, number, numbers, docs)
+                    yield packed(part, number, numbers, docs)
                     numbers, docs, size, number = {}, [], 0, number + 1
         if docs:
-            yield from flush(part, number, numbers, docs)
+            yield packed(part, number, numbers, docs)
+
+    return run
+
+
+class Chunk:
+    """A chunk's distinct cells in ascending order, the cell of each token, and the cells of each bucket."""
+
+    def __init__(self, data: bytes, buckets: int):
+        self.ids, self.held, self.lengths, words, self.hashes = unpack(data)
+        flat = _unplanes(words, np.uint32).astype(np.int64)
+        # Contexts are numbered after the words, from 1; 0 is the start.
+        before = np.concatenate([[0], flat[:-1] + 1])
+        before[np.cumsum(self.lengths)[:-1]] = 0
+        self.kinds = len(self.hashes) + 1
+        self.cells, self.cell = np.unique(flat * self.kinds + before, return_inverse=True)
+        bucket = (self.hashes[self.cells // self.kinds] % np.uint64(buckets)).astype(np.int64)
+        self.order = np.argsort(bucket, kind="stable")
+        self.cuts = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+
+
+def _asked(buckets: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each chunk's cells by bucket, with how often they occur in training."""
+        for batch in batches:
+            for chunk, data in zip(batch["chunk"], batch["data"]):
+                c = Chunk(data, buckets)
+                contexts = np.concatenate([np.array([START], np.uint64), c.hashes])
+                n = np.bincount(c.cell[np.repeat(~c.held, c.lengths)], minlength=len(c.cells))
+                out = []
+                for k in np.flatnonzero(np.diff(c.cuts)):
+                    own = c.order[c.cuts[k] : c.cuts[k + 1]]
+                    used, word = np.unique(c.cells[own] // c.kinds, return_inverse=True)
+                    met, place = np.unique(c.cells[own] % c.kinds, return_inverse=True)
+                    data = pack(
+                        c.hashes[used], np.diff(word, prepend=0).astype(np.uint8), contexts[met],
+                        _planes(place.astype(np.uint32)), _planes(n[own].astype(np.uint32)),
+                    )
+                    out.append((chunk, int(k), data))
+                yield pd.DataFrame(out, columns=["chunk", "bucket", "data"])
 
     return run
 
@@ -164,12 +176,12 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     word = np.concatenate([words[np.cumsum(p[1], dtype=np.int64) + o] for p, o in zip(parts, offset)])
     context = np.concatenate([places[_unplanes(p[3], np.uint32) + o] for p, o in zip(parts, shift)])
     cells, at = np.unique(word * len(contexts) + context, return_inverse=True)
-    n = np.bincount(at, np.concatenate([p[4] for p in parts]), len(cells))
+    n = np.bincount(at, np.concatenate([_unplanes(p[4], np.uint32) for p in parts]), len(cells))
     data = pack(
         len(kinds), contexts, np.diff(cells // len(contexts), prepend=0).astype(np.uint8),
-        _planes((cells % len(contexts)).astype(np.uint32)), n.astype(np.uint64),
+        _planes((cells % len(contexts)).astype(np.uint32)), _planes(n.astype(np.uint64)),
     )
-    pieces = np.split(at.astype(np.uint32), np.cumsum([len(p[4]) for p in parts])[:-1])
+    pieces = np.split(at.astype(np.uint32), np.cumsum([p[4].shape[1] for p in parts])[:-1])
     return pd.DataFrame(
         {
             "bucket": key[0],
@@ -182,7 +194,7 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 def _cells(data: bytes) -> tuple:
     """A bucket's number of words, hashes of its contexts, and word, context and customers of each cell."""
     kinds, contexts, word, context, n = unpack(data)
-    return kinds, contexts, np.cumsum(word, dtype=np.int64), _unplanes(context, np.uint32).astype(np.int64), n.astype(np.int64)
+    return kinds, contexts, np.cumsum(word, dtype=np.int64), _unplanes(context, np.uint32).astype(np.int64), _unplanes(n, np.uint64).astype(np.int64)
 
 
 def _by_part(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,13 +204,17 @@ def _by_part(contexts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
     return order, np.searchsorted(part[order], np.arange(buckets + 1))
 
 
-def _seats(buckets: int, bucket: int, contexts, customers, tables, scalars: dict) -> pd.DataFrame:
-    """Rows of ``SEATS``: customers and tables by context, sent to the context's part."""
+def _counts(n: np.ndarray) -> np.ndarray:
+    return _planes(n.astype(np.uint64))
+
+
+def _seats(buckets: int, bucket: int, contexts, numbers: tuple, scalars: dict) -> pd.DataFrame:
+    """Rows of ``SEATS``: numbers by context, sent to the context's part."""
     order, cuts = _by_part(contexts, buckets)
     rows = []
     for k in np.flatnonzero(np.diff(cuts)):
         own = order[cuts[k] : cuts[k + 1]]
-        data = pack(contexts[own], customers[own].astype(np.uint64), tables[own].astype(np.uint64))
+        data = pack(*(x[own] if x is contexts else _counts(x[own]) for x in numbers))
         rows.append((bucket, int(k), data, None, None))
     rows += [(bucket, None, None, key, int(n)) for key, n in scalars.items()]
     frame = pd.DataFrame(rows, columns=["bucket", "part", "data", "key", "n"])
@@ -222,21 +238,42 @@ def _count(buckets: int):
                 }
                 customers = np.bincount(context, n, len(contexts))
                 tables = np.bincount(context[learnt], minlength=len(contexts))
-                yield _seats(buckets, bucket, contexts, customers, tables, scalars)
+                yield _seats(buckets, bucket, contexts, (contexts, customers, tables), scalars)
 
     return run
 
 
-def _total(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Sums of a part's contexts over all buckets, returned to each bucket in its own order."""
+def _first_total(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a part's contexts over all buckets, returned to each bucket in its own order.
+
+    ``at`` stays with the part: the places of a bucket's contexts among the part's, for the sweeps.
+    """
     parts = [unpack(x) for x in rows["data"]]
     kinds, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     customers, tables = (
-        np.bincount(at, np.concatenate([p[i] for p in parts]), len(kinds)).astype(np.uint64) for i in (1, 2)
+        np.bincount(at, np.concatenate([_unplanes(p[i], np.uint64) for p in parts]), len(kinds)) for i in (1, 2)
+    )
+    pieces = np.split(at.astype(np.uint32), np.cumsum([len(p[0]) for p in parts])[:-1])
+    return pd.DataFrame(
+        {
+            "bucket": rows["bucket"], "part": key[0],
+            "customers": [pack(_counts(customers[x])) for x in pieces],
+            "data": [pack(_counts(tables[x])) for x in pieces],
+            "at": [pack(_planes(np.diff(x, prepend=np.uint32(0)))) for x in pieces],
+        }
+    )
+
+
+def _total(key: tuple, places: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """A sweep's sums of a part's contexts; each bucket names its contexts in the order of ``places``."""
+    places, rows = places.sort_values("bucket"), rows.sort_values("bucket")
+    pieces = [np.cumsum(_unplanes(unpack(x)[0], np.uint32), dtype=np.uint32) for x in places["at"]]
+    tables = np.bincount(
+        np.concatenate(pieces), np.concatenate([_unplanes(unpack(x)[0], np.uint64) for x in rows["data"]])
+    )
+    return pd.DataFrame(
+        {"bucket": places["bucket"], "part": key[0], "data": [pack(_counts(tables[x])) for x in pieces]}
     )
-    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
-    data = [pack(customers[x], tables[x]) for x in np.split(at, cuts)]
-    return pd.DataFrame({"bucket": rows["bucket"], "part": key[0], "data": data})
 
 
 def _scalars(seats: DataFrame) -> dict[int, int]:
@@ -264,14 +301,17 @@ class Totals:
         self.unknown = min(0.9, max(1 / (self.types + 1), unseen))
         self.known = (1 - self.unknown) / max(1, self.types)
 
-    def fine(self, contexts: np.ndarray, rows: pd.DataFrame, buckets: int) -> Level:
-        """The restaurants of a bucket's contexts, from the packed totals of all parts."""
-        order, _ = _by_part(contexts, buckets)
-        parts = [unpack(x) for x in rows.sort_values("part")["data"]]
-        customers, tables = np.zeros(len(contexts)), np.zeros(len(contexts))
-        customers[order] = np.concatenate([p[0] for p in parts])
-        tables[order] = np.concatenate([p[1] for p in parts])
-        return Level(customers, tables, self.d[0])
+    def fine(self, contexts: np.ndarray, customers: np.ndarray, rows: pd.DataFrame, buckets: int) -> Level:
+        """The restaurants of a bucket's contexts, from the packed tables of all parts."""
+        return Level(customers, _returned(contexts, rows["part"], rows["data"], buckets), self.d[0])
+
+
+def _returned(contexts: np.ndarray, parts: pd.Series, data: pd.Series, buckets: int) -> np.ndarray:
+    """What all parts returned, in the order of the contexts."""
+    out = np.zeros(len(contexts))
+    order, _ = _by_part(contexts, buckets)
+    out[order] = np.concatenate([_unplanes(unpack(x)[0], np.uint64) for x in data.iloc[np.argsort(parts)]])
+    return out
 
 
 def _seated(kinds: int, word, context, n, totals: Totals, fine: Level, rng):
@@ -291,11 +331,14 @@ def _seated(kinds: int, word, context, n, totals: Totals, fine: Level, rng):
 def _sweep(totals: Totals, sweep: int, buckets: int):
     def run(key: tuple, model: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         kinds, contexts, word, context, n = _cells(model["data"].iloc[0])
-        fine, rng = totals.fine(contexts, rows, buckets), np.random.default_rng([sweep, int(key[0])])
+        first, now = rows[rows["customers"].notna()], rows[rows["customers"].isna()]
+        customers = _returned(contexts, first["part"], first["customers"], buckets)
+        fine = totals.fine(contexts, customers, now if len(now) else first, buckets)
+        rng = np.random.default_rng([sweep, int(key[0])])
         tables, _, t0 = _seated(kinds, word, context, n, totals, fine, rng)
         scalars = {ROOT_CUSTOMERS: tables.sum(), ROOT_TABLES: t0.sum()}
-        customers, by_context = (np.bincount(context, x, len(contexts)) for x in (n, tables))
-        return _seats(buckets, int(key[0]), contexts, customers, by_context, scalars)
+        by_context = np.bincount(context, tables, len(contexts))
+        return _seats(buckets, int(key[0]), contexts, (by_context,), scalars)
 
     return run
 
@@ -310,7 +353,9 @@ def _answer(sweeps: list[Totals], buckets: int):
         asked = model["chunk"].notna()
         kinds, contexts, word, context, n = _cells(model["data"][~asked].iloc[0])
         count = np.bincount(word, n, kinds).astype(np.uint64)
-        fines = [t.fine(contexts, rows[rows["sweep"] == s], buckets) for s, t in enumerate(sweeps)]
+        first = rows[rows["customers"].notna()]
+        customers = _returned(contexts, first["part"], first["customers"], buckets)
+        fines = [t.fine(contexts, customers, rows[rows["sweep"] == s], buckets) for s, t in enumerate(sweeps)]
         mean = np.zeros(len(n))
         for s in range(1, len(sweeps)):
             rng = np.random.default_rng([s, int(key[0])])
@@ -329,21 +374,16 @@ def _answer(sweeps: list[Totals], buckets: int):
     return run
 
 
-def _score(n: int, types: int):
-    def run(key: tuple, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        answers = answers.sort_values("bucket")
-        parts = [unpack(x) for x in answers["data"]]
-        frame = docs["held_out"].isna()
-        rank, bucket = unpack(docs["data"][frame].iloc[0])
-        places = rank[np.argsort(bucket, kind="stable")]
-        count, chance = np.zeros(len(places), np.int64), np.zeros(len(places))
-        count[places] = np.concatenate([_unplanes(p[0], np.uint64) for p in parts]).astype(np.int64)
-        chance[places] = np.concatenate([_unplanes(p[1], np.float32) for p in parts])
-        docs = docs[~frame]
+def _score(n: int, types: int, buckets: int):
+    def run(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(x) for x in answers.sort_values("bucket")["data"]]
+        c = Chunk(texts["data"].iloc[0], buckets)
+        count, chance = np.zeros(len(c.cells), np.int64), np.zeros(len(c.cells))
+        count[c.order] = np.concatenate([_unplanes(p[0], np.uint64) for p in parts]).astype(np.int64)
+        chance[c.order] = np.concatenate([_unplanes(p[1], np.float32) for p in parts])
         base = np.log10((count + 1) / (n + types + 1))
         out = []
-        for doc_id, held, data in zip(docs["doc_id"], docs["held_out"], docs["data"]):
-            x = _unplanes(unpack(data)[0], np.uint32)
+        for doc_id, held, x in zip(c.ids, c.held, np.split(c.cell, np.cumsum(c.lengths)[:-1])):
             out.append((doc_id, bool(held), len(x), int((count[x] > 0).sum()), n, base[x].sum(), chance[x].sum()))
         return pd.DataFrame(out, columns=SCORE_COLUMNS)
 
@@ -364,8 +404,10 @@ def score_language_model(
     minus score per token). Null text is empty: the end alone. Repeated rows
     count as often as they occur; an empty table gives no rows.
 
-    Texts are read once, into chunks of word numbers; chunks and buckets of
-    words exchange packed tables, and so do buckets and contexts in each sweep.
+    Texts are read once, into stored chunks of word numbers, from which the cells
+    that go to the buckets are made anew; chunks and buckets of words exchange packed
+    tables. Buckets and contexts do so in each sweep, but name the contexts and count
+    their customers once.
     There are as many buckets as ``spark.sql.shuffle.partitions``. Words are
     told apart by 64-bit hashes.
     """
@@ -376,38 +418,43 @@ def score_language_model(
         F.col("doc_id").cast("string").alias("doc_id"),
         (fold(F.col("doc_id"), folds) == held).alias("held_out"), "text",
     )
-    schema = "chunk bigint, bucket int, doc_id string, held_out boolean, data binary"
-    passed = work.keep(rows.mapInPandas(_chunks(buckets, chunk_tokens), schema), "passed")
-    asked = passed.where("bucket IS NOT NULL").select("chunk", "bucket", "data")
-    texts = passed.where("bucket IS NULL").select("chunk", "doc_id", "held_out", "data")
+    chunks = work.keep(
+        rows.mapInPandas(_chunks(chunk_tokens), "chunk bigint, data binary"), "chunks", bucket_by=(buckets, "chunk")
+    )
+    asked = chunks.mapInPandas(_asked(buckets), "chunk bigint, bucket int, data binary")
     cells = work.keep(
         asked.groupBy("bucket").applyInPandas(_merge, "bucket int, chunk bigint, data binary"), "cells", bucket_by=(buckets, "bucket")
     )
 
     model = cells.where("chunk IS NULL")
-
-    def totals(seats: DataFrame, sweep: int) -> DataFrame:
-        sums = seats.where("part IS NOT NULL").groupBy("part").applyInPandas(_total, "bucket int, part int, data binary")
-        kept = work.keep(sums, f"totals{sweep}")
-        work.drop(f"seats{sweep}")
-        return kept
-
     seats = work.keep(model.mapInPandas(_count(buckets), SEATS), "seats0")
     first = _scalars(seats)
-    states, sums = [Totals(first, first)], [totals(seats, 0)]
+    moved = seats.where("part IS NOT NULL").groupBy("part").applyInPandas(
+        _first_total, "bucket int, part int, customers binary, data binary, at binary"
+    )
+    kept = work.keep(moved, "totals0", bucket_by=(buckets, "part"))
+    work.drop("seats0")
+    places = kept.select("part", "bucket", "at")
+    states, sums = [Totals(first, first)], [kept.drop("at").withColumn("sweep", F.lit(0))]
     for sweep in range(1, sweeps + 1):
-        moved = model.groupBy("bucket").cogroup(sums[-1].groupBy("bucket")).applyInPandas(
+        # The customers of contexts are those of the first seating.
+        known = sums[0] if sweep == 1 else sums[0].drop("data").withColumn("data", F.lit(None).cast("binary")).unionByName(sums[-1])
+        moved = model.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(
             _sweep(states[-1], sweep, buckets), SEATS
         )
         seats = work.keep(moved, f"seats{sweep}")
         states.append(Totals(first, _scalars(seats)))
-        sums.append(totals(seats, sweep))
-    rows = reduce(DataFrame.unionByName, [x.withColumn("sweep", F.lit(s)) for s, x in enumerate(sums)])
-    answers = cells.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInPandas(
+        moved = places.groupBy("part").cogroup(seats.where("part IS NOT NULL").groupBy("part")).applyInPandas(
+            _total, "bucket int, part int, data binary"
+        )
+        kept = work.keep(moved, f"totals{sweep}")
+        work.drop(f"seats{sweep}")
+        sums.append(kept.withColumns({"customers": F.lit(None).cast("binary"), "sweep": F.lit(sweep)}))
+    answers = cells.groupBy("bucket").cogroup(reduce(DataFrame.unionByName, sums).groupBy("bucket")).applyInPandas(
         _answer(states, buckets), "chunk bigint, bucket int, data binary"
     )
-    scored = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _score(states[0].n, states[0].types),
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+        _score(states[0].n, states[0].types, buckets),
         "doc_id string, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",
     )

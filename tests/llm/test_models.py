@@ -156,3 +156,24 @@ def test_whole_word_before_is_the_context(spark):
     texts = {t: found[i] for i, t in asked}
     for a, b in pairs:
         assert all(texts[f"{a} {b}"] > texts[f"{a} {other}"] + 1 for _, other in pairs if other != b)
+
+
+def test_cells_are_exchanged_unstored_and_contexts_named_once(spark, monkeypatch):
+    """Only chunks of word numbers are stored before cells meet; later sweeps send counts alone."""
+    from labmart.llm.common import Work
+
+    size, keep = {}, Work.keep
+
+    def measured(self, df, table, *a, **b):
+        kept = keep(self, df, table, *a, **b)
+        binary = [c for c, kind in kept.dtypes if kind == "binary"]
+        size[table] = sum(sum(len(x) for x in r if x is not None) for r in kept.select(*binary).collect())
+        return kept
+
+    monkeypatch.setattr(Work, "keep", measured)
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 100))) for i in range(400)]
+    assert score_language_model(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == len(rows)
+    before_cells = [size[t] for t in list(size)[: list(size).index("cells")]]
+    assert sum(before_cells) < 6 * 40_000
+    assert size["seats1"] < size["seats0"] / 4 and size["totals1"] < size["totals0"] / 2
