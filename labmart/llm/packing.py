@@ -32,7 +32,7 @@ def crc(ids: np.ndarray) -> int:
 
 def _nearness(ids: np.ndarray) -> tuple[int, int]:
     """Two minhashes of the ids: documents of like words lie close in this order."""
-    h = np.unique(ids).astype(np.uint64)
+    h = ids.astype(np.uint64)
     keys = []
     for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
         mixed = (h + np.uint64(1)) * np.uint64(factor)
@@ -74,16 +74,21 @@ class InvertedIndex:
 
     def __init__(self, docs: list[np.ndarray]):
         self.n = len(docs)
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
-        self.terms = terms
-        owner = np.repeat(np.arange(self.n), [len(t) for t in terms])
-        flat, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float64)
-        order = np.argsort(flat, kind="stable")
-        self.vocabulary, first, df = np.unique(flat[order], return_index=True, return_counts=True)
-        self.first, self.df, self.owner = first, df, owner[order]
+        # All ids of the shard in one sort, by term and then by document.
+        key = np.concatenate(docs).astype(np.int64) * self.n + np.repeat(np.arange(self.n), [len(d) for d in docs])
+        key.sort()
+        posting = np.flatnonzero(np.diff(key, prepend=-1))
+        tf = np.diff(posting, append=len(key)).astype(np.float64)
+        term = key[posting] // self.n
+        self.owner = key[posting] - term * self.n
+        self.first = first = np.flatnonzero(np.diff(term, prepend=-1))
+        self.df = df = np.diff(first, append=len(term))
+        by_doc = np.argsort(self.owner.astype(np.uint32), kind="stable")
+        ends = np.cumsum(np.bincount(self.owner, minlength=self.n))[:-1]
+        #: Numbers of each document's terms in the shard's vocabulary.
+        self.terms = np.split(np.repeat(np.arange(len(df)), df)[by_doc], ends)
         length = np.array([len(d) for d in docs], np.float64)
         norm = K1 * (1 - B + B * length / length.mean())[self.owner]
-        tf = tf[order]
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm)
         # Lists of a quarter of the documents or more are held as full rows, which add faster.
@@ -97,18 +102,25 @@ class InvertedIndex:
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 score of every document of the shard for the terms of one of them."""
-        at = np.searchsorted(self.vocabulary, self.terms[doc])
+        at = self.terms[doc]
         common = self.dense_row[at]
         at = at[common < 0]
-        lists = [slice(a, a + n) for a, n in zip(self.first[at].tolist(), self.df[at].tolist())]
-        rare = np.bincount(
-            np.concatenate([self.owner[:0], *(self.owner[x] for x in lists)]),
-            np.concatenate([self.weight[:0], *(self.weight[x] for x in lists)]),
-            minlength=self.n,
-        )
+        n = self.df[at]
+        place = np.arange(n.sum()) + np.repeat(self.first[at] - np.cumsum(n) + n, n)
+        rare = np.bincount(self.owner[place], self.weight[place], minlength=self.n)
         return rare + self.dense[common[common >= 0]].sum(axis=0)
 
 
+def best_first(score: np.ndarray, left: np.ndarray, few: int = 16) -> Iterator[int]:
+    """``left`` by falling score, ties in order; mostly few are asked for, so those are sorted first."""
+    score = -score[left]
+    if len(left) > 4 * few:
+        near = score <= np.partition(score, few)[few]
+        yield from left[near][np.argsort(score[near], kind="stable")]
+        score, left = score[~near], left[~near]
+    yield from left[np.argsort(score, kind="stable")]
+
+
 class Packer:
     """Fills windows from shard after shard; only the last window stays short."""
 
@@ -147,9 +159,7 @@ class Packer:
                 continue
             following = None
             if self.filled and unused.any():
-                score = index.scores(seed)
-                left = np.flatnonzero(unused)
-                for d in left[np.argsort(-score[left], kind="stable")]:
+                for d in best_first(index.scores(seed), np.flatnonzero(unused)):
                     unused[d] = False
                     begin = self._put(docs[d], ids[d], 0)
                     if begin < len(ids[d]):

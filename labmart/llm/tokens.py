@@ -17,10 +17,22 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r".,;:!?#$%&*+=/()\-"
 _SIMPLE = re.compile(rf" ?[{_LATIN}]+(?:[{_MARKS}]+|\n(?!\n)|(?<=[{_MARKS}\n])[{_LATIN}]+)*")
 _PARTS = re.compile(rf" ?[{_LATIN}]+|[{_MARKS}]+|\n")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
+_EDGES = ("", " ", "\n")
+_OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f"
 #: The usual piece after a space: a word, and marks or none.
 _MARKED = re.compile(rf"([{_LATIN}]+)([{_MARKS}]*)").fullmatch
 
 
+def _alone(text: str) -> bool:
+    """All white space stands alone and inside, and is a space or a line feed."""
+    if any(map(text.__contains__, _PAIRS)) or text[:1] in _EDGES or text[-1:] in _EDGES:
+        return False
+    if text.isascii():
+        return not any(map(text.__contains__, _OTHER_SPACE))
+    return text.count(" ") + text.count("\n") + 1 == len(text.split())
+
+
 def _byte_letters() -> list[str]:
     """The printable character that byte-level vocabularies use for each byte."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -85,8 +97,11 @@ class Encoder:
 
     def _new(self, piece: str) -> bytes:
         """A piece that is not remembered, without the space before it."""
-        marked = _MARKED(piece) if self.style is not None else None
-        if marked is None:
+        plain = self.style is not None and piece.isascii() and piece.isalpha()
+        marked = _MARKED(piece) if self.style is not None and not plain else None
+        if plain:
+            ids = self._word(piece, True)
+        elif marked is None:
             ids = self._piece(" " + piece)
         else:
             word, marks = marked.groups()
@@ -102,10 +117,7 @@ class Encoder:
         return ids
 
     def _encode(self, text: str) -> bytes:
-        rest = text.split(" ")
-        # All white space stands alone and inside, and is a space or a line feed.
-        if text.count(" ") + text.count("\n") + 1 != len(text.split()):
-            rest = _SPLIT.split(text)
+        rest = text.split(" ") if _alone(text) else _SPLIT.split(text)
         first, rest = rest[0], rest[1:]
         ids, at = list(map(self.after_space.get, rest)), -1
         for _ in range(ids.count(None)):

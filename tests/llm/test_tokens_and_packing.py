@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from labmart.llm import elias_fano
+from labmart.llm import elias_fano, packing
 from labmart.llm.common import Work
 from labmart.llm.packing import InvertedIndex, pack_documents
 from labmart.llm.shards import longest_first, shard_by_bytes
@@ -151,3 +151,26 @@ def test_shards_are_even_and_keep_groups(spark, docs, shards, fineness):
     share = sum(groups.values()) / shards
     assert max(load.values()) <= max(share + max(share / fineness * 3, 2 * sorted(groups.values())[-2]), max(groups.values()))
     assert shard_by_bytes(docs.limit(0)).count() == 0
+
+
+def test_best_first_sorts_only_what_is_asked_for(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 64, 65, 500, 1000):
+        score, left = rng.integers(0, 9, 1000).astype(float), np.sort(rng.choice(1000, n, replace=False))
+        assert list(packing.best_first(score, left)) == left[np.argsort(-score[left], kind="stable")].tolist()
+    sorted_sizes, plain = [], np.argsort
+    monkeypatch.setattr(packing.np, "argsort", lambda x, **k: sorted_sizes.append(len(x)) or plain(x, **k))
+    next(packing.best_first(np.arange(1000.0), np.arange(1000)))
+    assert sorted_sizes == [17]
+
+
+def test_index_is_built_without_a_sort_for_each_document(monkeypatch):
+    rng, sorts = np.random.default_rng(4), []
+    docs = [rng.integers(0, 300, n + 1) for n in range(60)]
+    unique = np.unique
+    monkeypatch.setattr(packing.np, "unique", lambda *a, **k: sorts.append(1) or unique(*a, **k))
+    index = InvertedIndex(docs)
+    assert not sorts
+    for d, terms in zip(docs, index.terms):
+        assert len(terms) == len(unique(d))
+    assert sum(index.df) == sum(len(unique(d)) for d in docs)
