@@ -11,6 +11,7 @@ exact inner product.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,40 +57,70 @@ class SortedProjections:
         rng = np.random.default_rng(seed)
         self.lines = rng.standard_normal((vectors.shape[1] + 1, PROJECTIONS))
         placed = (np.column_stack([vectors, rest]) @ self.lines) / largest
-        self.order = np.argsort(placed, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(placed, self.order.T, axis=0).T.copy()
+        order = np.argsort(placed, axis=0, kind="stable").T.copy()
+        self.sorted = np.take_along_axis(placed, order.T, axis=0).T.copy()
+        #: Each vector's place in each array; a window is a range of places.
+        self.place = np.empty(order.shape, np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=self.place.dtype)[None, :], axis=1)
+
+    def _collisions(self, at: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
+        """For each query the number of windows that each vector has fallen into."""
+        kind = self.place.dtype
+        left = np.column_stack([s.searchsorted(a - width) for s, a in zip(self.sorted, at.T)])
+        right = np.column_stack([s.searchsorted(a + width, "right") for s, a in zip(self.sorted, at.T)])
+        inside, hit = np.empty(self.place.shape, kind), np.empty(self.place.shape, bool)
+        for a, b in zip(left, right):
+            # Places before the window wrap round to large numbers; an empty window holds none.
+            np.subtract(self.place, a.astype(kind)[:, None], out=inside)
+            np.less_equal(inside, (np.maximum(b - a, 1) - 1).astype(kind)[:, None], out=hit)
+            hit[b <= a] = False
+            yield np.add.reduce(hit.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def _rounds(self, at: np.ndarray, widths: list[float], needed: int, enough: int, usual: int | None = None) -> np.ndarray:
+        """The first of the widths at which each query has enough vectors; the last has all in every window."""
+        low, high, tries = np.zeros(len(at), int), np.full(len(at), len(widths) - 1), 0
+        while (open_ := np.flatnonzero(low < high)).size:
+            below, above = low[open_], high[open_]
+            middle = (below + above) // 2
+            if usual is not None and tries < 2:
+                beside = np.where(above == usual, usual - 1, usual + 1)
+                middle = np.clip(beside if tries else usual, below, above - 1)
+            counts = self._collisions(at[open_], np.take(widths, middle))
+            done = np.array([np.count_nonzero(c >= needed) >= enough for c in counts])
+            high[open_], low[open_] = np.where(done, middle, above), np.where(done, below, middle + 1)
+            tries += 1
+        return high
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """(ids, scores) of the k best verified vectors for each query, ties to the smaller id.
 
-        All queries widen their windows together; one is done once enough
-        vectors have the collisions needed.
+        The windows of a query widen until enough vectors have the collisions
+        needed. As no vector leaves a window, that width is found by bisection.
         """
         n = len(self.ids)
         # A query's own further component is zero, and its length does not matter.
         at = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
         enough, needed = min(n, k + 1 + int(VERIFIED * n + VERIFIED_ROOT * math.sqrt(n))), math.ceil(COLLISIONS * PROJECTIONS)
-        counts = np.zeros((len(queries), n), np.uint8)
-        left = np.column_stack([s.searchsorted(a) for s, a in zip(self.sorted, at.T)])
-        right, width, open_ = left.copy(), FIRST, np.arange(len(queries))
-        while len(open_):
-            now = [
-                (s.searchsorted(a - width), s.searchsorted(a + width, "right"))
-                for s, a in zip(self.sorted, at[open_].T)
-            ]
-            low, high = np.column_stack([x for x, _ in now]), np.column_stack([x for _, x in now])
-            done = np.zeros(len(open_), bool)
-            for i, q in enumerate(open_):
-                new = [o[a:b] for o, a, b in zip(self.order, low[i], left[q])]
-                new += [o[a:b] for o, a, b in zip(self.order, right[q], high[i])]
-                counts[q] += np.bincount(np.concatenate(new), minlength=n).astype(np.uint8)
-                done[i] = np.count_nonzero(counts[q] >= needed) >= enough
-            left[open_], right[open_] = low, high
-            open_, width = open_[~done], width * GROWTH
+        farthest = max(np.abs(self.sorted[:, i] - at).max() for i in (0, -1))
+        widths = [FIRST]
+        while widths[-1] <= farthest * GROWTH:
+            widths.append(widths[-1] * GROWTH)
+        # Widths are alike from query to query, so those of the first few are tried on the rest.
+        few = self._rounds(at[:16], widths, needed, enough)
+        usual = int(np.median(few)) if len(few) else 0
+        rounds = np.concatenate([few, self._rounds(at[16:], widths, needed, enough, usual)])
+        counts, room = self._collisions(at, np.take(widths, rounds)), np.empty_like(self.vectors)
         for query_id, q, met in zip(query_ids, queries, counts):
             near = np.flatnonzero(met >= needed)
             near = near[self.ids[near] != query_id]
-            score = inner_products(self.vectors[near], q)
+            rows = np.take(self.vectors, near, axis=0, out=room[: len(near)], mode="clip")
+            if len(near) > k:
+                # Only those that rounding could bring among the k best are summed in order.
+                about = rows @ q
+                least = np.partition(about, -k)[-k] - 1e-9 * (self.largest * np.linalg.norm(q))
+                if np.isfinite(about).all() and np.isfinite(least):
+                    near, rows = near[about >= least], rows[about >= least]
+            score = inner_products(rows, q)
             best = np.lexsort((self.ids[near], -score))[:k]
             yield self.ids[near][best], score[best]
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from labmart.llm import collisions
 from labmart.llm.collisions import nearest_neighbours
 from labmart.llm.decontaminate import (
     PassageIndex,
@@ -161,3 +162,29 @@ def test_licences_of_own_text_and_of_folders(spark):
     }
     assert scan_licenses(df.limit(0)).count() == 0
     assert "Python" not in scan_licenses(df)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [1, 30, 900])
+def test_bisected_windows_equal_widened_ones(monkeypatch, n):
+    """The width at which a query has enough collisions, without counting window by window."""
+    rng = np.random.default_rng(n)
+    vectors = rng.standard_normal((n, 12))
+    vectors[n // 2 :: 3] = vectors[0]
+    queries = np.vstack([vectors[: n // 20 + 1], 1e3 * rng.standard_normal((2, 12))])
+    ids = np.arange(n) * 7
+    index = collisions.SortedProjections(ids, vectors, float(np.linalg.norm(vectors, axis=1).max()))
+    placed = np.empty((n, collisions.PROJECTIONS))
+    rest = np.sqrt(np.maximum(0, index.largest**2 - (vectors**2).sum(axis=1)))
+    placed = (np.column_stack([vectors, rest]) @ index.lines) / index.largest
+    needed = int(np.ceil(collisions.COLLISIONS * collisions.PROJECTIONS))
+    enough = min(n, 21 + int(collisions.VERIFIED * n + collisions.VERIFIED_ROOT * np.sqrt(n)))
+    monkeypatch.setattr(collisions.np, "bincount", None)
+    asked = np.r_[ids[: len(queries) - 2], [-1, -2]]
+    for (found, score), q, own in zip(index.nearest(asked, queries, 20), queries, asked):
+        gap, width = np.abs(placed - (q / np.linalg.norm(q)) @ index.lines[:-1]), collisions.FIRST
+        while ((gap <= width).sum(axis=1) >= needed).sum() < enough:
+            width *= collisions.GROWTH
+        near = np.flatnonzero(((gap <= width).sum(axis=1) >= needed) & (ids != own))
+        exact = vectors[near] @ q
+        want = near[np.lexsort((near, -np.round(exact, 9)))[:20]]
+        assert found.tolist() == ids[want].tolist() and np.allclose(score, vectors[want] @ q)
