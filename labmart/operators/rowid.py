@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labmart.session import store
@@ -14,22 +16,34 @@ _POSITION = "__position"
 _TIE, _STRETCH, _ROW = "__tie", "__stretch", "__row"
 
 
-def spread_and_sort(df: DataFrame, keys: list, partitions: int | None = None) -> DataFrame:
+def spread_and_sort(
+    df: DataFrame,
+    keys: list,
+    partitions: int | None = None,
+    derive: Callable[[DataFrame, tuple[Column, ...]], DataFrame] | None = None,
+    by: Sequence[Column] = (),
+) -> DataFrame:
     """Range-partition by the keys and sort each partition, NULLs last.
 
     The row's position in its input partition ends the partitioning key, so
     that any number of rows with equal keys, full copies included, spreads over
     several tasks. Positions repeat on a retry as long as ``df`` reads stored
     files; put a shuffle result into a table first.
+
+    With ``derive``, the exchange moves ``df``'s columns and the rows are made from them
+    afterwards, each from one: it gets the placed rows and columns to add unchanged at the
+    end. ``by`` then gives the keys as expressions over ``df``.
     """
     order = [F.col(k).asc_nulls_last() for k in keys] + [F.col(_POSITION).asc()]
+    spread = [c.asc_nulls_last() for c in by] + order[-1:] if derive else order
     placed = df.withColumn(_POSITION, F.monotonically_increasing_id())
     ranged = (
-        placed.repartitionByRange(*order)
+        placed.repartitionByRange(*spread)
         if partitions is None
-        else placed.repartitionByRange(partitions, *order)
+        else placed.repartitionByRange(partitions, *spread)
     )
-    return ranged.sortWithinPartitions(*order).drop(_POSITION)
+    rows = derive(ranged, (F.col(_POSITION),)) if derive else ranged
+    return rows.sortWithinPartitions(*order).drop(_POSITION)
 
 
 def global_row_id(

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmart.operators.rowid import spread_and_sort
@@ -62,15 +62,23 @@ def write_table(
     partitions: int | None = None,
     options: Mapping[str, str] | None = None,
     in_place: bool = False,
+    derive: Callable[[DataFrame, tuple[Column, ...]], DataFrame] | None = None,
+    by: Sequence[Column] = (),
 ) -> str:
     """Write ``df`` as table ``name`` or to ``path``; returns whichever was given.
 
     ``bucket_by`` is (number, column) with rows sorted by ``sort_by`` in each
     bucket and needs a table name. ``fmt`` may name any format the session has.
     ``in_place`` writes rows from the tasks they are in, for rows that lie by
-    partition already.
+    partition already. ``derive`` makes a clustered table's rows from ``df`` after the
+    exchange, see ``spread_and_sort``; ``by`` are its partition and cluster columns over ``df``.
     """
-    placed = df if in_place else arrange(df, partition_by, cluster_by, bucket_by, partitions)
+    if derive is not None:
+        if not cluster_by or len(by) != len([*partition_by, *cluster_by]):
+            raise ValueError("derive needs cluster columns, and an expression for each key")
+        placed = spread_and_sort(df, [*partition_by, *cluster_by], partitions, derive, by)
+    else:
+        placed = df if in_place else arrange(df, partition_by, cluster_by, bucket_by, partitions)
     writer = placed.write.format(fmt).mode(mode)
     if fmt == "parquet":
         writer = writer.options(**PARQUET_LAYOUT)

@@ -58,3 +58,53 @@ def test_a_tallying_task_reads_a_small_split(spark, tmp_path, monkeypatch):
         counted = {(r["k"], r["t"]): r["n"] for r in found.groupBy("k", F.col(selection.TAG).alias("t")).count().withColumnRenamed("count", "n").collect()}
     assert tasks[0] > 1
     assert counted == {(k, t): n for k in range(3) for t, n in ((0, 400), (1, 7))}
+
+
+def test_files_to_load_go_once_loaded(spark, tmp_path, monkeypatch):
+    sf, folder = _tables(spark, tmp_path / "sf"), tmp_path / "scratch"
+    monkeypatch.setattr(at, "new_scratch_path", lambda spark, label: f"{folder}/{label}")
+    loaded = at.stored_loaded(spark, sf)
+    assert list(folder.rglob("*.parquet")) and not list(folder.rglob("*.csv*"))
+    staged = at.lab_csv(spark, sf)
+    with at._files_to_load(spark, sf) as used:
+        assert used == staged
+    assert list(folder.rglob("*.csv"))
+    assert sorted((str(r.visit_id), r.patient_id, r.source_file) for r in loaded.collect()) == [
+        ("1", "10", "1995"), ("1", "11", "1995"), ("2", "12", "1996")
+    ]
+
+
+def test_clustered_rows_are_exchanged_before_they_are_typed(spark, tmp_path, monkeypatch):
+    from labmart.sinks import tables
+
+    sf, seen, spread = _tables(spark, tmp_path), [], tables.spread_and_sort
+
+    def noted(*args, **kwargs):
+        seen.append(spread(*args, **kwargs))
+        return seen[-1]
+
+    monkeypatch.setattr(tables, "spread_and_sort", noted)
+    found = at.stored_bronze(spark, sf)
+    plain = at.bronze(spark, sf, partition_columns=True)
+    assert sorted(map(str, found.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    exchanged = plan[plan.index("RepartitionByExpression"):].split("\n")[1]
+    assert "LC:" not in exchanged and "LC:" in plan  # the text of a test is made after the exchange
+    assert seen[0].columns == plain.columns
+
+
+def test_derived_rows_lie_in_ranges_of_their_keys(spark, tmp_path):
+    from labmart.operators.rowid import spread_and_sort
+
+    path = str(tmp_path / "rows")
+    spark.range(0, 4000, 1, 7).selectExpr("IF(id % 50 = 0, NULL, id * 37 % 1000) AS v", "id").write.parquet(path)
+    key = -F.col("v")
+    placed = spread_and_sort(
+        spark.read.parquet(path), ["k"], 6,
+        lambda rows, kept: rows.select(key.alias("k"), "id", *kept), [key],
+    )
+    parts = placed.rdd.glom().map(lambda rows: [(r.k is None, r.k or 0) for r in rows]).collect()
+    assert placed.columns == ["k", "id"] and sum(map(len, parts)) == 4000 and len(parts) == 6
+    flat = [k for part in parts for k in part]
+    assert flat == sorted(flat)
+    assert sorted(r.id for r in placed.collect()) == list(range(4000))
