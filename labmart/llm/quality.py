@@ -6,16 +6,22 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labmart.llm.common import fold, read, words_of
+from labmart.llm.common import Work, fold, read, words_of
+from labmart.session import sql_settings
 
-#: Labelled rows of each class that are fitted at most, those of the smallest id hashes.
-SAMPLE = 6000
-#: Preference pairs of each sampled row.
+#: Preference pairs of each labelled row.
 PAIRS = 2
+#: Rows of the larger class in a block, whose rows are paired with each other; of the smaller at least.
+BLOCK, LEAST = 4096, 64
+#: Bits that tell texts without a label, which are not looked at.
+FILTER_BITS = 1 << 24
+#: Cells of a step towards the quantile, and rows of a cell that are fetched at most.
+CELLS = 4096
+BLOCKS = "block bigint, good binary, own binary, x binary"
 #: Score at the chosen quantile; from here on a document counts as good.
 THRESHOLD = 0.3
 CHUNK = 1 << 20
@@ -63,70 +69,206 @@ def features_udf(texts: pd.Series) -> pd.Series:
 
 
 class PairwiseScore:
-    """Worth of a document, linear in its features; 0.3 at the threshold."""
+    """Worth of a document, linear in its features; 0.3 at the threshold. Unfitted, 0.5 for all."""
 
-    def __init__(self, x: np.ndarray, good: np.ndarray, bad_share: float, seed: int = 11):
-        """Fit on feature rows ``x``; ``bad_share`` is the share of label 0 among all labels.
+    fitted = False
 
-        Each sampled row meets ``PAIRS`` rows of the other class. The log loss
-        of the differences is least by Newton steps with a small ridge. The
-        threshold is the quantile ``bad_share`` of the scores, each class
-        weighted by its share of all labels.
-        """
-        self.fitted = bool(good.any() and not good.all())
+    def fit(
+        self, mean: np.ndarray, scale: np.ndarray, w: np.ndarray, cut: float
+    ) -> PairwiseScore:
+        self.fitted, self.mean, self.scale, self.w, self.cut = True, mean, scale, w, cut
+        return self
+
+    def score(self, x: np.ndarray) -> np.ndarray:
         if not self.fitted:
-            return
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        z = (x - self.mean) / self.scale
-        rng, up, down = np.random.default_rng(seed), np.flatnonzero(good), np.flatnonzero(~good)
-        better = np.concatenate([np.repeat(up, PAIRS), rng.choice(up, PAIRS * len(down))])
-        worse = np.concatenate([rng.choice(down, PAIRS * len(up)), np.repeat(down, PAIRS)])
-        w = np.zeros(z.shape[1])
-        ridge = 1e-3 * len(better) * np.eye(len(w))
-        for _ in range(6):
-            gram, slope = ridge.copy(), -ridge @ w
+            return np.full(len(x), 0.5)
+        raw = (x - self.mean) / self.scale @ self.w - self.cut
+        return 1 / (1 + np.exp(-np.clip(raw + math.log(THRESHOLD / (1 - THRESHOLD)), -30, 30)))
+
+
+def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, quality, features x and an even hash, mix, for each meeting of a document and a label.
+
+    Texts stay where they are: a bitmap of the labelled ids' hashes, at most
+    ``FILTER_BITS`` long, tells most documents without a label, and features are
+    exchanged to meet the labels. Copies of an id have hashes of their own.
+    """
+    texts = docs.select("doc_id", "text")
+    if texts.schema["doc_id"].dataType == known.schema["doc_id"].dataType:
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")
+        bit = "CAST(slot & 63 AS INT)"
+        bitmap = known.select(slot).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+            F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits")
+        )
+        texts = texts.select("*", slot).join(F.broadcast(bitmap), F.shiftright("slot", 6) == F.col("word"))
+        texts = texts.where(F.expr(f"bit_get(bits, {bit})") == 1)
+    met = texts.select("doc_id", features_udf("text").alias("x")).join(known.hint("shuffle_hash"), "doc_id")
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("quality", F.xxhash64("x")))
+    return met.select("doc_id", "quality", "x", F.xxhash64("doc_id", copy).alias("mix"))
+
+
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block as one row of binaries, in the order of the ids."""
+    rows = rows.sort_values(["doc_id", "quality", "mix"], kind="stable")
+    return pd.DataFrame({
+        "block": [rows["block"].iloc[0]],
+        "good": [(rows["quality"].to_numpy() == 1).tobytes()],
+        "own": [rows["own"].to_numpy(bool).tobytes()],
+        "x": [np.vstack(rows["x"].to_list()).astype(np.float32).tobytes()],
+    })
+
+
+def _dealt(labelled: DataFrame, rows: dict[int, int]) -> DataFrame:
+    """``BLOCKS`` that hold every row once as their own, dealt by hash.
+
+    Where a class is too small for ``LEAST`` rows in each block, its rows are also
+    lent to other blocks, as partners only.
+    """
+    blocks = -(-max(rows.values()) // BLOCK)
+    shares = {c: min(blocks, max(1, rows[c] // LEAST)) for c in (0, 1)}
+    share = F.when(F.col("quality") == 0, F.lit(shares[0])).otherwise(F.lit(shares[1])).cast("bigint")
+    home = F.pmod(F.col("mix"), share)
+    dealt = labelled.select(
+        "*", home.alias("home"), F.explode(F.sequence(home, F.lit(blocks - 1).cast("bigint"), share)).alias("block")
+    ).select("block", (F.col("home") == F.col("block")).alias("own"), "doc_id", "quality", "mix", "x")
+    partitions = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(min(blocks, partitions), "block").groupBy("block").applyInPandas(_pack, BLOCKS)
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    good, own = np.frombuffer(row.good, bool), np.frombuffer(row.own, bool)
+    return np.frombuffer(row.x, np.float32).reshape(len(good), -1), good, own
+
+
+def pairs(good: np.ndarray, own: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Better and worse row of each pair: own rows meet ``PAIRS`` rows of the other class."""
+    rng, up, down = np.random.default_rng(seed), np.flatnonzero(good), np.flatnonzero(~good)
+    if not (len(up) and len(down)):
+        return up[:0], down[:0]
+    own_up, own_down = np.flatnonzero(good & own), np.flatnonzero(~good & own)
+    better = np.concatenate([np.repeat(own_up, PAIRS), rng.choice(up, PAIRS * len(own_down))])
+    worse = np.concatenate([rng.choice(down, PAIRS * len(own_up)), np.repeat(own_down, PAIRS)])
+    return better, worse
+
+
+def _sums(blocks: DataFrame, of) -> np.ndarray:
+    """Sum over all blocks of the vector ``of(block, x, good, own)``, added up in the tasks first."""
+
+    def run(batches):
+        total = 0.0
+        for batch in batches:
+            for row in batch.itertuples():
+                total = total + of(row.block, *_unpacked(row))
+        if np.ndim(total):
+            yield pd.DataFrame({"v": [total]})
+
+    each = blocks.mapInPandas(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+    with sql_settings(blocks.sparkSession, execution__arrow__maxRecordsPerBatch="1"):
+        found = each.groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+    sums = np.zeros(found.num_rows)
+    sums[found["i"].to_numpy()] = found["v"].to_numpy()
+    return sums
+
+
+def _weights(blocks: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Least log loss of the differences of all pairs, by Newton steps with a small ridge."""
+    k = len(mean)
+    upper, w = np.triu_indices(k), np.zeros(k)
+    ridge = 1e-3 * PAIRS * n * np.eye(k)
+    for _ in range(6):
+
+        def step(block, x, good, own, w=w):
+            z, (better, worse) = (x - mean) / scale, pairs(good, own, seed + block)
+            gram, slope = np.zeros((k, k)), np.zeros(k)
             for i in range(0, len(better), 4096):
                 d = (z[better[i : i + 4096]] - z[worse[i : i + 4096]]).astype(np.float64)
                 p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
                 gram += (d * (p * (1 - p))[:, None]).T @ d
                 slope += d.T @ (1 - p)
-            w += np.linalg.solve(gram, slope)
-        self.w = w
-        raw = z @ w
-        weight = np.where(good, (1 - bad_share) / good.sum(), bad_share / (~good).sum())
-        order = np.argsort(raw, kind="stable")
-        self.cut = float(np.interp(bad_share, np.cumsum(weight[order]) - weight[order] / 2, raw[order]))
+            return np.concatenate([gram[np.triu_indices(k)], slope])
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        if not self.fitted:
-            return np.full(len(x), 0.5)
-        raw = (x - self.mean) / self.scale @ self.w - self.cut
-        return 1 / (1 + np.exp(-np.clip(raw + math.log(THRESHOLD / (1 - THRESHOLD)), -30, 30)))
+        sums, gram = _sums(blocks, step), np.zeros((k, k))
+        gram[upper] = sums[:-k]
+        gram = gram + np.triu(gram, 1).T + ridge
+        w = w + np.linalg.solve(gram, sums[-k:] - ridge @ w)
+    return w
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE) -> PairwiseScore:
-    """Fit on at most ``sample`` labelled documents of each class outside fold 0.
+def weighted_quantile(rows: DataFrame, weight: dict[bool, float], q: float) -> float:
+    """Value at ``q`` of the (raw, good) ``rows``, each in the middle of the weight of its class.
 
-    A label without a document, or null, teaches nothing. The sample's ids are
-    broadcast and its features fetched: both are bounded by ``sample``.
+    Each step cuts the cell that holds it in ``CELLS`` and fetches their counts only.
+    """
+    first, last = rows.agg(F.min("raw"), F.max("raw")).first()
+    low, high, below, outer = first, last, 0.0, [first, last]
+    while True:
+        here, part = rows.where(F.col("raw").between(low, high)), (high - low) / CELLS
+        cell = F.least(F.floor((F.col("raw") - low) / part), F.lit(CELLS - 1)) if part else F.lit(0)
+        cells = here.groupBy(cell.alias("cell")).agg(
+            F.sum(F.col("good").cast("bigint")).alias("up"), F.count(F.lit(1)).alias("n"),
+            F.min("raw").alias("low"), F.max("raw").alias("high"),
+        ).orderBy("cell").collect()
+        mass = np.array([weight[True] * r["up"] + weight[False] * (r["n"] - r["up"]) for r in cells])
+        ends = below + np.cumsum(mass)
+        at = min(int(np.searchsorted(ends, q)), len(cells) - 1)
+        if at:
+            outer[0] = cells[at - 1]["high"]
+        if at + 1 < len(cells):
+            outer[1] = cells[at + 1]["low"]
+        below = float(ends[at] - mass[at])
+        low, high = cells[at]["low"], cells[at]["high"]
+        if low == high or not part or cells[at]["n"] <= CELLS:
+            break
+    # The neighbours outside the cell count too; equal values are one row a class.
+    near = rows.where(F.col("raw").between(*outer)).where(
+        F.col("raw").between(low, high) | F.col("raw").isin(outer)
+    ).groupBy("raw", "good").count().orderBy("raw", "good").collect()
+    mass = [weight[r["good"]] * r["count"] for r in near]
+    ends = np.cumsum(mass) + below - sum(m for r, m in zip(near, mass) if r["raw"] < low)
+    half = [weight[r["good"]] / 2 for r in near]
+    places = np.array([(e - m + h, e - h) for e, m, h in zip(ends, mass, half)]).ravel()
+    return float(np.interp(q, places, np.repeat([r["raw"] for r in near], 2)))
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, seed: int = 11) -> PairwiseScore:
+    """Fit on all labelled documents outside fold 0.
+
+    A label without a document, or null, teaches nothing. Each labelled row meets
+    ``PAIRS`` rows of the other class in its block. The threshold is the quantile
+    of the scores at the share of label 0 among all labels, each class weighted by
+    its share. Features are stored in blocks, whose sums alone reach the driver.
     """
     known = labels.where(fold(F.col("doc_id"), folds) != 0).where("quality IN (0, 1)").select(
         "doc_id", F.col("quality").cast("int").alias("quality")
-    )
+    ).where("doc_id IS NOT NULL")
     share = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    chosen = None
-    for value in (0, 1):
-        part = known.where(F.col("quality") == value)
-        part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "quality", features_udf("text").alias("x")).toPandas()
-    ).sort_values(["doc_id", "quality"], kind="stable")
-    x = np.vstack([np.zeros((0, len(features("")))), *rows["x"]])
-    return PairwiseScore(
-        x, rows["quality"].to_numpy() == 1, share.get(0, 0) / max(1, sum(share.values()))
-    )
+    if len(share) < 2:
+        return PairwiseScore()
+    work = Work(docs.sparkSession, "quality")
+    labelled = work.keep(_labelled(docs, known), "labelled")
+    rows = {r["quality"]: r["count"] for r in labelled.groupBy("quality").count().collect()}
+    if len(rows) < 2:
+        work.drop("labelled")
+        return PairwiseScore()
+    blocks, n = work.keep(_dealt(labelled, rows), "blocks"), sum(rows.values())
+    work.drop("labelled")
+    mean = _sums(blocks, lambda block, x, good, own: x[own].sum(axis=0, dtype=np.float64)) / n
+    spread = _sums(blocks, lambda block, x, good, own: ((x[own] - mean) ** 2).sum(axis=0)) / n
+    mean, scale = mean.astype(np.float32), (np.sqrt(spread) + 1e-3).astype(np.float32)
+    w = _weights(blocks, mean, scale, n, seed)
+
+    def worth(batches):
+        for batch in batches:
+            for row in batch.itertuples():
+                x, good, own = _unpacked(row)
+                yield pd.DataFrame({"raw": ((x - mean) / scale @ w)[own], "good": good[own]})
+
+    with sql_settings(docs.sparkSession, execution__arrow__maxRecordsPerBatch="1"):
+        raws = work.keep(blocks.mapInPandas(worth, "raw double, good boolean"), "raws")
+    bad = share[0] / sum(share.values())
+    cut = weighted_quantile(raws, {True: (1 - bad) / rows[1], False: bad / rows[0]}, bad)
+    work.drop("blocks", "raws")
+    return PairwiseScore().fit(mean, scale, w, cut)
 
 
 def quality_of(model: PairwiseScore, text: Column) -> Column:
